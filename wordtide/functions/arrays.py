@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def explode_words(df: DataFrame, words: Column, *keep: str | Column, out: str = "word", pos: bool = False) -> DataFrame:
+    """One row per element of an array expression, with its position if asked; empty arrays give no row.
+
+    A plain ``explode`` makes the optimizer copy the expression into a filter on the array size, next to the scan,
+    so the whole text would be processed twice. The outer form is left as it is, and its NULL row is dropped.
+    """
+    rows = F.posexplode_outer(words).alias("pos", out) if pos else F.explode_outer(words).alias(out)
+    return df.select(*keep, rows).where(F.col(out).isNotNull())
+
+
 def bigrams(tokens: Column) -> Column:
     """Adjacent token pairs, joined by a space. Fewer than two tokens give an empty array.
 
@@ -37,4 +47,4 @@ def term_counts(docs: DataFrame, tokens: str, *keep: str) -> DataFrame:
             (F.coalesce(b, F.size("_sorted")) - a).cast("bigint").alias("tf"),
         ),
     )
-    return runs.select(*keep, F.inline(counted))
+    return runs.select(*keep, F.inline_outer(counted)).where(F.col("term").isNotNull())

@@ -22,9 +22,9 @@ WORD_CHAR = r"[\p{L}\p{N}_]"
 # Characters that compatibility normalization can neither turn into ASCII letters nor merge with a
 # neighbour: Latin letters with accents and Latin-1 signs (without the ordinals and the ligature-like
 # letters), Cyrillic letters, general punctuation, the euro sign, CJK ideographs.
-# Text made of these needs no normalization, so it is never sent to Python.
+# Text made of these and ASCII needs no normalization, so it is never sent to Python.
 INERT = (
-    r"\x00-\x7F\u00A0-\u00A9\u00AB-\u00B9\u00BB-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E"
+    r"\u00A0-\u00A9\u00AB-\u00B9\u00BB-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E"
     r"\u0400-\u0482\u048A-\u04FF\u2010-\u2027\u20AC\u4E00-\u9FFF"
 )
 
@@ -59,7 +59,10 @@ def normalize_nfkc(text: Column) -> Column:
     def nfkc(batch: pd.Series) -> pd.Series:
         return batch.str.normalize("NFKC")
 
-    normalized = F.pandas_udf(nfkc, StringType())(F.when(text.rlike(f"[^{INERT}]"), text))
+    # ASCII text shows by its length in bytes. In other text the pattern first looks for a non-ASCII character, which
+    # is rare, and only then tries the long class on it.
+    open_to_change = (F.octet_length(text) > F.length(text)) & text.rlike(rf"[^\x00-\x7F](?<![{INERT}])")
+    normalized = F.pandas_udf(nfkc, StringType())(F.when(open_to_change, text))
     return F.coalesce(normalized, text)
 
 

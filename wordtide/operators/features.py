@@ -18,7 +18,7 @@ from wordtide.fixed_values import (
     WORD2VEC_MIN_COUNT,
     WORD2VEC_SIZE,
 )
-from wordtide.functions.arrays import bigrams, term_counts
+from wordtide.functions.arrays import bigrams, explode_words, term_counts
 from wordtide.operators.joins import counted_join
 from wordtide.session import stage
 
@@ -58,7 +58,7 @@ def word2vec_stage(
 
 def check_word2vec_vocabulary(docs: DataFrame, tokens: str, size: int, min_count: int) -> int:
     """Vocabulary size, counted on the cluster; an error when its vectors cannot be held in one model."""
-    counts = docs.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = explode_words(docs, F.col(tokens)).groupBy("word").agg(F.count("*").alias("n"))
     vocabulary = counts.where(F.col("n") >= min_count).count()
     if vocabulary * size > WORD2VEC_MAX_FLOATS:
         raise ValueError(
@@ -112,7 +112,7 @@ def tfidf_terms(docs: DataFrame, tokens: str, min_doc_freq: int = MIN_DOC_FREQ)
 
 def bigram_rows(docs: DataFrame, tokens: str) -> DataFrame:
     """Rows of id, position, bigram."""
-    return docs.select("id", F.posexplode(bigrams(F.col(tokens))).alias("pos", "bigram"))
+    return explode_words(docs, bigrams(F.col(tokens)), "id", out="bigram", pos=True)
 
 
 def bigram_vocabulary(

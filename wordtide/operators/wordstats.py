@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordtide.fixed_values import POLARITY_NEGATIVE, POLARITY_POSITIVE
+from wordtide.functions.arrays import explode_words
 from wordtide.functions.text import WORD_RULES
 
 
 def words_of(posts: DataFrame, rule: str, *keep: str) -> DataFrame:
     """One row per word of ``text`` under a word rule, with the ``keep`` columns."""
-    return posts.select(*keep, F.explode(WORD_RULES[rule](F.col("text"))).alias("word"))
+    return explode_words(posts, WORD_RULES[rule](F.col("text")), *keep)
 
 
 def count_words(words: DataFrame, *by: str) -> DataFrame:

@@ -20,6 +20,7 @@ from wordtide.fixed_values import (
     TOKEN_LEXICON,
 )
 from wordtide.functions import keys, text
+from wordtide.functions.arrays import explode_words
 from wordtide.functions.sentiment import (
     binary_label,
     confidence_predict,
@@ -131,26 +132,25 @@ def q_clean_text_light(spark, sf_dir):
 
 @query
 def q_tokenize(spark, sf_dir):
-    return with_tokens(docs(spark, sf_dir)).select("id", F.posexplode("tokens").alias("pos", "token"))
+    return explode_words(with_tokens(docs(spark, sf_dir)), F.col("tokens"), "id", out="token", pos=True)
 
 
 @query
 def q_tokenize_plain(spark, sf_dir):
     tokens = text.tokenize_plain(text.clean_text_light(F.col("text")))
-    return docs(spark, sf_dir).select("id", F.posexplode(tokens).alias("pos", "token"))
+    return explode_words(docs(spark, sf_dir), tokens, "id", out="token", pos=True)
 
 
 @query
 def q_stopword_anti_join(spark, sf_dir):
-    words = text.with_clean_text(docs(spark, sf_dir)).select(
-        "id", F.posexplode(F.split("cleaned_text", " ")).alias("pos", "token")
-    )
+    cleaned = text.with_clean_text(docs(spark, sf_dir))
+    words = explode_words(cleaned, F.split("cleaned_text", " "), "id", out="token", pos=True)
     return lexicon.remove_stopwords(words.where(F.length("token") > 2)).select("id", "pos", "token")
 
 
 @query
 def q_stem(spark, sf_dir):
-    return with_stems(docs(spark, sf_dir)).select("id", F.posexplode("stemmed_tokens").alias("pos", "stem"))
+    return explode_words(with_stems(docs(spark, sf_dir)), F.col("stemmed_tokens"), "id", out="stem", pos=True)
 
 
 @query
@@ -195,7 +195,7 @@ def q_top_words(spark, sf_dir):
 def q_top_words_by_label(spark, sf_dir):
     """The 20 most frequent tokens of each class, stopwords removed."""
     tokens = with_tokens(labelled(spark, sf_dir))
-    words = tokens.select(binary_label(F.col("polarity")).alias("label"), F.explode("tokens").alias("word"))
+    words = explode_words(tokens, F.col("tokens"), binary_label(F.col("polarity")).alias("label"))
     return wordstats.top_words_by(wordstats.count_words(words, "label"), 20, "label")
 
 
