@@ -59,12 +59,11 @@ def auc_roc(predictions: DataFrame, score: str = "score", buckets: int = 256, di
     many distinct scores, and negatives are summed inside each range on its own; each range then starts
     from the negatives of the ranges below, a table of at most ``buckets`` rows. Exact for any scores.
     """
-    grouped = stage(
-        predictions.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")),
-        "scores",
+    counts = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
+    # Missing scores are left out only now: an earlier filter would move below the score and compute it twice.
+    grouped = stage(counts, "scores").where(F.col("score").isNotNull())
     cuts = grouped.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
     edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     ranges = Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(grouped)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, Tokenizer, Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,10 +76,23 @@ def bigram_stages(
     ]
 
 
-def feature_model(train: DataFrame, partitions: int):
+def feature_model(
+    train: DataFrame,
+    partitions: int,
+    buckets: int = HASH_BUCKETS,
+    min_doc_freq: int = MIN_DOC_FREQ,
+    size: int = WORD2VEC_SIZE,
+    min_count: int = WORD2VEC_MIN_COUNT,
+    vocabulary: int = BIGRAM_VOCABULARY,
+    min_docs: int = BIGRAM_MIN_DOCS,
+) -> PipelineModel:
     """All feature stages fitted on the training posts only."""
-    check_word2vec_vocabulary(train, "stemmed_tokens", WORD2VEC_SIZE, WORD2VEC_MIN_COUNT)
-    stages = [*tfidf_stages(), word2vec_stage(partitions), *bigram_stages()]
+    check_word2vec_vocabulary(train, "stemmed_tokens", size, min_count)
+    stages = [
+        *tfidf_stages(buckets=buckets, min_doc_freq=min_doc_freq),
+        word2vec_stage(partitions, size=size, min_count=min_count),
+        *bigram_stages(vocabulary=vocabulary, min_docs=min_docs),
+    ]
     return Pipeline(stages=stages).fit(train)
 
 
