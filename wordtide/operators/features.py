@@ -45,7 +45,11 @@ def word2vec_stage(
     min_count: int = WORD2VEC_MIN_COUNT,
     seed: int = SEED,
 ) -> Word2Vec:
-    """Word vectors. ``partitions`` is how many tasks share the training; the default of Spark is one."""
+    """Word vectors. ``partitions`` is how many tasks share the training; the default of Spark is one.
+
+    The seed does not make the vectors repeatable to the last digit: Spark numbers equally frequent words, and takes
+    the sentences of a task, in the order in which shuffled blocks arrive.
+    """
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
