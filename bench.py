@@ -30,7 +30,7 @@ HEADLINE = [
     "top_words_by_label",
     "corpus_stats",
     "lexicon_score",
-    "lexicon_score_inline",
+    "lexicon_score_join",
     "substring_score",
     "sentiment_trends",
     "daily_trend",

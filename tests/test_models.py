@@ -41,17 +41,18 @@ def test_metrics_of_a_class_never_predicted(spark):
     assert tuple(evaluation.classification_metrics(df).first()) == (0.6667, 0.4444, 0.6667, 0.5333)
 
 
-@pytest.mark.parametrize("buckets", [2, 5, 256])
-def test_auc_is_exact_for_any_number_of_ranges(predictions, buckets):
+@pytest.mark.parametrize("few, buckets", [(1000, None), (0, 2), (0, 5), (0, None)])
+def test_auc_is_exact_for_any_number_of_ranges(predictions, few, buckets):
     want = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(predictions)
-    assert evaluation.auc_roc(predictions, buckets=buckets).first()["auc"] == pytest.approx(want, abs=1e-6)
+    assert evaluation.auc_roc(predictions, few=few, buckets=buckets).first()["auc"] == pytest.approx(want, abs=1e-6)
 
 
 def test_auc_of_continuous_and_missing_scores(spark):
     df = spark.range(3000).select((F.col("id") % 3 == 0).cast("int").alias("label"), F.rand(7).alias("score"))
     want = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
     unknown = spark.createDataFrame([(1, None)], "label INT, score DOUBLE")
-    assert evaluation.auc_roc(df.union(unknown)).first()["auc"] == pytest.approx(want, abs=1e-6)
+    for few in (0, 100_000):
+        assert evaluation.auc_roc(df.union(unknown), few=few).first()["auc"] == pytest.approx(want, abs=1e-6)
     one_class = df.where("label = 1")
     assert evaluation.auc_roc(one_class).first()["auc"] is None
 

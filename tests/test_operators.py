@@ -66,13 +66,15 @@ def test_lexicon_score_matches_whole_tokens(spark):
     want = [("0", 0, "Neutral"), ("1", 1, "Positive"), ("2", 1, "Positive"), ("3", 0, "Neutral"), ("4", 0, "Neutral"),
             ("5", 0, "Neutral"), ("6", -1, "Negative")]
     assert rows(joined) == want
-    assert rows(lexicon.lexicon_score(df, table, max_rows=3)) == want
+    assert "Exchange" not in plan(joined)
+    assert rows(lexicon.lexicon_score(df, table, inline_rows=3)) == want
+    assert rows(lexicon.lexicon_score(df, table, inline_rows=3, max_rows=3)) == want
     inline = df.where("text IS NOT NULL").select("id", sentiment.token_score(F.col("text")).alias("s"))
     assert rows(inline) == [(i, s) for i, s, _ in want if i != "5"]
 
 
 def test_lexicon_join_is_broadcast_and_folds_before_the_shuffle(spark):
-    scored = lexicon.lexicon_score(posts_frame(spark, ["a b"]), lexicon.lexicon_table(spark, TOKEN_LEXICON))
+    scored = lexicon.lexicon_score(posts_frame(spark, ["a b"]), lexicon.lexicon_table(spark, TOKEN_LEXICON), inline_rows=0)
     text = plan(scored)
     assert "BroadcastHashJoin" in text and "partial_sum" in text and "SortMergeJoin" not in text
 

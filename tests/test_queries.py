@@ -32,7 +32,7 @@ def test_entry(spark):
     assert entry.entry(spark).columns == ["label", "word", "n", "rank"]
 
 
-@pytest.mark.parametrize("name", ["label_counts", "word_count_raw", "lexicon_score", "top_words_by_label", "kpi_summary", "stem"])
+@pytest.mark.parametrize("name", ["label_counts", "word_count_raw", "lexicon_score", "lexicon_score_join", "top_words_by_label", "kpi_summary", "stem"])
 def test_no_row_at_a_time_python(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert "BatchEvalPython" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -46,7 +46,9 @@ def token_score(text: Column, lexicon: Mapping[str, int] = TOKEN_LEXICON) -> Col
             F.lit(0),
         )
 
-    return F.aggregate(space_split(text), F.lit(0), lambda total, word: total + weigh(word))
+    # Few words are known, so they are picked by one lookup each before any weighing.
+    hits = F.filter(space_split(text), lambda word: word.isin(*lexicon))
+    return F.aggregate(hits, F.lit(0), lambda total, word: total + weigh(word))
 
 
 def substring_score(text: Column, lexicon: Mapping[str, int] = STREAM_LEXICON) -> Column:

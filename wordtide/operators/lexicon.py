@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtide.fixed_values import STOPWORDS
-from wordtide.functions.sentiment import sentiment_class
+from wordtide.functions.sentiment import sentiment_class, token_score
 from wordtide.functions.text import space_split
 from wordtide.operators.joins import lookup_join
 from wordtide.schemas import LEXICON
 
+# Words of a lexicon that is written into the expression.
+INLINE_ROWS = 2_000
+
 
 def lexicon_table(spark: SparkSession, lexicon: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(list(lexicon.items()), LEXICON)
@@ -22,16 +25,23 @@ def word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], "word STRING")
 
 
-def lexicon_score(posts: DataFrame, lexicon: DataFrame, **join_options) -> DataFrame:
+def lexicon_score(posts: DataFrame, lexicon: DataFrame, inline_rows: int = INLINE_ROWS, **join_options) -> DataFrame:
     """Score and class of each post: the summed weights of its words, 0 where none is known.
 
-    ``lexicon`` has one row per ``word`` with its ``weight``. Word rows of one post are next to each other, so
-    the partial aggregate folds them back to one row per post before anything is shuffled.
+    ``posts`` has one row per ``id``, ``lexicon`` one row per ``word`` with its ``weight``. A lexicon of at most
+    ``inline_rows`` words becomes part of the expression, so posts are neither joined nor shuffled. A larger one is
+    joined, by broadcast or by salted shuffle; word rows of one post are next to each other, so the partial
+    aggregate folds them back to one row per post before they are shuffled by id.
     """
-    words = posts.select("id", F.explode_outer(space_split(F.col("text"))).alias("word"))
-    weighed = lookup_join(words, lexicon, "word", "left", F.col("id"), **join_options)
-    score = weighed.groupBy("id").agg(F.sum(F.coalesce("weight", F.lit(0))).alias("score"))
-    return score.withColumn("sentiment", sentiment_class(F.col("score")))
+    known = lexicon.select("word", "weight").limit(inline_rows + 1).collect()
+    if len(known) <= inline_rows:
+        score = F.coalesce(token_score(F.col("text"), dict(known)), F.lit(0)).cast("bigint")
+        scores = posts.select("id", score.alias("score"))
+    else:
+        words = posts.select("id", F.explode_outer(space_split(F.col("text"))).alias("word"))
+        weighed = lookup_join(words, lexicon, "word", "left", F.col("id"), **join_options)
+        scores = weighed.groupBy("id").agg(F.sum(F.coalesce("weight", F.lit(0))).alias("score"))
+    return scores.withColumn("sentiment", sentiment_class(F.col("score")))
 
 
 def remove_stopwords(tokens: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:

@@ -291,7 +291,8 @@ ORACLE: dict[str, str] = {
     ),
     "unique_words": with_ctes(f"{DOCS}, {counts('letters')}", "SELECT count(*) AS unique_words FROM counts"),
     "lexicon_score": with_ctes(SCORED, "SELECT id, score, sentiment FROM scored"),
-    "lexicon_score_inline": with_ctes(SCORED, "SELECT id, CAST(score AS INTEGER) AS score, sentiment FROM scored"),
+    "lexicon_score_join": with_ctes(SCORED, "SELECT id, score, sentiment FROM scored"),
+    "lexicon_score_salted": with_ctes(SCORED, "SELECT id, score, sentiment FROM scored"),
     "lexicon_score_samples": with_ctes(
         f"""samples AS (
             SELECT CAST(event_id AS VARCHAR) AS id,

@@ -223,11 +223,16 @@ def q_lexicon_score(spark, sf_dir):
 
 
 @query
-def q_lexicon_score_inline(spark, sf_dir):
-    """The same score as an expression: no join, no shuffle."""
-    score = token_score(F.col("text"), CORPUS_LEXICON)
-    scored = docs(spark, sf_dir).select("id", score.alias("score"))
-    return scored.withColumn("sentiment", sentiment_class(F.col("score")))
+def q_lexicon_score_join(spark, sf_dir):
+    """The same score through the join that larger lexicons take."""
+    return lexicon.lexicon_score(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON), inline_rows=0)
+
+
+@query
+def q_lexicon_score_salted(spark, sf_dir):
+    """The same score through the salted join of lexicons too large to broadcast."""
+    table = lexicon.lexicon_table(spark, CORPUS_LEXICON)
+    return lexicon.lexicon_score(docs(spark, sf_dir), table, inline_rows=0, max_rows=0)
 
 
 @query
@@ -369,9 +374,10 @@ def q_auc_roc(spark, sf_dir):
 
 @query
 def q_auc_roc_values(spark, sf_dir):
-    """AUC of a score with very many distinct values: event value as a sign of error events."""
+    """AUC of a score with many distinct values, by ranges: event value as a sign of error events."""
     events = tables.read_table(spark, sf_dir, "events")
-    return evaluation.auc_roc(events.select((F.col("event_type") == "error").cast("int").alias("label"), F.col("value").alias("score")))
+    error = (F.col("event_type") == "error").cast("int")
+    return evaluation.auc_roc(events.select(error.alias("label"), F.col("value").alias("score")), few=1000)
 
 
 @query
