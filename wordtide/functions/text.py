@@ -6,7 +6,7 @@ ASCII only, while posts hold accented words and non-breaking spaces.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -119,13 +119,30 @@ def tokenize_plain(cleaned: Column) -> Column:
     return F.split(F.lower(cleaned), " ")
 
 
+def first_case(branches: Iterable[tuple[Column, Column]], otherwise: Column) -> Column:
+    """The value of the first condition that holds."""
+    chain = F
+    for condition, value in branches:
+        chain = chain.when(condition, value)
+    return otherwise if chain is F else chain.otherwise(otherwise)
+
+
 def stem_word(word: Column, rules: Sequence[tuple[str, str]] = SUFFIX_RULES) -> Column:
-    """Replace the first matching suffix. A word may be nothing but a suffix, so stems can be empty."""
-    chain = None
+    """Replace the first matching suffix. A word may be nothing but a suffix, so stems can be empty.
+
+    Rules are asked by the last letter of the word, which leaves few of them to try. All suffixes that a word can
+    match share that letter, so the order among them is kept.
+    """
+
+    def replaced(suffix: str, replacement: str) -> tuple[Column, Column]:
+        kept = F.left(word, F.length(word) - len(suffix))
+        return F.endswith(word, F.lit(suffix)), F.concat(kept, F.lit(replacement))
+
+    by_letter: dict[str, list[tuple[Column, Column]]] = {}
     for suffix, replacement in rules:
-        stem = F.concat(F.left(word, F.length(word) - len(suffix)), F.lit(replacement))
-        chain = (F if chain is None else chain).when(F.endswith(word, F.lit(suffix)), stem)
-    return word if chain is None else chain.otherwise(word)
+        by_letter.setdefault(suffix[-1], []).append(replaced(suffix, replacement))
+    groups = ((F.endswith(word, F.lit(letter)), first_case(group, word)) for letter, group in by_letter.items())
+    return first_case(groups, word)
 
 
 def stem(tokens: Column, rules: Sequence[tuple[str, str]] = SUFFIX_RULES) -> Column:
