@@ -28,3 +28,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of 2,048 ids."""
+    from wordtide.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_planes")
+def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as bit planes and read back."""
+    from wordtide.llm.token_files import token_files
+
+    return token_files(table(spark, sf_dir, "documents"))
