@@ -44,3 +44,11 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.token_files import token_files
 
     return token_files(table(spark, sf_dir, "documents"))
+
+
+@query("op6_simhash_bk_trees")
+def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    from wordtide.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
