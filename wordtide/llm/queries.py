@@ -52,3 +52,11 @@ def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_array_decontamination")
+def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of all benchmark items in every document."""
+    from wordtide.llm.decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

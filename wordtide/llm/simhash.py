@@ -9,7 +9,6 @@ its own bucket, which are its only possible links, instead of to every task: tha
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,22 +28,19 @@ SHARD = 4_096
 # First bit and width of the blocks.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 
-_word = re.compile(r"[^\x20\x09-\x0D]+")
-_upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def fingerprint(text: str, n: int = SHINGLE, seed: int = SEED) -> int:
     """A bit is set if it is set in over half of the hashes of the ``n``-word shingles, repeats included.
 
     Fewer words than ``n`` are one shingle; without words the fingerprint is zero.
     """
-    words = _word.findall(text.translate(_upper))
+    # Bytes are lower-cased in A-Z alone, and split at the six white-space characters of ASCII.
+    words = text.encode().lower().split()
     if not words:
         return 0
     if len(words) > n:
-        shingles = map(" ".join, zip(*(words[i:] for i in range(n))))
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(n))))
     else:
-        shingles = [" ".join(words)]
+        shingles = [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, seed) for s in shingles], "<u8")
     counts = np.zeros(64, "i8")
