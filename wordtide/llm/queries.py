@@ -60,3 +60,11 @@ def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     from wordtide.llm.decontamination import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_warc_normaliser")
+def op7_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, written as whole streams, rewritten by record and read back."""
+    from wordtide.llm.warc import warc_round_trip
+
+    return warc_round_trip(table(spark, sf_dir, "pages"))

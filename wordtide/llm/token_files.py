@@ -142,7 +142,7 @@ def _write(folder: str, tokenizer: str, end: int):
             for doc, ids in zip(docs, encoder(tokenizer).encode(batch["text"])):
                 if writer is None:
                     path = f"{name}-{number:05d}.planes"
-                    stream = files.open_output_stream(f"{base}/{path}")
+                    stream = files.open_output_stream(f"{base}/{path}", compression=None)
                     writer = PlaneWriter(stream)
                 writer.add(None if doc is pd.NA else int(doc), np.frombuffer(ids + tail, "<u4"))
                 if sum_over(writer):
