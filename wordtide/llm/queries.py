@@ -68,3 +68,12 @@ def op7_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.warc import warc_round_trip
 
     return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op3_cnn_toxicity")
+def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a network fitted to the labels of the others."""
+    from wordtide.llm.toxicity import fit_model, score_documents
+
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit_model(docs, table(spark, sf_dir, "labels")))
