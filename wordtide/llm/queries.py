@@ -77,3 +77,11 @@ def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit_model(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op1_secret_forest")
+def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of all documents with the forest's verdict."""
+    from wordtide.llm.secret_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
