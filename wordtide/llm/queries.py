@@ -85,3 +85,11 @@ def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.secret_scan import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_pii_surrogates")
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    from wordtide.llm.surrogates import entity_report
+
+    return entity_report(table(spark, sf_dir, "documents"))
