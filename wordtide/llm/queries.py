@@ -93,3 +93,11 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.surrogates import entity_report
 
     return entity_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_paragraph_sketches")
+def op10_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and their edited texts, and their likeness."""
+    from wordtide.llm.paragraph_sketch import compare_with_edits
+
+    return compare_with_edits(table(spark, sf_dir, "documents"))
