@@ -101,3 +101,11 @@ def op10_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordtide.llm.paragraph_sketch import compare_with_edits
 
     return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from raw documents to packed sequences."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
