@@ -1,10 +1,11 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line its sentences and clauses. The set of their digests is kept in
-24 cells, three groups of eight; each digest is counted and combined by exclusive or in one cell of every group. Two
+A text is cut into paragraphs: lines, and within a line its sentences. The set of their digests is kept in
+40 cells, four groups of ten; each digest is counted and combined by exclusive or in one cell of every group. Two
 sketches subtract cell by cell, what they share cancels out, and the rest is peeled: a cell that holds one digest gives
 it away, taking it out of its other cells gives away more. If peeling stops too soon, a larger sketch is tried: the
-digests are dealt by their hash to 16, then 256, 4,096, 65,536 sketches of 24 cells, which together are one larger one.
+digests are dealt by their hash to 4, 16, 64 and so on to 65,536 sketches of 40 cells, which together are one larger
+sketch. The first of them that does not peel ends a try.
 If the largest fails too, the sets themselves are subtracted, so every answer is exact. Built-in expressions only.
 """
 
@@ -16,11 +17,11 @@ from pyspark.sql import functions as F
 
 from wordtide.llm.common import let, stage, whole
 
-PARAGRAPH_END = r"\n+|(?<=[.!?;,]) +"
-GROUPS, SLOTS = 3, 8
+PARAGRAPH_END = r"\n+|(?<=[.!?]) +"
+GROUPS, SLOTS = 4, 10
 CELLS = GROUPS * SLOTS
-# Square roots of the numbers of sketches that are tried, one after the other.
-LEVELS = (1, 4, 16, 64, 256)
+# Sketches that are tried, one after the other: 2 to this power in rows and as many columns.
+LEVELS = tuple(range(9))
 ROUNDS = 12
 # Ranges of ids that are ordered on their own, and rows that one is meant for.
 MOST_RANGES, RANGE_ROWS = 4_096, 4_000
@@ -35,24 +36,24 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(77))
 
 
-def _marked(keys: Column, level: int) -> Column:
+def _marked(keys: Column, level: Column) -> Column:
     """Each digest with its cells as bits of one number, its check, and hash bits that choose its sketch."""
 
     def mark(key: Column) -> Column:
         def bits(h: Column) -> Column:
-            cells = F.lit(0)
+            cells = F.lit(0).cast("bigint")
             for g in range(GROUPS):
-                cell = F.shiftrightunsigned(h, 3 * g).bitwiseAND(F.lit(SLOTS - 1)).cast("int") + g * SLOTS
+                cell = (F.shiftrightunsigned(h, 8 * g).bitwiseAND(F.lit(255)) % SLOTS).cast("int") + g * SLOTS
                 cells = cells.bitwiseOR(_bit(cell))
-            return F.struct(key.alias("k"), _check(key).alias("c"), cells.alias("m"), F.shiftrightunsigned(h, 16).alias("h"))
+            return F.struct(key.alias("k"), _check(key).alias("c"), cells.alias("m"), F.shiftrightunsigned(h, 33).cast("int").alias("h"))
 
-        return let(F.xxhash64(key, F.lit(level)), bits)
+        return let(F.xxhash64(key, level), bits)
 
     return F.transform(keys, mark)
 
 
 def _bit(cell: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), cell)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), cell)
 
 
 def _xor(xs: Column, name: str, start: Column) -> Column:
@@ -60,7 +61,7 @@ def _xor(xs: Column, name: str, start: Column) -> Column:
 
 
 def _cells(marked: Column) -> Column:
-    """The 24 cells of a set of marked digests: n, k, c."""
+    """The cells of a set of marked digests: n, k, c."""
     zero = F.lit(0).cast("bigint")
     numbers = F.sequence(F.lit(0), F.lit(CELLS - 1))
     return F.transform(
@@ -72,45 +73,69 @@ def _cells(marked: Column) -> Column:
     )
 
 
-def _minus(a: Column, b: Column) -> Column:
-    return F.zip_with(
-        a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c"))
-    )
+def _subtracted(a: Column, b: Column) -> Column:
+    """The cells of one sketch less those of another, cell by cell: counts by minus, digests and checks by xor."""
+    zero = F.lit(0).cast("bigint")
+
+    def cell(i: Column) -> Column:
+        inside = lambda xs: F.filter(xs, lambda x: x["m"].bitwiseAND(_bit(i)) != 0)
+        return let(
+            inside(a),
+            lambda p: let(
+                inside(b),
+                lambda q: F.struct(
+                    (F.size(p) - F.size(q)).alias("n"), _xor(q, "k", _xor(p, "k", zero)).alias("k"), _xor(q, "c", _xor(p, "c", zero)).alias("c")
+                ),
+            ),
+        )
 
+    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
 
-def _peel(cells: Column, level: int) -> Column:
-    """(left, right, open): digests that only the left or right sketch has, and whether some could not be recovered."""
+
+def _peel(cells: Column, level: Column) -> Column:
+    """(left, right, open): digests that only the left or right sketch has, and whether some could not be recovered.
+
+    All cells that hold one digest are peeled in a round; after a round without any, nothing is looked at again.
+    """
     none = F.array().cast("array<bigint>")
 
     def step(s: Column, _: Column) -> Column:
-        pure = F.array_distinct(F.filter(s["cells"], lambda x: (F.abs(x["n"]) == 1) & (_check(x["k"]) == x["c"])))
+        def pure(sign: int) -> Column:
+            alone = F.filter(s["cells"], lambda x: (x["n"] == sign) & (_check(x["k"]) == x["c"]))
+            return F.array_distinct(F.transform(alone, lambda x: x["k"]))
 
-        def take(found: Column) -> Column:
-            marks = F.zip_with(_marked(F.transform(found, lambda x: x["k"]), level), found, lambda m, x: F.struct(m["m"].alias("m"), m["k"].alias("k"), m["c"].alias("c"), x["n"].alias("n")))
+        def marks(found: Column, sign: int) -> Column:
+            return F.transform(_marked(found, level), lambda m: F.struct(m["m"].alias("m"), m["k"].alias("k"), m["c"].alias("c"), F.lit(sign).alias("n")))
 
-            def taken(ms: Column) -> Column:
-                def rest(x: Column, i: Column) -> Column:
+        def taken(left: Column, right: Column) -> Column:
+            def rest(ms: Column):
+                def one(x: Column, i: Column) -> Column:
                     return let(
                         F.filter(ms, lambda m: m["m"].bitwiseAND(_bit(i)) != 0),
-                        lambda hit: F.struct(
-                            (x["n"] - F.aggregate(hit, F.lit(0), lambda a, m: a + m["n"])).alias("n"),
-                            _xor(hit, "k", x["k"]).alias("k"),
-                            _xor(hit, "c", x["c"]).alias("c"),
+                        lambda hit: F.when(F.size(hit) == 0, x).otherwise(
+                            F.struct(
+                                (x["n"] - F.aggregate(hit, F.lit(0), lambda a, m: a + m["n"])).alias("n"),
+                                _xor(hit, "k", x["k"]).alias("k"),
+                                _xor(hit, "c", x["c"]).alias("c"),
+                            )
                         ),
                     )
 
-                side = lambda sign: F.transform(F.filter(found, lambda x: x["n"] == sign), lambda x: x["k"])
-                return F.struct(
-                    F.transform(s["cells"], rest).alias("cells"),
-                    F.concat(s["left"], side(1)).alias("left"),
-                    F.concat(s["right"], side(-1)).alias("right"),
-                )
+                return F.transform(s["cells"], one)
 
-            return F.when(F.size(found) == 0, s).otherwise(let(marks, taken))
+            return F.struct(
+                let(F.concat(marks(left, 1), marks(right, -1)), rest).alias("cells"),
+                F.concat(s["left"], left).alias("left"),
+                F.concat(s["right"], right).alias("right"),
+                F.lit(False).alias("still"),
+            )
+
+        def stepped(left: Column, right: Column) -> Column:
+            return F.when((F.size(left) == 0) & (F.size(right) == 0), s.withField("still", F.lit(True))).otherwise(taken(left, right))
 
-        return let(pure, take)
+        return F.when(s["still"], s).otherwise(let(pure(1), lambda left: let(pure(-1), lambda right: stepped(left, right))))
 
-    start = F.struct(cells.alias("cells"), none.alias("left"), none.alias("right"))
+    start = F.struct(cells.alias("cells"), none.alias("left"), none.alias("right"), F.lit(False).alias("still"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
@@ -121,40 +146,49 @@ def _peel(cells: Column, level: int) -> Column:
     )
 
 
-def _subtract(a: Column, b: Column, level: int) -> Column:
-    """Numbers of digests only in ``a`` and only in ``b`` by the sketches of one level; NULL if peeling stops too soon.
+def _subtract(a: Column, b: Column, level: Column) -> Column:
+    """Numbers of digests only in ``a`` and only in ``b`` by the sketches of a level; NULL if one doesn't peel.
 
     Digests are dealt in two steps, so that each is looked at once for every row and column of sketches and not for
     every sketch.
     """
-    side = LEVELS[level]
-    counts = lambda found: F.when(~found["open"], F.struct(F.size(found["left"]).alias("a"), F.size(found["right"]).alias("b")))
-    one = lambda x, y: let(_peel(_minus(_cells(x), _cells(y)), level), counts)
-    if side == 1:
-        return let(_marked(a, level), lambda x: let(_marked(b, level), lambda y: one(x, y)))
     zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
-    places = F.sequence(F.lit(0), F.lit(side - 1))
+    last = F.call_function("shiftleft", F.lit(1), level) - 1
+    places = F.sequence(F.lit(0), last)
 
-    def dealt(xs: Column, place: Column, times: int) -> Column:
-        return F.filter(xs, lambda x: F.floor(x["h"] / times) % side == place)
+    def dealt(xs: Column, place: Column, skip: Column) -> Column:
+        return F.filter(xs, lambda x: F.call_function("shiftright", x["h"], skip).bitwiseAND(last) == place)
 
-    def over(x: Column, y: Column, times: int, inner) -> Column:
+    def over(x: Column, y: Column, skip: Column, inner) -> Column:
         def add(done: Column, place: Column) -> Column:
-            part = let(dealt(x, place, times), lambda p: let(dealt(y, place, times), lambda q: inner(p, q)))
-            summed = let(part, lambda r: F.when(r.isNotNull(), F.struct((done["a"] + r["a"]).alias("a"), (done["b"] + r["b"]).alias("b"))))
-            return F.when(done.isNotNull(), summed)
+            def of(p: Column, q: Column) -> Column:
+                part = F.when((F.size(p) == 0) & (F.size(q) == 0), zero).otherwise(inner(p, q))
+                return let(part, lambda r: F.when(r.isNotNull(), F.struct((done["a"] + r["a"]).alias("a"), (done["b"] + r["b"]).alias("b"))))
+
+            return F.when(done.isNotNull(), let(dealt(x, place, skip), lambda p: let(dealt(y, place, skip), lambda q: of(p, q))))
 
         return F.aggregate(places, zero, add)
 
-    column = lambda p, q: F.when((F.size(p) == 0) & (F.size(q) == 0), zero).otherwise(over(p, q, side, one_or_none))
-    one_or_none = lambda p, q: F.when((F.size(p) == 0) & (F.size(q) == 0), zero).otherwise(one(p, q))
-    return let(_marked(a, level), lambda x: let(_marked(b, level), lambda y: over(x, y, 1, column)))
+    def one(p: Column, q: Column) -> Column:
+        return let(
+            _peel(_subtracted(p, q), level),
+            lambda found: F.when(~found["open"], F.struct(F.size(found["left"]).alias("a"), F.size(found["right"]).alias("b"))),
+        )
+
+    def column(p: Column, q: Column) -> Column:
+        return over(p, q, level, one)
+
+    return let(_marked(a, level), lambda x: let(_marked(b, level), lambda y: over(x, y, F.lit(0), column)))
 
 
 def differences(a: Column, b: Column) -> Column:
     """How many digests only ``a`` and only ``b`` have: the smallest sketch that peels decides."""
     exact = F.struct(F.size(F.array_except(a, b)).alias("a"), F.size(F.array_except(b, a)).alias("b"))
-    return F.coalesce(*(_subtract(a, b, level) for level in range(len(LEVELS))), exact)
+    none = F.lit(None).cast("struct<a:int,b:int>")
+    tried = F.aggregate(
+        F.array(*map(F.lit, LEVELS)), none, lambda done, level: F.when(done.isNotNull(), done).otherwise(_subtract(a, b, level))
+    )
+    return F.coalesce(tried, exact)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -168,7 +202,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def recovered(a: Column, b: Column) -> Column:
     """The digests themselves that two sets don't share, by the smallest sketch if it peels: left, right, open."""
-    return let(_marked(a, 0), lambda x: let(_marked(b, 0), lambda y: _peel(_minus(_cells(x), _cells(y)), 0)))
+    first = F.lit(LEVELS[0])
+    return let(_marked(a, first), lambda x: let(_marked(b, first), lambda y: _peel(_subtracted(x, y), first)))
 
 
 def fingerprint(keys: Column) -> Column:
@@ -181,7 +216,7 @@ def fingerprint(keys: Column) -> Column:
             F.when(x["n"] == 0, "").otherwise(F.concat(F.lpad(F.lower(F.hex(x["k"])), 16, "0"), F.right(F.lpad(F.lower(F.hex(x["c"])), 16, "0"), F.lit(8)))),
         )
 
-    return F.array_join(F.transform(let(_marked(keys, 0), _cells), cell), ".")
+    return F.array_join(F.transform(let(_marked(keys, F.lit(LEVELS[0])), _cells), cell), ".")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -235,13 +270,15 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
             )
         ),
     )
-    own, new = F.col("own"), F.col("new")
-    return keys.select(
+    prints = F.transform(F.array("own", "new"), fingerprint)
+    near = F.transform(F.array("new", "next"), lambda x: likeness(F.col("own"), x))
+    answers = keys.select("doc_id", "n_chars", "edited_sha256", F.inline(F.array(F.struct(prints.alias("p"), near.alias("n")))))
+    return answers.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprint(own).alias("fingerprint"),
-        fingerprint(new).alias("edited_fingerprint"),
-        likeness(own, new).alias("near_edited"),
-        likeness(own, F.col("next")).alias("near_next"),
+        F.col("p")[0].alias("fingerprint"),
+        F.col("p")[1].alias("edited_fingerprint"),
+        F.col("n")[0].alias("near_edited"),
+        F.col("n")[1].alias("near_next"),
     )
