@@ -7,6 +7,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordtide.llm.common import table
+from wordtide.llm.decontamination import contamination
+from wordtide.llm.packing import pack_documents
+from wordtide.llm.paragraph_sketch import compare_with_edits
+from wordtide.llm.secret_scan import scan
+from wordtide.llm.simhash import near_duplicates
+from wordtide.llm.surrogates import entity_report
+from wordtide.llm.token_counts import token_counts
+from wordtide.llm.token_files import token_files
+from wordtide.llm.toxicity import fit_model, score_documents
+from wordtide.llm.warc import warc_round_trip
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP4_SQL = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM item WHERE len(w) > 0)
+), size AS (
+  SELECT DISTINCT n FROM item_window
+), doc_window AS (
+  SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc, size WHERE len(w) >= n)
+), hit AS (
+  SELECT doc_id, item_id, n, p FROM doc_window JOIN item_window USING (n, k)
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, n, p FROM hit)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+# Base 32 of a SHA-1: forty bits, ten hex digits, at a time give eight letters.
+OP7_SQL = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), digest AS (
+  SELECT page_id, n, h, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT), 1)), '') AS payload_digest
+  FROM page
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM digest)
+"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,56 +83,42 @@ def query(name: str, sql: str | None = None):
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of byte_bpe_50k over all documents, through a cache that starts empty."""
-    from wordtide.llm.token_counts import token_counts
-
     return token_counts(table(spark, sf_dir, "documents"))
 
 
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 2,048 ids."""
-    from wordtide.llm.packing import pack_documents
-
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
 @query("op9_token_planes")
 def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written as bit planes and read back."""
-    from wordtide.llm.token_files import token_files
-
     return token_files(table(spark, sf_dir, "documents"))
 
 
 @query("op6_simhash_bk_trees")
 def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
-    from wordtide.llm.simhash import near_duplicates
-
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op4_suffix_array_decontamination")
+@query("op4_suffix_array_decontamination", OP4_SQL)
 def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of all benchmark items in every document."""
-    from wordtide.llm.decontamination import contamination
-
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op7_warc_normaliser")
+@query("op7_warc_normaliser", OP7_SQL)
 def op7_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of all pages, written as whole streams, rewritten by record and read back."""
-    from wordtide.llm.warc import warc_round_trip
-
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
 @query("op3_cnn_toxicity")
 def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a network fitted to the labels of the others."""
-    from wordtide.llm.toxicity import fit_model, score_documents
-
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit_model(docs, table(spark, sf_dir, "labels")))
 
@@ -82,24 +126,18 @@ def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_secret_forest")
 def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of all documents with the forest's verdict."""
-    from wordtide.llm.secret_scan import scan
-
     return scan(table(spark, sf_dir, "documents"))
 
 
 @query("op8_pii_surrogates")
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced."""
-    from wordtide.llm.surrogates import entity_report
-
     return entity_report(table(spark, sf_dir, "documents"))
 
 
 @query("op10_paragraph_sketches")
 def op10_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of all documents and their edited texts, and their likeness."""
-    from wordtide.llm.paragraph_sketch import compare_with_edits
-
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
