@@ -1,5 +1,8 @@
 """Sources, sinks and streams."""
 
+import functools
+
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -126,6 +129,9 @@ def test_live_job_quarantines_counts_and_resumes(spark, tmp_path):
     def table(name):
         return spark.read.parquet(f"{out}/{name}")
 
+    def totals(name, schema):
+        return stream_sinks.read_totals(spark, f"{out}/{name}", spark.createDataFrame([], schema).schema)
+
     assert table("stream_predictions").count() == 3 and table("quarantine").count() == 1
     run_live(spark, folder, out)
     assert table("stream_predictions").count() == 3, "a restart adds nothing"
@@ -133,12 +139,43 @@ def test_live_job_quarantines_counts_and_resumes(spark, tmp_path):
     message_files(spark, folder, ["great", "great"], 2)
     run_live(spark, folder, out)
     assert table("stream_predictions").count() == 5
-    counts = stream_sinks.latest(table("live_counts"), "sentiment")
+    counts = totals("live_counts", "sentiment STRING, n BIGINT")
     assert rows(counts) == [("Negative", 1), ("Neutral", 1), ("Positive", 3)]
-    trend = stream_sinks.latest(table("live_trend"), "window_start", "sentiment")
+    trend = totals("live_trend", "window_start TIMESTAMP, sentiment STRING, n BIGINT")
     assert sum(r.n for r in trend.collect()) == 5
 
 
+def test_quarantine_keeps_the_message_and_the_reason(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    values = ["not json", '{"text": "great", "timestamp": "soon"}', '{"text": "bad", "timestamp": "2024-01-01 10:00:00"}']
+    spark.createDataFrame([(v,) for v in values], "value STRING").selectExpr("CAST(value AS BINARY) AS value").coalesce(1).write.parquet(f"{folder}/part=1")
+    run_live(spark, folder, out)
+    kept = rows(spark.read.parquet(f"{out}/quarantine").select("value", "reason"))
+    assert kept == [("not json", "no text"), (values[1], "no time")]
+    assert spark.read.parquet(f"{out}/stream_predictions").count() == 2
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["stream_parse", "stream_score", "stream_append", "stream_sentiment_counts", "stream_trend_tumbling", "stream_trend_sliding", "stream_dedup"],
+)
+def test_streams_over_many_batches_keep_every_row(spark, small, name, shuffled_tables, monkeypatch):
+    """The same rows from one file in one batch as from five shuffled files, one in each batch."""
+    from wordtide.plans import queries
+
+    once = rows(queries.QUERIES[name](spark, small))
+    monkeypatch.setattr(queries, "stream_table", functools.partial(stream_table, files_per_batch=1))
+    assert rows(queries.QUERIES[name](spark, shuffled_tables)) == once and once
+
+
+@pytest.fixture(scope="module")
+def shuffled_tables(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("tables"))
+    for name in ("events", "documents"):
+        tables.read_table(spark, "/root/testdata/sf0.001", name).repartition(5).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
 def test_stream_scores_equal_batch_scores(spark, small):
     documents = stream_table(spark, small, "documents").select("doc_id", "text")
     stream = scoring.score_messages(documents).select("doc_id", "score", "sentiment")
@@ -166,5 +203,5 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path):
     for part in (1, 2):
         events.coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
     stream = stream_source(spark, "parquet", "id BIGINT, ts TIMESTAMP", f"{tmp_path}/in/*", maxFilesPerTrigger=1)
-    once = stream_sinks.run_to_table(scoring.drop_repeats(stream, "id", "ts"), str(tmp_path / "out"))
+    once = stream_sinks.run_to_table(scoring.drop_repeats(stream, "id", "ts", "1 day"), str(tmp_path / "out"))
     assert sorted(r.id for r in once.collect()) == list(range(10))

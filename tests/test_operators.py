@@ -20,33 +20,6 @@ def posts_frame(spark, texts):
 # Joins
 
 
-def test_fits_broadcast_by_rows_and_bytes(spark):
-    df = spark.createDataFrame([("a" * 100,)] * 5, "w STRING")
-    assert joins.fits_broadcast(df, 5, 500)
-    assert not joins.fits_broadcast(df, 4, 500)
-    assert not joins.fits_broadcast(df, 5, 499)
-
-
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
-def test_salted_join_equals_broadcast_join(spark, how):
-    facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
-    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3)], "key STRING, v INT")
-    small = joins.lookup_join(facts, lookup, "key", how, F.col("id"))
-    large = joins.lookup_join(facts, lookup, "key", how, F.col("id"), max_rows=2, salts=4)
-    assert "BroadcastHashJoin" in plan(small)
-    assert sorted(small.columns) == sorted(large.columns)
-    assert rows(small, *small.columns) == rows(large, *small.columns)
-
-
-def test_salted_join_splits_a_hot_key(spark):
-    facts = spark.range(8000).select("id", F.lit("hot").alias("key"))
-    lookup = spark.createDataFrame([("hot", 1)], "key STRING, v INT")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(joins.SALTS)))
-    sizes = [r["count"] for r in salted.groupBy("key", "_salt").count().collect()]
-    assert len(sizes) == joins.SALTS and max(sizes) < 8000 / joins.SALTS * 1.5
-    assert joins.lookup_join(facts, lookup, "key", "inner", F.col("id"), max_rows=0).count() == 8000
-
-
 def test_counted_join_is_whole_for_hot_and_cold_keys(spark):
     facts = spark.range(1000).select("id", F.when(F.col("id") < 400, "hot").otherwise((F.col("id") % 97).cast("string")).alias("term"))
     counted = stage(facts.groupBy("term").agg(F.count("*").alias("df")), "counted")
@@ -59,28 +32,46 @@ def test_counted_join_is_whole_for_hot_and_cold_keys(spark):
 # Lexicons
 
 
+HARD_LEXICONS = {
+    "whole": ([("good", 1), ("bad", -2)], "word STRING, weight INT", {"good": 1, "bad": -2}),
+    "double": ([("good", 0.75), ("bad", -0.5)], "word STRING, weight DOUBLE", {"good": 0.75, "bad": -0.5}),
+    "null weight": ([("good", 1), ("bad", None)], "word STRING, weight INT", {"good": 1, "bad": None}),
+    "repeated": ([("good", 1), ("good", 2), ("bad", -2)], "word STRING, weight INT", {"good": 3, "bad": -2}),
+}
+
+
+@pytest.mark.parametrize("kind", HARD_LEXICONS)
+def test_lexicon_plans_agree(spark, kind):
+    table, schema, mapping = HARD_LEXICONS[kind]
+    texts = ["good", "good good bad", "none", "", None, "bad good good", " Good\tday "]
+    posts = spark.createDataFrame([("same" if i < 2 else str(i), t) for i, t in enumerate(texts)], "id STRING, text STRING")
+    frame = spark.createDataFrame(table, schema)
+    inline = lexicon.lexicon_score(posts, mapping)
+    joined, shuffled = lexicon.lexicon_score(posts, frame), lexicon.lexicon_score(posts, frame, "merge")
+    assert inline.dtypes == joined.dtypes == shuffled.dtypes
+    assert rows(inline) == rows(joined) == rows(shuffled)
+    assert inline.count() == len(texts)
+
+
 def test_lexicon_score_matches_whole_tokens(spark):
     df = posts_frame(spark, ["great!", "great", "Love love bad", "nothing here", "", None, " sad\tday "])
-    table = lexicon.lexicon_table(spark, TOKEN_LEXICON)
-    joined = lexicon.lexicon_score(df, table)
+    scored = lexicon.lexicon_score(df, TOKEN_LEXICON)
     want = [("0", 0, "Neutral"), ("1", 1, "Positive"), ("2", 1, "Positive"), ("3", 0, "Neutral"), ("4", 0, "Neutral"),
             ("5", 0, "Neutral"), ("6", -1, "Negative")]
-    assert rows(joined) == want
-    assert "Exchange" not in plan(joined)
-    assert rows(lexicon.lexicon_score(df, table, inline_rows=3)) == want
-    assert rows(lexicon.lexicon_score(df, table, inline_rows=3, max_rows=3)) == want
+    assert rows(scored) == want
+    assert "Exchange" not in plan(scored) and "Join" not in plan(scored)
+    assert rows(lexicon.lexicon_score(df, lexicon.lexicon_table(spark, TOKEN_LEXICON))) == want
     inline = df.where("text IS NOT NULL").select("id", sentiment.token_score(F.col("text")).alias("s"))
     assert rows(inline) == [(i, s) for i, s, _ in want if i != "5"]
 
 
-def test_lexicon_join_is_broadcast_and_folds_before_the_shuffle(spark):
-    scored = lexicon.lexicon_score(posts_frame(spark, ["a b"]), lexicon.lexicon_table(spark, TOKEN_LEXICON), inline_rows=0)
-    text = plan(scored)
-    assert "BroadcastHashJoin" in text and "partial_sum" in text and "SortMergeJoin" not in text
+def test_lexicon_join_folds_before_the_shuffle(spark):
+    scored = lexicon.lexicon_score(posts_frame(spark, ["a b"]), lexicon.lexicon_table(spark, TOKEN_LEXICON))
+    assert "partial_sum" in plan(scored)
 
 
 def test_sample_posts(spark):
-    scored = lexicon.lexicon_score(posts_frame(spark, SAMPLE_POSTS), lexicon.lexicon_table(spark, TOKEN_LEXICON))
+    scored = lexicon.lexicon_score(posts_frame(spark, SAMPLE_POSTS), TOKEN_LEXICON)
     assert [r[1] for r in rows(scored)] == [2, -1, 2, -2, 2]
 
 
@@ -158,7 +149,7 @@ def test_approximate_words_are_close(spark, small):
 
 def test_corpus_stats_of_nothing(spark):
     empty = spark.createDataFrame([], "id STRING, text STRING, polarity INT")
-    assert tuple(wordstats.corpus_stats(empty).first()) == (0, 0, 0, None, 0, 0)
+    assert tuple(wordstats.corpus_stats(empty, empty).first()) == (0, 0, 0, None, 0, 0)
 
 
 # Reports
@@ -227,3 +218,27 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x").startswith(shared_folder(spark) + "/x-")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_rows_per_partition(spark):
+    df = spark.range(100).repartitionByRange(4, "id")
+    assert sum(r.n for r in reports.rows_per_partition(df).collect()) == 100
+    assert tuple(reports.partition_balance(spark.range(0)).first())[1] == 0
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_building_a_query_runs_no_job_and_moves_no_text(spark, small, broadcast):
+    from wordtide.plans import queries
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        group = f"built-{broadcast}"
+        spark.sparkContext.setJobGroup(group, group)
+        queries.labelled(spark, small)
+        metrics = queries.QUERIES["classification_metrics"](spark, small)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        for line in plan(metrics).split("\n"):
+            assert "Join" not in line or "text" not in line
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,18 +1,22 @@
 """Word lists, rule tables and constants that results depend on. Do not change."""
 
 # Words dropped by the tokenizer.
-STOPWORDS = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she "
-    "her hers herself it its itself they them their theirs themselves what which who whom this that "
-    "these those am is are was were be been being have has had having do does did doing a an the and "
-    "but if or because as until while of at by for with about against between into through during "
-    "before after above below to from up down in out on off over under again further then once here "
-    "there when where why how all each few more most other some such no nor not only own same so than "
-    "too very s t can will just don should now d ll m o re ve y ain aren couldn didn doesn hadn hasn "
-    "haven isn ma mightn mustn needn shan shouldn wasn weren won wouldn im ive id youre youve youd hes "
-    "shes theyre theyve theyd weve wed would could u ur rt dm fb tw twt lol haha omg wtf btw idk imo "
-    "tbh afaik fyi smh tbf ngl ikr"
-).split()
+STOPWORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves",
+    "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their",
+    "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up",
+    "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when",
+    "where", "why", "how", "all", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not",
+    "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "should", "now",
+    "d", "ll", "m", "o", "re", "ve", "y", "ain", "aren", "couldn", "didn", "doesn", "hadn", "hasn", "haven", "isn",
+    "ma", "mightn", "mustn", "needn", "shan", "shouldn", "wasn", "weren", "won", "wouldn", "im", "ive", "id",
+    "youre", "youve", "youd", "hes", "shes", "theyre", "theyve", "theyd", "weve", "wed", "would", "could", "u",
+    "ur", "rt", "dm", "fb", "tw", "twt", "lol", "haha", "omg", "wtf", "btw", "idk", "imo", "tbh", "afaik", "fyi",
+    "smh", "tbf", "ngl", "ikr",
+]
 
 # Suffix rules of the light stemmer, first match wins.
 SUFFIX_RULES = (
@@ -125,3 +129,6 @@ WORD2VEC_MIN_COUNT = 5
 BIGRAM_VOCABULARY = 20_000
 BIGRAM_MIN_DOCS = 5
 CV_FOLDS = 2
+
+# Fixed value: the name under which metadata is published.
+PIPELINE = "Layer 3 - Machine Learning"

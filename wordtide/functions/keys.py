@@ -40,4 +40,4 @@ def run_id(name: Column, at: Column) -> Column:
 
 def parse_post_date(date: Column) -> Column:
     """Timestamp of ``Mon Apr 06 22:19:45 PDT 2009``; NULL when it is not such a date."""
-    return F.try_to_timestamp(F.substring(date, 5, 100), F.lit(POST_DATE_FORMAT))
+    return F.try_to_timestamp(F.regexp_replace(date, "^.{0,4}", ""), F.lit(POST_DATE_FORMAT))

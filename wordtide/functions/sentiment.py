@@ -30,12 +30,13 @@ def sentiment_class(score: Column) -> Column:
     return F.when(score > 0, POSITIVE).when(score < 0, NEGATIVE).when(score == 0, NEUTRAL)
 
 
-def token_score(text: Column, lexicon: Mapping[str, int] = TOKEN_LEXICON) -> Column:
+def token_score(text: Column, lexicon: Mapping[str, float] = TOKEN_LEXICON) -> Column:
     """Sum of the weights of the words of ``text``; repeats count, unknown words count 0.
 
     The lexicon becomes one hash lookup per distinct weight inside the expression: no join, no shuffle.
     """
-    by_weight: dict[int, list[str]] = {}
+    zero = F.lit(0) if all(isinstance(n, int) for n in lexicon.values()) else F.lit(0.0)
+    by_weight: dict[float, list[str]] = {}
     for word, weight in lexicon.items():
         by_weight.setdefault(weight, []).append(word)
 
@@ -43,12 +44,12 @@ def token_score(text: Column, lexicon: Mapping[str, int] = TOKEN_LEXICON) -> Col
         return reduce(
             lambda rest, item: F.when(word.isin(*item[1]), F.lit(item[0])).otherwise(rest),
             by_weight.items(),
-            F.lit(0),
+            zero,
         )
 
     # Few words are known, so they are picked by one lookup each before any weighing.
     hits = F.filter(space_split(text), lambda word: word.isin(*lexicon))
-    return F.aggregate(hits, F.lit(0), lambda total, word: total + weigh(word))
+    return F.aggregate(hits, zero, lambda total, word: total + weigh(word))
 
 
 def substring_score(text: Column, lexicon: Mapping[str, int] = STREAM_LEXICON) -> Column:

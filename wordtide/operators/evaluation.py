@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordtide.session import stage
 
-# Distinct scores that one task may put in order: two counts and a score each.
-FEW_SCORES = 100_000
-
 METRICS = ["accuracy", "precision", "recall", "f1"]
 
 
@@ -55,28 +51,23 @@ def classification_metrics(predictions: DataFrame, *by: str, digits: int = 4) ->
     )
 
 
-def auc_roc(
-    predictions: DataFrame,
-    score: str = "score",
-    few: int = FEW_SCORES,
-    buckets: int | None = None,
-    digits: int = 6,
-) -> DataFrame:
+def auc_roc(predictions: DataFrame, score: str = "score", digits: int = 6) -> DataFrame:
     """Area under the ROC curve: the share of positive-negative pairs ranked right, ties counting half.
 
-    Exact for any scores. Equal scores are grouped first. Without ``buckets``, many scores are cut into four ranges per
-    shuffle partition, and no fewer than 256.
+    Exact for any scores. Infinite scores are the ends of the order; rows with a NULL or NaN score are left out. Equal
+    scores are folded first; the different ones are dealt out by ranges and written, and negatives are summed inside
+    each range on its own. A range then starts from the negatives of the ranges below it, one row for each range.
     """
     counts = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
     # Missing scores are left out only now: an earlier filter would move below the score and compute it twice.
-    grouped = stage(counts, "scores").where(F.col("score").isNotNull())
-    if grouped.count() <= few:
-        placed = grouped.select("pos", "neg", running_negatives(Window.orderBy("score")).alias("lower"))
-    else:
-        buckets = buckets or max(256, 4 * int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        placed = place_by_range(grouped, buckets)
+    known = counts.where(F.col("score").isNotNull() & ~F.isnan("score"))
+    ranges = stage(known.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "scores")
+    starts = ranges.groupBy("range").agg(F.sum("neg").alias("neg"))
+    starts = starts.select("range", running_negatives(Window.orderBy("range")).alias("start"))
+    inside = ranges.withColumn("inside", running_negatives(Window.partitionBy("range").orderBy("score")))
+    placed = inside.join(starts, "range").select("pos", "neg", (F.col("start") + F.col("inside")).alias("lower"))
     # Halves are counted as whole numbers to stay exact: 2 for a pair ranked right, 1 for a tie.
     twice = F.col("pos").cast("decimal(38,0)") * (2 * F.col("lower") + F.col("neg")).cast("decimal(20,0)")
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
@@ -86,20 +77,3 @@ def auc_roc(
 def running_negatives(window) -> Column:
     """Negatives before each row of an ordered window."""
     return F.coalesce(F.sum("neg").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-
-def place_by_range(grouped: DataFrame, buckets: int) -> DataFrame:
-    """Positives, negatives and the negatives with lower scores, for scores too many to order in one task.
-
-    Scores are cut into ranges of about equally many distinct scores, and negatives are summed inside each range on
-    its own. Each range then starts from the negatives of the ranges below it, a table of at most ``buckets`` rows.
-    """
-    cuts = grouped.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
-    edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
-    ranges = Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(grouped)
-    totals = ranges.groupBy("range").agg(F.sum("neg").alias("neg"))
-    starts = totals.select("range", running_negatives(Window.orderBy("range")).alias("start"))
-    inside = ranges.withColumn("inside", running_negatives(Window.partitionBy("range").orderBy("score")))
-    return inside.join(F.broadcast(starts), "range").select(
-        "pos", "neg", (F.col("start") + F.col("inside")).alias("lower")
-    )

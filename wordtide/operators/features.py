@@ -22,6 +22,9 @@ from wordtide.functions.arrays import bigrams, explode_words, term_counts
 from wordtide.operators.joins import counted_join
 from wordtide.session import stage
 
+# Tasks that share the training of word vectors: more of them harm the vectors and move the model more often.
+WORD2VEC_TASKS = 8
+
 # Spark keeps all word vectors in one float array on the driver.
 WORD2VEC_MAX_FLOATS = 2**31 - 1
 
@@ -39,7 +42,7 @@ def light_stages(cleaned: str = "cleaned_text", buckets: int = HASH_BUCKETS_LIGH
 
 
 def word2vec_stage(
-    partitions: int,
+    partitions: int = WORD2VEC_TASKS,
     tokens: str = "stemmed_tokens",
     size: int = WORD2VEC_SIZE,
     min_count: int = WORD2VEC_MIN_COUNT,
@@ -115,16 +118,17 @@ def document_frequencies(pairs: DataFrame) -> DataFrame:
 
 
 def tfidf_terms(docs: DataFrame, tokens: str, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
-    """Rows of id, term, tf, tfidf, by exact terms instead of hash buckets.
+    """Rows of id, split, term, tf, tfidf, by exact terms instead of hash buckets.
 
-    ``idf = ln((N + 1) / (df + 1))``, and 0 for terms in fewer than ``min_doc_freq`` documents.
+    ``idf = ln((N + 1) / (df + 1))``, and 0 for terms in fewer than ``min_doc_freq`` documents, is fitted on the rows
+    whose ``split`` is train and weighs the terms of all rows; terms that no training document has are left out.
     """
-    pairs = stage(term_counts(docs, tokens, "id"), "term-counts")
-    frequencies = stage(document_frequencies(pairs), "document-frequencies")
-    n_docs = docs.agg(F.count("*")).scalar()
+    pairs = stage(term_counts(docs, tokens, "id", "split"), "term-counts")
+    frequencies = stage(document_frequencies(pairs.where("split = 'train'")), "document-frequencies")
+    n_docs = docs.where("split = 'train'").agg(F.count("*")).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((n_docs + 1) / (F.col("df") + 1))).otherwise(0.0)
     joined = counted_join(pairs, frequencies, "term", "df")
-    return joined.select("id", "term", "tf", F.round(F.col("tf") * idf, 6).alias("tfidf"))
+    return joined.select("id", "split", "term", "tf", F.round(F.col("tf") * idf, 6).alias("tfidf"))
 
 
 def bigram_rows(docs: DataFrame, tokens: str) -> DataFrame:

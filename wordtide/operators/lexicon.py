@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from wordtide.fixed_values import STOPWORDS
 from wordtide.functions.sentiment import sentiment_class, token_score
 from wordtide.functions.text import space_split
-from wordtide.operators.joins import lookup_join
 from wordtide.schemas import LEXICON
 
-# Words of a lexicon that is written into the expression.
-INLINE_ROWS = 2_000
-
 
 def lexicon_table(spark: SparkSession, lexicon: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(list(lexicon.items()), LEXICON)
@@ -25,26 +21,33 @@ def word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], "word STRING")
 
 
-def lexicon_score(posts: DataFrame, lexicon: DataFrame, inline_rows: int = INLINE_ROWS, **join_options) -> DataFrame:
-    """Score and class of each post: the summed weights of its words, 0 where none is known.
+def lexicon_score(posts: DataFrame, lexicon: Mapping[str, float] | DataFrame, hint: str | None = None) -> DataFrame:
+    """Score and class of each row of ``posts``: the summed weights of its words, 0 where none is known.
 
-    ``posts`` has one row per ``id``, ``lexicon`` one row per ``word`` with its ``weight``. A lexicon of at most
-    ``inline_rows`` words becomes part of the expression, so posts are neither joined nor shuffled. A larger one is
-    joined, by broadcast or by salted shuffle; word rows of one post are next to each other, so the partial
-    aggregate folds them back to one row per post before they are shuffled by id.
+    A mapping becomes part of the expression: no job, join or shuffle. A table of ``word`` and ``weight`` is joined;
+    Spark broadcasts it while its statistics say that it is small, and otherwise splits words that hold much of the
+    text. Both give the same rows: the score is a whole number if all weights are, a word listed twice has both
+    weights, a NULL weight counts nothing, and rows that repeat an id are scored one by one. ``hint`` names a join
+    strategy.
     """
-    known = lexicon.select("word", "weight").limit(inline_rows + 1).collect()
-    if len(known) <= inline_rows:
-        score = F.coalesce(token_score(F.col("text"), dict(known)), F.lit(0)).cast("bigint")
+    if isinstance(lexicon, Mapping):
+        known = {w: n for w, n in lexicon.items() if n is not None}
+        whole = all(isinstance(n, int) for n in known.values())
+        score = F.coalesce(token_score(F.col("text"), known), F.lit(0)).cast("bigint" if whole else "double")
         scores = posts.select("id", score.alias("score"))
     else:
-        words = posts.select("id", F.explode_outer(space_split(F.col("text"))).alias("word"))
-        weighed = lookup_join(words, lexicon, "word", "left", F.col("id"), **join_options)
-        scores = weighed.groupBy("id").agg(F.sum(F.coalesce("weight", F.lit(0))).alias("score"))
+        whole = dict(lexicon.dtypes)["weight"] in ("tinyint", "smallint", "int", "bigint")
+        weights = lexicon.groupBy("word").agg(F.sum("weight").cast("bigint" if whole else "double").alias("weight"))
+        rows = posts.select(F.monotonically_increasing_id().alias("_row"), "id", "text")
+        words = rows.select("_row", "id", F.explode_outer(space_split(F.col("text"))).alias("word"))
+        # Word rows of one post are next to each other, so they are folded back before they are shuffled.
+        weighed = words.join(weights.hint(hint) if hint else weights, "word", "left")
+        zero = F.lit(0).cast("bigint" if whole else "double")
+        scores = weighed.groupBy("_row", "id").agg(F.sum(F.coalesce("weight", zero)).alias("score")).drop("_row")
     return scores.withColumn("sentiment", sentiment_class(F.col("score")))
 
 
 def remove_stopwords(tokens: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
     """Rows of ``tokens`` whose ``token`` is not a stopword; positions and repeats are kept."""
     table = word_table(tokens.sparkSession, stopwords).withColumnRenamed("word", "token")
-    return lookup_join(tokens, table, "token", "left_anti", F.col("id"))
+    return tokens.join(table, "token", "left_anti")

@@ -22,7 +22,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.fixed_values import CV_FOLDS, SEED, WORD2VEC_SIZE
+from wordtide.fixed_values import CV_FOLDS, SEED
 from wordtide.functions.keys import fold, run_id
 from wordtide.schemas import RUN_RECORD
 
@@ -38,7 +38,7 @@ MODELS = {
     "Linear SVM": (LinearSVC, {"featuresCol": TFIDF, "regParam": 0.1}, {"maxIter": [10, 20]}),
     "MLP": (
         MultilayerPerceptronClassifier,
-        {"featuresCol": WORD2VEC, "layers": [WORD2VEC_SIZE, 16, 2], "blockSize": 32, "seed": SEED},
+        {"featuresCol": WORD2VEC, "blockSize": 32, "seed": SEED},
         {"maxIter": [10, 20]},
     ),
     "Logistic Regression": (LogisticRegression, {"featuresCol": TFIDF, "maxIter": 10}, {}),
@@ -50,9 +50,28 @@ MODELS = {
 COMPARED = ["Random Forest", "Linear SVM", "MLP"]
 
 
-def estimator_of(name: str) -> tuple[Estimator, dict[str, list]]:
+# Hidden and output units of the perceptron; its input is as wide as the vectors.
+MLP_UNITS = [16, 2]
+
+
+def vector_size(df: DataFrame, column: str) -> int:
+    """Size of a vector column: from its metadata, or else from the first row that has one."""
+    attributes = df.schema[column].metadata.get("ml_attr", {})
+    if "num_attrs" in attributes:
+        return int(attributes["num_attrs"])
+    first = df.where(F.col(column).isNotNull()).select(column).first()
+    if first is None:
+        raise ValueError(f"{column} has no vectors")
+    return len(first[0])
+
+
+def estimator_of(name: str, train: DataFrame | None = None) -> tuple[Estimator, dict[str, list]]:
+    """The model's estimator and the values to try; ``train`` gives the width that a perceptron needs."""
     kind, settings, values = MODELS[name]
-    return kind(labelCol="label", **settings), values
+    estimator = kind(labelCol="label", **settings)
+    if name == "MLP" and train is not None:
+        estimator.setLayers([vector_size(train, estimator.getFeaturesCol()), *MLP_UNITS])
+    return estimator, values
 
 
 def param_grid(estimator: Estimator, values: Mapping[str, list]) -> list:
@@ -74,7 +93,7 @@ def persisted(df: DataFrame):
 
 def fit(name: str, train: DataFrame) -> Model:
     """One model with the first value of each tuning list."""
-    estimator, values = estimator_of(name)
+    estimator, values = estimator_of(name, train)
     with persisted(train.select("label", estimator.getFeaturesCol())) as frame:
         return estimator.fit(frame, {estimator.getParam(k): v[0] for k, v in values.items()})
 
@@ -86,7 +105,7 @@ def cross_validate(
 
     Folds follow from the id, so they are the same on every run and layout.
     """
-    estimator, values = estimator_of(name)
+    estimator, values = estimator_of(name, train)
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid(estimator, values),
@@ -122,9 +141,13 @@ def log_run(
     seconds: float,
     at: datetime,
 ) -> DataFrame:
-    """Append one run to the run table at ``path`` and return it. Equal runs at the same time get the same id."""
+    """Write one run as its own partition of the run table at ``path`` and return it.
+
+    Equal runs at the same time get the same id, so a retried run replaces what the failed try left.
+    """
     row = spark.createDataFrame(
         [("", name, dict(metrics), {k: str(v) for k, v in params.items()}, float(seconds), at)], RUN_RECORD
     ).withColumn("run_id", run_id(F.col("model_name"), F.col("timestamp")))
-    row.write.mode("append").parquet(path)
+    written = row.first()["run_id"]
+    row.drop("run_id").write.mode("overwrite").parquet(f"{path}/run_id={written}")
     return row

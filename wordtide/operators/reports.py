@@ -59,13 +59,14 @@ def daily_trend(scored: DataFrame, ts: str = "ts") -> DataFrame:
         F.count_if(F.col("sentiment") == POSITIVE).alias("positive"),
         F.count_if(F.col("sentiment") == NEGATIVE).alias("negative"),
     )
-    span = per_day.agg(F.min("day").alias("first"), F.max("day").alias("last")).where(F.col("first").isNotNull())
-    days = span.select(F.explode(F.sequence("first", "last")).alias("day"))
-    return days.join(per_day, "day", "left").select(
-        "day",
-        F.coalesce("positive", F.lit(0)).alias("positive"),
-        F.coalesce("negative", F.lit(0)).alias("negative"),
-    )
+    # One row per day is few: they are put into one map, so that the messages are read once.
+    known = per_day.where(F.col("day").isNotNull())
+    entries = F.map_from_entries(F.collect_list(F.struct("day", F.struct("positive", "negative"))))
+    span = known.agg(F.min("day").alias("first"), F.max("day").alias("last"), entries.alias("counts"))
+    days = span.where(F.col("first").isNotNull()).select("counts", F.explode(F.sequence("first", "last")).alias("day"))
+    count = F.try_element_at("counts", F.col("day"))
+    zero = F.lit(0).cast("bigint")
+    return days.select("day", F.coalesce(count["positive"], zero).alias("positive"), F.coalesce(count["negative"], zero).alias("negative"))
 
 
 def source_polarity_counts(posts: DataFrame) -> DataFrame:
@@ -134,3 +135,18 @@ def throughput_report(runs: DataFrame, baseline: str) -> DataFrame:
         F.round(F.try_divide(base_seconds, F.col("seconds")), 6).alias("speedup"),
         F.round((F.try_divide(rate, base_rate) - 1) * 100, 6).alias("gain_pct"),
     )
+
+
+def rows_per_partition(df: DataFrame) -> DataFrame:
+    """How many rows each partition of ``df`` has; empty partitions are not listed."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n"))
+
+
+def partition_balance(df: DataFrame) -> DataFrame:
+    """One row: partitions with rows, all rows, and the fewest and most rows of a partition."""
+    return rows_per_partition(df).agg(
+        F.count("*").alias("partitions"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.min("n").alias("fewest"),
+        F.max("n").alias("most"),
+    )

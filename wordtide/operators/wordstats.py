@@ -50,12 +50,12 @@ def unique_words_approx(posts: DataFrame, rule: str = "letters", rsd: float = 0.
     return words_of(posts, rule).agg(F.approx_count_distinct("word", rsd).alias("unique_words"))
 
 
-def corpus_stats(posts: DataFrame, rule: str = "letters") -> DataFrame:
+def corpus_stats(texts: DataFrame, posts: DataFrame, rule: str = "letters") -> DataFrame:
     """Records, words, distinct words, words per record and class counts.
 
-    Words come from the word counts; records and classes from a second scan that reads no text.
+    Words come from the word counts of ``texts``; records and classes from ``posts``, which need no text.
     """
-    word_totals = word_count(posts, rule).agg(
+    word_totals = word_count(texts, rule).agg(
         F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct"))
     )
     records = posts.agg(

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.fixed_values import CV_FOLDS
+from wordtide.fixed_values import CV_FOLDS, PIPELINE
 from wordtide.functions.keys import in_sample, split_name
 from wordtide.operators import evaluation, features, models, reports
 from wordtide.operators.preprocess import preprocess
@@ -61,12 +61,12 @@ def run(
     at: datetime,
     names: list[str] | None = None,
     train_fraction: float = 1.0,
-    test_fraction: float = 1.0,
     **settings,
 ) -> dict[str, str]:
     """The whole job. Returns the paths of the published tables.
 
-    The fractions draw repeatable samples of the two sides for trial runs on small machines.
+    ``train_fraction`` draws a repeatable sample of the rows that are fitted, for trial runs on small machines. What is
+    predicted and published is always whole.
     """
     configure(spark)
     names = names or models.COMPARED
@@ -74,8 +74,6 @@ def run(
     train, test = write_features(spark, out, **settings)
     if train_fraction < 1:
         train = train.where(in_sample(F.col("id"), train_fraction))
-    if test_fraction < 1:
-        test = test.where(in_sample(F.col("id"), test_fraction))
 
     results = [train_model(name, train, test, out, at) for name in names]
     rows = [{"position": i, **result} for i, result in enumerate(results)]
@@ -83,12 +81,13 @@ def run(
     best = max(rows, key=lambda r: r["f1"])["model_name"]
 
     kept = spark.read.parquet(f"{out}/predictions/{models.model_slug(best)}")
-    served = metrics.withColumns({"is_best": F.col("model_name") == best, "timestamp": F.lit(at), "version": F.lit("1.0")})
+    served = metrics.drop("position").withColumnsRenamed({"f1": "f1_score", "auc": "auc_roc"})
+    served = served.withColumns({"is_best": F.col("model_name") == best, "timestamp": F.lit(at), "version": F.lit("1.0")})
     winner = reports.model_metadata(metrics, CV_FOLDS, models.estimator_of(best)[0].getFeaturesCol())
     return publish(
         f"{out}/published",
         model_metrics=served,
-        model_metadata=winner.withColumn("timestamp", F.lit(at)),
+        model_metadata=winner.withColumns({"timestamp": F.lit(at), "pipeline": F.lit(PIPELINE)}),
         batch_predictions=published_predictions(kept, best, at),
     )
 
@@ -99,16 +98,15 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for tables and models, shared by all executors")
     parser.add_argument("--encoding", default="UTF-8")
     parser.add_argument("--train-fraction", type=float, default=1.0)
-    parser.add_argument("--test-fraction", type=float, default=1.0)
+    parser.add_argument("--multi-line", action="store_true", help="posts may hold line breaks; a file is then one task")
     args = parser.parse_args()
     spark = build_session("batch")
     run(
         spark,
-        read_posts(spark, args.posts, args.encoding),
+        read_posts(spark, args.posts, args.encoding, multi_line=args.multi_line),
         args.out,
         datetime.now(),
         train_fraction=args.train_fraction,
-        test_fraction=args.test_fraction,
     )
 
 

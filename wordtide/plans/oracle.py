@@ -26,6 +26,7 @@ from wordtide.fixed_values import (
     SUFFIX_RULES,
     TOKEN_LEXICON,
     TRAIN_PERCENT,
+    WORD2VEC_SIZE,
 )
 
 
@@ -236,6 +237,13 @@ def with_ctes(ctes: str, query: str) -> str:
     return f"WITH {ctes} {query}"
 
 
+SPLIT = f"CASE WHEN {bucket('id', 100)} < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END"
+
+VALID_STEMS = f"""{VALID},
+clean AS (SELECT id, label, {cleaned('text')} AS cleaned_text FROM valid),
+tokens AS (SELECT id, label, {token_list('cleaned_text')} AS stems FROM clean),
+valid_stems AS (SELECT id, label, stems FROM tokens)"""
+
 ORACLE: dict[str, str] = {
     "valid_posts": with_ctes(VALID, "SELECT id, polarity FROM valid"),
     "binary_label": with_ctes(
@@ -322,6 +330,22 @@ ORACLE: dict[str, str] = {
         "SELECT event_id, text, CASE WHEN h > 0 THEN 'Positive' ELSE 'Negative' END AS sentiment, "
         "CAST(h + 5 AS DOUBLE) / 10 AS confidence FROM hits",
     ),
+    "keyword_predict_documents": with_ctes(
+        DOCS,
+        f"SELECT id, CASE WHEN {contained('text', KEYWORDS)} > 0 THEN 'Positive' ELSE 'Negative' END AS sentiment, "
+        f"CAST({KEYWORD_CONFIDENCE} AS DOUBLE) AS confidence FROM docs",
+    ),
+    "confidence_predict_documents": with_ctes(
+        f"{DOCS}, hits AS (SELECT id, {contained('text', CONFIDENCE_WORDS)} AS h FROM docs)",
+        "SELECT id, CASE WHEN h > 0 THEN 'Positive' ELSE 'Negative' END AS sentiment, CAST(h + 5 AS DOUBLE) / 10 AS confidence FROM hits",
+    ),
+    "partition_balance": "SELECT count(*) AS n, true AS sound FROM documents",
+    "unique_words_error": with_ctes(f"{DOCS}, {counts('letters')}", "SELECT count(*) AS unique_words, true AS near FROM counts"),
+    "hashing_tf_totals": with_ctes(
+        f"{VALID_STEMS}", f"SELECT id, label, {SPLIT} AS split, len(stems) AS stems FROM valid_stems"
+    ),
+    "feature_facts": with_ctes(VALID, f"SELECT id, label, {SPLIT} AS split, CAST({WORD2VEC_SIZE} AS INTEGER) AS size, true AS sound FROM valid"),
+    "reload_facts": with_ctes(VALID, f"SELECT id, label, true AS same FROM valid WHERE {SPLIT} = 'test'"),
     "sentiment_counts": with_ctes(SCORED, "SELECT sentiment, count(*) AS n FROM scored GROUP BY sentiment"),
     "sentiment_pivot": with_ctes(
         SCORED,
@@ -436,11 +460,11 @@ ORACLE: dict[str, str] = {
         DOCS, f"SELECT id, CAST({bucket('id', CV_FOLDS, 'fold')} AS INTEGER) AS fold FROM docs"
     ),
     "tfidf_terms": with_ctes(
-        f"{STEMS}, train AS (SELECT * FROM stems WHERE {bucket('id', 100)} < {TRAIN_PERCENT}), "
-        "pairs AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(stems) AS term FROM train) GROUP BY ALL), "
-        "df AS (SELECT term, count(*) AS df FROM pairs GROUP BY term)",
-        "SELECT id, term, tf, round(tf * "
-        f"CASE WHEN df >= {MIN_DOC_FREQ} THEN ln(((SELECT count(*) FROM train) + 1) / (df + 1)) ELSE 0 END, 6) AS tfidf "
+        f"{STEMS}, split AS (SELECT id, stems, CASE WHEN {bucket('id', 100)} < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split FROM stems), "
+        "pairs AS (SELECT id, split, term, count(*) AS tf FROM (SELECT id, split, unnest(stems) AS term FROM split) GROUP BY ALL), "
+        "df AS (SELECT term, count(*) AS df FROM pairs WHERE split = 'train' GROUP BY term)",
+        "SELECT id, split, term, tf, round(tf * CASE WHEN df >= "
+        f"{MIN_DOC_FREQ} THEN ln(((SELECT count(*) FROM split WHERE split = 'train') + 1) / (df + 1)) ELSE 0 END, 6) AS tfidf "
         "FROM pairs JOIN df USING (term)",
     ),
     "bigrams": with_ctes(

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from wordtide.fixed_values import (
     MESSAGE_TEXTS,
     SAMPLE_POSTS,
     TOKEN_LEXICON,
+    WORD2VEC_MIN_COUNT,
+    WORD2VEC_SIZE,
 )
 from wordtide.functions import keys, text
 from wordtide.functions.arrays import explode_words
@@ -60,8 +63,20 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.spread(tables.documents(spark, sf_dir), "id")
 
 
+def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their own key, spread over all cores."""
+    return tables.spread(tables.read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(valid_posts(tables.posts(spark, sf_dir)), "id")
+    return valid_posts(tables.with_polarity(spark, sf_dir, scan(spark, sf_dir)))
+
+
+def labelled_answers(spark: SparkSession, sf_dir: str, **answers) -> DataFrame:
+    """id, label and columns computed from the text, of the valid posts. The texts stay where they are read."""
+    given = scan(spark, sf_dir).where(F.length("text") > 0).select("doc_id", *(c.alias(k) for k, c in answers.items()))
+    posts = tables.with_polarity(spark, sf_dir, given).where(F.col("polarity").isin(0, 4))
+    return posts.select("id", binary_label(F.col("polarity")).alias("label"), *answers)
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +86,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexicon.lexicon_score(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON))
+    return lexicon.lexicon_score(docs(spark, sf_dir), CORPUS_LEXICON)
 
 
 # Filters and labels
@@ -201,7 +216,7 @@ def q_top_words_by_label(spark, sf_dir):
 
 @query
 def q_corpus_stats(spark, sf_dir):
-    return wordstats.corpus_stats(tables.spread(tables.posts(spark, sf_dir), "id"))
+    return wordstats.corpus_stats(docs(spark, sf_dir), tables.posts(spark, sf_dir).select("polarity"))
 
 
 @query
@@ -224,15 +239,14 @@ def q_lexicon_score(spark, sf_dir):
 
 @query
 def q_lexicon_score_join(spark, sf_dir):
-    """The same score through the join that larger lexicons take."""
-    return lexicon.lexicon_score(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON), inline_rows=0)
+    """The same score through the join that a lexicon in a table takes."""
+    return lexicon.lexicon_score(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON))
 
 
 @query
 def q_lexicon_score_salted(spark, sf_dir):
-    """The same score through the salted join of lexicons too large to broadcast."""
-    table = lexicon.lexicon_table(spark, CORPUS_LEXICON)
-    return lexicon.lexicon_score(docs(spark, sf_dir), table, inline_rows=0, max_rows=0)
+    """The same score through the shuffled join of lexicons too large to broadcast, whose large words Spark splits."""
+    return lexicon.lexicon_score(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON), "merge")
 
 
 @query
@@ -241,7 +255,7 @@ def q_lexicon_score_samples(spark, sf_dir):
     texts = F.array(*(F.lit(t) for t in (*SAMPLE_POSTS, *MESSAGE_TEXTS)))
     pick = F.get(texts, F.pmod("event_id", F.lit(len(SAMPLE_POSTS) + len(MESSAGE_TEXTS))).cast("int"))
     samples = tables.read_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), pick.alias("text"))
-    return lexicon.lexicon_score(samples, lexicon.lexicon_table(spark, TOKEN_LEXICON))
+    return lexicon.lexicon_score(samples, TOKEN_LEXICON)
 
 
 @query
@@ -277,9 +291,27 @@ def q_confidence_predict(spark, sf_dir):
     )
 
 
+@query
+def q_keyword_predict_documents(spark, sf_dir):
+    return docs(spark, sf_dir).select("id", keyword_predict(F.col("text")).alias("p")).select("id", "p.*")
+
+
+@query
+def q_confidence_predict_documents(spark, sf_dir):
+    return docs(spark, sf_dir).select("id", confidence_predict(F.col("text")).alias("p")).select("id", "p.*")
+
+
 # Reports
 
 
+@query
+def q_partition_balance(spark, sf_dir):
+    """Rows by partition of the documents' scan; every row is in one of them, however many there are."""
+    balance = reports.partition_balance(tables.read_table(spark, sf_dir, "documents"))
+    sound = (F.col("fewest") <= F.col("most")) & (F.col("most") * F.col("partitions") >= F.col("n"))
+    return balance.select("n", sound.alias("sound"))
+
+
 @query
 def q_sentiment_counts(spark, sf_dir):
     return reports.sentiment_counts(scored_documents(spark, sf_dir))
@@ -340,7 +372,7 @@ def q_throughput_report(spark, sf_dir):
 def lexicon_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid posts with lexicon score and prediction: id, label, score, prediction."""
     score = token_score(F.col("text"), CORPUS_LEXICON)
-    scored = labelled(spark, sf_dir).select("id", binary_label(F.col("polarity")).alias("label"), score.alias("score"))
+    scored = labelled_answers(spark, sf_dir, score=score)
     return scored.withColumn("prediction", F.when(F.col("score") < 0, 0.0).otherwise(1.0))
 
 
@@ -356,9 +388,7 @@ def heuristic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(name).alias("model_name"), F.lit(i).alias("position"), rule.cast("double").alias("prediction"))
         for i, (name, rule) in enumerate(rules.items())
     ]
-    predictions = labelled(spark, sf_dir).select(
-        binary_label(F.col("polarity")).alias("label"), F.inline(F.array(*votes))
-    )
+    predictions = labelled_answers(spark, sf_dir, votes=F.array(*votes)).select("label", F.inline("votes"))
     return evaluation.classification_metrics(predictions, "model_name", "position")
 
 
@@ -374,10 +404,10 @@ def q_auc_roc(spark, sf_dir):
 
 @query
 def q_auc_roc_values(spark, sf_dir):
-    """AUC of a score with many distinct values, by ranges: event value as a sign of error events."""
+    """AUC of a score with many distinct values: event value as a sign of error events."""
     events = tables.read_table(spark, sf_dir, "events")
     error = (F.col("event_type") == "error").cast("int")
-    return evaluation.auc_roc(events.select(error.alias("label"), F.col("value").alias("score")), few=1000)
+    return evaluation.auc_roc(events.select(error.alias("label"), F.col("value").alias("score")))
 
 
 @query
@@ -410,9 +440,7 @@ def q_published_predictions(spark, sf_dir):
         words = [w for w, weight in CORPUS_LEXICON.items() if weight == sign]
         return F.size(F.filter(text.space_split(F.col("text")), lambda w: w.isin(*words)))
 
-    scored = labelled(spark, sf_dir).select(
-        "id", binary_label(F.col("polarity")).alias("actual_label"), hits(-1).alias("score_neg"), hits(1).alias("score_pos")
-    )
+    scored = labelled_answers(spark, sf_dir, score_neg=hits(-1), score_pos=hits(1)).withColumnRenamed("label", "actual_label")
     predicted = scored.withColumn("predicted_label", (F.col("score_pos") >= F.col("score_neg")).cast("int"))
     paths = sinks.publish(fresh_path(spark, "published"), predictions=predicted)
     read = spark.read.schema(predicted.schema).parquet(paths["predictions"])
@@ -424,7 +452,7 @@ def q_published_predictions(spark, sf_dir):
 
 @query
 def q_csv_roundtrip(spark, sf_dir):
-    posts = tables.posts(spark, sf_dir).select(
+    posts = tables.with_polarity(spark, sf_dir, scan(spark, sf_dir)).select(
         "polarity",
         "id",
         F.lit(None).cast("string").alias("date"),
@@ -433,7 +461,7 @@ def q_csv_roundtrip(spark, sf_dir):
         "text",
     )
     path = fresh_path(spark, "posts-csv")
-    posts_csv.write_posts(tables.spread(posts, "id"), path)
+    posts_csv.write_posts(posts, path)
     return posts_csv.read_posts(spark, path, multi_line=True).select("id", "polarity", "text")
 
 
@@ -536,15 +564,15 @@ def q_fold_assignment(spark, sf_dir):
 # Features
 
 
-def stemmed_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stems of the training documents, computed once: id, stemmed_tokens."""
-    train = docs(spark, sf_dir).where(keys.split_name(F.col("id")) == "train")
-    return stage(with_stems(train).select("id", "stemmed_tokens"), "stems")
+def stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stems of all documents, computed once: id, split, stemmed_tokens."""
+    stems = with_stems(docs(spark, sf_dir)).select("id", keys.split_name(F.col("id")).alias("split"), "stemmed_tokens")
+    return stage(stems, "stems")
 
 
 @query
 def q_tfidf_terms(spark, sf_dir):
-    return features.tfidf_terms(stemmed_train(spark, sf_dir), "stemmed_tokens")
+    return features.tfidf_terms(stemmed(spark, sf_dir), "stemmed_tokens")
 
 
 @query
@@ -574,6 +602,8 @@ def featured(spark: SparkSession, sf_dir: str, stages: Callable[[], list]) -> tu
     """Train and test posts with the features of ``stages``, fitted on the training posts."""
     posts = training_posts(spark, sf_dir)
     train = posts.where("split = 'train'")
+    if any(isinstance(one, Word2Vec) for one in stages()):
+        features.check_word2vec_vocabulary(train, "stemmed_tokens", WORD2VEC_SIZE, WORD2VEC_MIN_COUNT)
     both = Pipeline(stages=stages()).fit(train).transform(posts)
     return both.where("split = 'train'"), both.where("split = 'test'")
 
@@ -597,15 +627,14 @@ def q_tfidf_vectors(spark, sf_dir):
 
 @query
 def q_word2vec(spark, sf_dir):
-    width = spark.sparkContext.defaultParallelism
-    train, test = featured(spark, sf_dir, lambda: [features.word2vec_stage(width)])
+    train, test = featured(spark, sf_dir, lambda: [features.word2vec_stage()])
     return train.unionByName(test).select("id", "label", vector_to_array("word2vec_features").alias("word2vec_features"))
 
 
 @query
 def q_feature_table(spark, sf_dir):
     posts = training_posts(spark, sf_dir)
-    model = features.feature_model(posts.where("split = 'train'"), spark.sparkContext.defaultParallelism)
+    model = features.feature_model(posts.where("split = 'train'"), features.WORD2VEC_TASKS)
     return model.transform(posts).select(
         "id",
         "label",
@@ -616,6 +645,42 @@ def q_feature_table(spark, sf_dir):
     )
 
 
+# What can be checked by value of features whose numbers have no SQL form.
+
+
+@query
+def q_unique_words_error(spark, sf_dir):
+    """Exact number of distinct words, and whether the estimate is within a twentieth of it."""
+    exact = wordstats.unique_words(docs(spark, sf_dir))
+    estimate = wordstats.unique_words_approx(docs(spark, sf_dir)).scalar()
+    near = F.abs(estimate - F.col("unique_words")) * 20 <= F.col("unique_words")
+    return exact.select("unique_words", near.alias("near"))
+
+
+@query
+def q_hashing_tf_totals(spark, sf_dir):
+    """Term occurrences of each post in its hashed vector: as many as it has stems."""
+    hashed = features.tfidf_stages()[0].transform(training_posts(spark, sf_dir))
+    values = F.col("raw_features_values")
+    vectors = hashed.select("id", "label", "split", *features.sparse_arrays("raw_features"))
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v).cast("bigint")
+    return vectors.select("id", "label", "split", total.alias("stems"))
+
+
+@query
+def q_feature_facts(spark, sf_dir):
+    """Every valid post with its split, the size of its word vector, and whether its weights are sound."""
+    table = q_feature_table(spark, sf_dir)
+    sound = F.forall("tfidf_features_values", lambda v: v >= 0) & (F.size("tfidf_features_values") == F.size("tfidf_features_indices"))
+    return table.select("id", "label", "split", F.size("word2vec_features").alias("size"), sound.alias("sound"))
+
+
+@query
+def q_reload_facts(spark, sf_dir):
+    """Every test post, and whether the reloaded model predicts what the saved one did."""
+    return q_model_roundtrip(spark, sf_dir).select("id", "label", (F.col("before") == F.col("prediction")).alias("same"))
+
+
 # Models
 
 
@@ -635,8 +700,7 @@ def q_train_linear_svm(spark, sf_dir):
 
 @query
 def q_train_mlp(spark, sf_dir):
-    width = spark.sparkContext.defaultParallelism
-    return predictions_of("MLP", *featured(spark, sf_dir, lambda: [features.word2vec_stage(width)]))
+    return predictions_of("MLP", *featured(spark, sf_dir, lambda: [features.word2vec_stage()]))
 
 
 @query
@@ -720,16 +784,13 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_stream_sentiment_counts(spark, sf_dir):
-    counts = reports.sentiment_counts(streamed_events(spark, sf_dir))
-    rows = stream_sinks.run_to_table(counts, fresh_path(spark, "stream"), "update")
-    return stream_sinks.latest(rows, "sentiment")
+    return stream_sinks.run_to_totals(streamed_events(spark, sf_dir), reports.sentiment_counts, fresh_path(spark, "stream"))
 
 
 def stream_trend(spark: SparkSession, sf_dir: str, window: str, slide: str | None = None) -> DataFrame:
-    trend = scoring.trend(streamed_events(spark, sf_dir), "ts", window, slide)
-    rows = stream_sinks.run_to_table(trend, fresh_path(spark, "stream"), "update")
-    newest = stream_sinks.latest(rows, "window_start", "sentiment")
-    return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    counted = lambda df: scoring.trend(df, "ts", window, slide)
+    totals = stream_sinks.run_to_totals(streamed_events(spark, sf_dir), counted, fresh_path(spark, "stream"))
+    return totals.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query
@@ -746,5 +807,5 @@ def q_stream_trend_sliding(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     """Every event is delivered twice and kept once."""
     twice = streamed_events(spark, sf_dir).union(streamed_events(spark, sf_dir))
-    once = scoring.drop_repeats(twice, "event_id", "ts").select("event_id", "event_type")
+    once = scoring.drop_repeats(twice, "event_id").select("event_id", "event_type")
     return stream_sinks.run_to_table(once, fresh_path(spark, "stream")).drop("batch_id")

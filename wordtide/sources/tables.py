@@ -15,9 +15,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, so that costly text work uses all of them.
+    """Spread a bare scan that has fewer splits than the cluster has cores, so that costly text work uses all of them.
 
-    A small table is one file and would be one task. A large one has more splits than cores and is left alone.
+    A small table is one file and would be one task. A large one has more splits than cores and is left alone. Only for
+    scans and columns of them: counting the splits of a join would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
@@ -35,11 +36,18 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     Spark broadcasts the labels while they are small, by its size statistics, and otherwise sorts and merges both
     sides on the key.
     """
-    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    return with_polarity(spark, folder, read_table(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
+def with_polarity(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
+    """``docs`` with their polarity, and their doc_id as text ``id``.
+
+    What is computed from a text should be computed before, so that the join moves results and not texts.
+    """
+    labels = read_table(spark, folder, "labels").select("doc_id", "toxic")
     polarity = F.when(F.col("toxic") == 0, POLARITY_POSITIVE).when(F.col("toxic") == 1, POLARITY_NEGATIVE)
-    return docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").cast("string").alias("id"), "text", "source", polarity.alias("polarity")
-    )
+    others = [c for c in docs.columns if c != "doc_id"]
+    return docs.join(labels, "doc_id", "left").select(F.col("doc_id").cast("string").alias("id"), *others, polarity.alias("polarity"))
 
 
 def scored_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,17 +23,19 @@ def parse_and_score(raw: DataFrame, schema: str, lexicon: Mapping[str, int] = ST
     return score_messages(parse(raw, schema), lexicon)
 
 
-def trend(scored: DataFrame, ts: str, window: str, slide: str | None = None, delay: str = "1 day") -> DataFrame:
-    """Messages per time window and class. The watermark lets Spark drop the state of old windows."""
+def trend(scored: DataFrame, ts: str, window: str, slide: str | None = None) -> DataFrame:
+    """Messages per time window and class, of a batch. Over a stream, the merging sink adds the batches up."""
     span = F.window(ts, window, slide) if slide else F.window(ts, window)
-    return (
-        scored.withWatermark(ts, delay)
-        .groupBy(span.alias("window"), "sentiment")
-        .agg(F.count("*").alias("n"))
-        .select(F.col("window.start").alias("window_start"), "sentiment", "n")
-    )
+    counted = scored.groupBy(span.alias("window"), "sentiment").agg(F.count("*").alias("n"))
+    return counted.select(F.col("window.start").alias("window_start"), "sentiment", "n")
+
 
+def drop_repeats(messages: DataFrame, key: str, ts: str | None = None, delay: str | None = None) -> DataFrame:
+    """One message per key.
 
-def drop_repeats(messages: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
-    """One message per key among those that arrive within ``delay`` of each other."""
+    With ``ts`` and ``delay``, keys are forgotten when the watermark passes, and only repeats that arrive within
+    ``delay`` of each other are found; messages that are later than that are dropped. Without, every key is kept.
+    """
+    if delay is None:
+        return messages.dropDuplicates([key])
     return messages.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,11 +31,55 @@ def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(with_batch).parquet(path)
 
 
-def latest(rows: DataFrame, *key: str) -> DataFrame:
-    """The newest state of each key of an update-mode sink: the row of its last batch."""
-    others = [c for c in rows.columns if c not in (*key, "batch_id")]
-    newest = F.max_by(F.struct(*others), F.col("batch_id")).alias("newest")
-    return rows.groupBy(*key).agg(newest).select(*key, "newest.*")
+def versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Finished versions of a merged table, by the micro-batch that wrote them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    folders = [status.getPath().getParent().toString() for status in found]
+    return {int(folder.rsplit("=", 1)[1]): folder for folder in folders}
+
+
+def merge_batch(counts: DataFrame, batch_id: int, path: str) -> None:
+    """Add the ``n`` of one micro-batch to the totals of the batches before it and write them as a new version.
+
+    A retried batch starts from the same totals and replaces its own version. The totals' size is that of their keys;
+    only the last two versions are kept. Nothing is ever too late to be counted.
+    """
+    spark = counts.sparkSession
+    known = versions(spark, path)
+    keys = [c for c in counts.columns if c != "n"]
+    before = max((v for v in known if v < batch_id), default=None)
+    if before is not None:
+        counts = counts.unionByName(spark.read.schema(counts.schema).parquet(known[before]))
+    counts.groupBy(*keys).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    for old in known:
+        if before is not None and old < before:
+            gone = spark._jvm.org.apache.hadoop.fs.Path(known[old])
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def start_merge(
+    stream: DataFrame, count: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Keep running totals of ``count``, which turns a batch into rows of keys and ``n``."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(lambda df, batch_id: merge_batch(count(df), batch_id, path)).start()
+
+
+def read_totals(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest totals; no rows before the first batch."""
+    known = versions(spark, path)
+    return spark.read.schema(schema).parquet(known[max(known)]) if known else spark.createDataFrame([], schema)
+
+
+def run_to_totals(stream: DataFrame, count: Callable[[DataFrame], DataFrame], base: str) -> DataFrame:
+    """Run a stream over its present input and return its totals."""
+    path = f"{base}/totals"
+    start_merge(stream, count, path, f"{base}/checkpoint").awaitTermination()
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    return read_totals(stream.sparkSession, path, count(empty).schema)
 
 
 def run_to_table(stream: DataFrame, base: str, mode: str = "append") -> DataFrame:

@@ -22,8 +22,16 @@ def stream_source(spark: SparkSession, kind: str, schema: str | None = None, pat
     return reader.load(path) if path is not None else reader.load()
 
 
-def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the Parquet tables as a stream of its files."""
-    return stream_source(
-        spark, "parquet", TABLES[name], folder, pathGlobFilter=f"{name}.parquet", maxFilesPerTrigger=1000
-    )
+def is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getFileStatus(at).isDirectory()
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1000) -> DataFrame:
+    """One of the Parquet tables as a stream of its files. A table is a folder of part files, or one file."""
+    path, options = f"{folder}/{name}.parquet", {"maxFilesPerTrigger": files_per_batch}
+    if not is_folder(spark, path):
+        # A stream reads folders; the filter leaves the one file.
+        path, options["pathGlobFilter"] = folder, f"{name}.parquet"
+    return stream_source(spark, "parquet", TABLES[name], path, **options)
