@@ -29,14 +29,16 @@ def write_features(spark: SparkSession, out: str, **settings) -> tuple[DataFrame
     posts = spark.read.schema(PREPROCESSED).parquet(f"{out}/preprocessed")
     sides = {name: posts.where(split_name(F.col("id")) == name) for name in ("train", "test")}
     model = features.feature_model(sides["train"], spark.sparkContext.defaultParallelism, **settings)
+    written = []
     for name, side in sides.items():
         columns = model.transform(side).select(*features.FEATURE_COLUMNS)
         columns.write.mode("overwrite").parquet(f"{out}/features_{name}")
-    return tuple(spark.read.parquet(f"{out}/features_{name}") for name in ("train", "test"))
+        written.append(spark.read.schema(columns.schema).parquet(f"{out}/features_{name}"))
+    return tuple(written)
 
 
-def train_model(name: str, train: DataFrame, test: DataFrame, out: str, at: datetime) -> dict:
-    """Tune one model, save it, write its test predictions, log the run, and return its metrics."""
+def train_model(name: str, train: DataFrame, test: DataFrame, out: str, at: datetime) -> tuple[dict, DataFrame]:
+    """Tune one model, save it, write its test predictions, log the run, and return its metrics and predictions."""
     spark = train.sparkSession
     model, seconds, _ = models.cross_validate(name, train)
     models.save_model(model, f"{out}/models", name)
@@ -51,7 +53,7 @@ def train_model(name: str, train: DataFrame, test: DataFrame, out: str, at: date
     metrics["auc"] = evaluation.auc_roc(raw, digits=4).first()["auc"]
     tried = {p.name: model.getOrDefault(p) for p in model.params if p.name in models.MODELS[name][2]}
     models.log_run(spark, f"{out}/runs", name, metrics, tried, seconds, at)
-    return {"model_name": name, "train_time_sec": seconds, **metrics}
+    return {"model_name": name, "train_time_sec": seconds, **metrics}, written
 
 
 def run(
@@ -76,11 +78,11 @@ def run(
         train = train.where(in_sample(F.col("id"), train_fraction))
 
     results = [train_model(name, train, test, out, at) for name in names]
-    rows = [{"position": i, **result} for i, result in enumerate(results)]
+    rows = [{"position": i, **result} for i, (result, _) in enumerate(results)]
     metrics = spark.createDataFrame([tuple(r[f] for f in MODEL_FIELDS) for r in rows], MODEL_METRICS)
     best = max(rows, key=lambda r: r["f1"])["model_name"]
 
-    kept = spark.read.parquet(f"{out}/predictions/{models.model_slug(best)}")
+    kept = next(predictions for result, predictions in results if result["model_name"] == best)
     served = metrics.drop("position").withColumnsRenamed({"f1": "f1_score", "auc": "auc_roc"})
     served = served.withColumns({"is_best": F.col("model_name") == best, "timestamp": F.lit(at), "version": F.lit("1.0")})
     winner = reports.model_metadata(metrics, CV_FOLDS, models.estimator_of(best)[0].getFeaturesCol())
