@@ -307,7 +307,7 @@ def test_collisions_are_found(spark):
 
 
 def paragraphs(text):
-    return {p for p in re.split(r"\n+|(?<=[.!?]) +", text) if p}
+    return {p for p in re.split(r"\n+|(?<=[.!?]) +(?=[A-EÀ-É])", text) if p}
 
 
 def test_sketches(spark, hard_docs, no_docs):

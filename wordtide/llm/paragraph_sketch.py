@@ -1,12 +1,13 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line its sentences. The set of their digests is kept in
-40 cells, four groups of ten; each digest is counted and combined by exclusive or in one cell of every group. Two
-sketches subtract cell by cell, what they share cancels out, and the rest is peeled: a cell that holds one digest gives
-it away, taking it out of its other cells gives away more. If peeling stops too soon, a larger sketch is tried: the
-digests are dealt by their hash to 4, 16, 64 and so on to 65,536 sketches of 40 cells, which together are one larger
-sketch. The first of them that does not peel ends a try.
-If the largest fails too, the sets themselves are subtracted, so every answer is exact. Built-in expressions only.
+A text is cut into paragraphs: lines, and within a line runs of sentences, which end where the next sentence begins with
+one of some letters. So a cut depends on the text around it alone, and an edit moves no cut elsewhere. The set of their
+digests is kept in 40 cells, four groups of ten; each digest is counted and combined by exclusive or in one cell of
+every group. Two sketches subtract cell by cell, what they share cancels out, and the rest is peeled: a cell that holds
+one digest gives it away, taking it out of its other cells gives away more. If peeling stops too soon, a larger sketch
+is tried: the digests are dealt by their hash to 4, 16, 64 and so on to 65,536 sketches of 40 cells, which together are
+one larger sketch. The first of them that does not peel ends a try. If the largest fails too, the sets themselves are
+subtracted, so every answer is exact. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wordtide.llm.common import let, stage, whole
 
-PARAGRAPH_END = r"\n+|(?<=[.!?]) +"
+PARAGRAPH_END = r"\n+|(?<=[.!?]) +(?=[A-EÀ-É])"
 GROUPS, SLOTS = 4, 10
 CELLS = GROUPS * SLOTS
 # Sketches that are tried, one after the other: 2 to this power in rows and as many columns.
