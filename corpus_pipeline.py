@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm.common import fresh_path, table
+from wordtide.llm.common import bound_batches, fresh_path, table
 from wordtide.llm.decontamination import remove_contaminated
 from wordtide.llm.packing import pack_documents
 from wordtide.llm.secret_scan import mask_secrets
@@ -29,15 +29,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_toxic(docs, fit_model(docs, table(spark, sf_dir, "labels")))
+    labels = table(bound_batches(spark), sf_dir, "labels")
+    return drop_toxic(docs, fit_model(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return remove_contaminated(docs, table(bound_batches(spark), sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +48,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece with its ids (little-endian 32-bit), sequence and place in it."""
+    bound_batches(spark)
     return pack_documents(docs, keep_ids=True)
 
 

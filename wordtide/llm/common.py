@@ -2,22 +2,47 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtide.session import fresh_path, shared_folder, stage
 
-__all__ = ["attempt_name", "by_batch", "fresh_path", "let", "shared_folder", "stage", "table", "whole"]
+__all__ = ["attempt_name", "bound_batches", "by_batch", "free_name", "fresh_path", "give_back", "let", "shared_folder", "stage", "table", "whole"]
+
+
+# Rows and bytes of whole texts that a Python worker is handed at once. Spark's defaults suit short rows.
+BATCH_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Let Python workers see few texts at a time, so that their memory depends on one batch and the longest text."""
+    for key, value in BATCH_CONF.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it unlike all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def whole(text: str = "text") -> Column:
     """The text, a NULL taken as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -39,6 +64,15 @@ def by_batch(rows: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator
     return run
 
 
+def give_back() -> None:
+    """Return memory that a Python worker has freed, as the worker lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def attempt_name() -> str:
     """A name that no other attempt of a task has, so that a repeated task never writes to the same file."""
     at = TaskContext.get()

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, stage, whole
+from wordtide.llm.common import by_batch, give_back, stage, whole
 from wordtide.llm.tokens import BYTE_BPE, encoder
 
 SEQUENCE = 2048
@@ -210,7 +210,13 @@ def _placed(runs: list[Run], room: int):
         batch["doc_id"] = batch["doc_id"].astype("Int64")
         return batch.drop(columns=["_inside", "_below", "_rank"])
 
-    return by_batch(rows)
+    def run(batches):
+        # All documents are encoded by now; the words that the worker remembers are of no more use.
+        encoder.cache_clear()
+        give_back()
+        yield from by_batch(rows)(batches)
+
+    return run
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm.common import table
+from wordtide.llm.common import bound_batches, table
 from wordtide.llm.decontamination import contamination
 from wordtide.llm.packing import pack_documents
 from wordtide.llm.paragraph_sketch import compare_with_edits
@@ -72,7 +72,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(function):
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, sf_dir: function(bound_batches(spark), sf_dir)
         if sql:
             ORACLE[name] = sql
         return function

@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import let, stage, whole
+from wordtide.llm.common import free_name, let, stage, whole
 
 CANDIDATE = r"(?<![A-Za-z0-9+/=_\-])(?=[A-Za-z+/=_\-]*+[0-9])[A-Za-z0-9+/=_\-]{8,}+"
 # Characters looked at on either side for neighbouring words; the text itself is scanned whole.
@@ -77,10 +77,13 @@ def candidates(text: Column) -> Column:
     return let(cut, listed)
 
 
+def path_of(docs: DataFrame) -> Column:
+    return F.lower(F.coalesce(F.col("source").cast("string"), F.lit(""))) if "source" in docs.columns else F.lit("")
+
+
 def findings(docs: DataFrame) -> DataFrame:
     """One row per candidate: doc_id, path, number, start, value, before, after. ``source`` stands for the path."""
-    path = F.lower(F.coalesce(F.col("source").cast("string"), F.lit(""))) if "source" in docs.columns else F.lit("")
-    texts = docs.select(F.col("doc_id").cast("bigint"), path.alias("path"), whole().alias("text"))
+    texts = docs.select(F.col("doc_id").cast("bigint"), path_of(docs).alias("path"), whole().alias("text"))
     # Most texts have no candidate; they are not split.
     return texts.where(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.inline(candidates(F.col("text"))))
 
@@ -222,17 +225,18 @@ def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None, mask: str =
     Which candidates of a document are secrets is found by their place, joined by id and a digest of the text, so rows
     without an id or with one that repeats are masked by their own text.
     """
+    digest, secret = free_name(docs, "_digest"), free_name(docs, "_secret")
     found = stage(
         docs.where(whole().rlike(CANDIDATE)).select(
-            F.lower(F.coalesce(F.col("source").cast("string"), F.lit(""))).alias("path"),
-            F.sha2(whole(), 256).alias("_digest"),
+            path_of(docs).alias("path"),
+            F.sha2(whole(), 256).alias(digest),
             F.inline(candidates(whole())),
         ),
         "findings",
     )
     secrets = judge(found, *fit_scanner(docs, found, labelled)).where("is_secret")
     # Copies of a text have the same secrets at the same places; their paths may differ, one verdict is enough.
-    places = stage(secrets.groupBy("_digest").agg(F.sort_array(F.collect_set("number")).alias("_secret")), "secret-places")
+    places = stage(secrets.groupBy(digest).agg(F.sort_array(F.collect_set("number")).alias(secret)), "secret-places")
     text = whole()
     cut = F.struct(F.split(text, CANDIDATE, -1).alias("rest"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"))
     masked = let(
@@ -240,16 +244,16 @@ def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None, mask: str =
         lambda x: F.array_join(
             F.transform(
                 x["rest"],
-                lambda r, i: F.concat(r, F.when(F.array_contains("_secret", i), F.lit(mask)).otherwise(F.coalesce(F.get(x["found"], i), F.lit("")))),
+                lambda r, i: F.concat(r, F.when(F.array_contains(F.col(secret), i), F.lit(mask)).otherwise(F.coalesce(F.get(x["found"], i), F.lit("")))),
             ),
             "",
         ),
     )
-    joined = docs.withColumn("_digest", F.sha2(text, 256)).join(places, "_digest", "left")
-    new = F.when(F.col("_secret").isNull(), F.col("text")).otherwise(masked)
+    joined = docs.withColumn(digest, F.sha2(text, 256)).join(places, digest, "left")
+    new = F.when(F.col(secret).isNull(), F.col("text")).otherwise(masked)
     columns = [c for c in docs.columns if c not in ("text", "n_chars")]
-    shown = joined.select(*columns, new.alias("text"), *(["n_chars", "_secret"] if "n_chars" in docs.columns else []))
+    shown = joined.select(*columns, new.alias("text"), *(["n_chars", secret] if "n_chars" in docs.columns else []))
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("_secret").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
+        counted = F.when(F.col(secret).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
         shown = shown.withColumn("n_chars", counted)
     return shown.select(*docs.columns)
