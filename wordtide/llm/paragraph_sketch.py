@@ -1,13 +1,13 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line runs of sentences, which end where the next sentence begins with
-one of some letters. So a cut depends on the text around it alone, and an edit moves no cut elsewhere. The set of their
-digests is kept in 40 cells, four groups of ten; each digest is counted and combined by exclusive or in one cell of
-every group. Two sketches subtract cell by cell, what they share cancels out, and the rest is peeled: a cell that holds
-one digest gives it away, taking it out of its other cells gives away more. If peeling stops too soon, a larger sketch
-is tried: the digests are dealt by their hash to 4, 16, 64 and so on to 65,536 sketches of 40 cells, which together are
-one larger sketch. The first of them that does not peel ends a try. If the largest fails too, the sets themselves are
-subtracted, so every answer is exact. Built-in expressions only.
+A text is cut into paragraphs: lines, and within a line its sentences, whatever their script. So a cut depends on the
+text around it alone, and an edit moves no cut elsewhere. The set of their digests is kept in 40 cells, four groups of
+ten; each digest is counted and combined by exclusive or in one cell of every group. Two sketches subtract cell by cell,
+what they share cancels out, and the rest is peeled: a cell that holds one digest gives it away, taking it out of its
+other cells gives away more. If peeling stops too soon, a larger sketch is tried: the digests are dealt by their hash to
+2, 4, 8 and so on to 65,536 sketches of 40 cells, which together are one larger sketch. The first of them that does not
+peel ends a try. If the largest fails too, the sets themselves are subtracted, so every answer is exact. Built-in
+expressions only.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from wordtide.llm.common import let, stage, whole
 
-PARAGRAPH_END = r"\n+|(?<=[.!?]) +(?=[A-EÀ-É])"
+# A line's end, spaces after a sentence's end, or the end of a sentence in a script that sets no space after it.
+PARAGRAPH_END = r"\n+|(?<=[.!?؟۔։।॥።]) +|(?<=[。！？｡])(?![。！？｡ ])|(?<=[。！？｡]) +"
 GROUPS, SLOTS = 4, 10
 CELLS = GROUPS * SLOTS
-# Sketches that are tried, one after the other: 2 to this power in rows and as many columns.
-LEVELS = tuple(range(9))
+# Sketches that are tried, one after the other: 2 to this power, in as many rows as columns or twice as many.
+LEVELS = tuple(range(17))
 ROUNDS = 12
 # Ranges of ids that are ordered on their own, and rows that one is meant for.
 MOST_RANGES, RANGE_ROWS = 4_096, 4_000
@@ -74,29 +75,41 @@ def _cells(marked: Column) -> Column:
     )
 
 
+def _filled(cell: Column) -> Column:
+    return (cell["n"] != 0) | (cell["k"] != 0) | (cell["c"] != 0)
+
+
 def _subtracted(a: Column, b: Column) -> Column:
-    """The cells of one sketch less those of another, cell by cell: counts by minus, digests and checks by xor."""
+    """The cells of one sketch less those of another, cell by cell: counts by minus, digests and checks by xor.
+
+    Only cells that are not empty, each with its bit.
+    """
     zero = F.lit(0).cast("bigint")
 
-    def cell(i: Column) -> Column:
-        inside = lambda xs: F.filter(xs, lambda x: x["m"].bitwiseAND(_bit(i)) != 0)
+    def cell(bit: Column) -> Column:
+        inside = lambda xs: F.filter(xs, lambda x: x["m"].bitwiseAND(bit) != 0)
         return let(
             inside(a),
             lambda p: let(
                 inside(b),
                 lambda q: F.struct(
-                    (F.size(p) - F.size(q)).alias("n"), _xor(q, "k", _xor(p, "k", zero)).alias("k"), _xor(q, "c", _xor(p, "c", zero)).alias("c")
+                    bit.alias("bit"),
+                    (F.size(p) - F.size(q)).alias("n"),
+                    _xor(q, "k", _xor(p, "k", zero)).alias("k"),
+                    _xor(q, "c", _xor(p, "c", zero)).alias("c"),
                 ),
             ),
         )
 
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
+    bits = F.array(*[F.lit(1 << i).cast("bigint") for i in range(CELLS)])
+    return F.filter(F.transform(bits, cell), _filled)
 
 
 def _peel(cells: Column, level: Column) -> Column:
     """(left, right, open): digests that only the left or right sketch has, and whether some could not be recovered.
 
-    All cells that hold one digest are peeled in a round; after a round without any, nothing is looked at again.
+    All cells that hold one digest are peeled in a round, and emptied ones go; after a round without any to peel, nothing
+    is looked at again.
     """
     none = F.array().cast("array<bigint>")
 
@@ -110,11 +123,12 @@ def _peel(cells: Column, level: Column) -> Column:
 
         def taken(left: Column, right: Column) -> Column:
             def rest(ms: Column):
-                def one(x: Column, i: Column) -> Column:
+                def one(x: Column) -> Column:
                     return let(
-                        F.filter(ms, lambda m: m["m"].bitwiseAND(_bit(i)) != 0),
+                        F.filter(ms, lambda m: m["m"].bitwiseAND(x["bit"]) != 0),
                         lambda hit: F.when(F.size(hit) == 0, x).otherwise(
                             F.struct(
+                                x["bit"].alias("bit"),
                                 (x["n"] - F.aggregate(hit, F.lit(0), lambda a, m: a + m["n"])).alias("n"),
                                 _xor(hit, "k", x["k"]).alias("k"),
                                 _xor(hit, "c", x["c"]).alias("c"),
@@ -122,7 +136,7 @@ def _peel(cells: Column, level: Column) -> Column:
                         ),
                     )
 
-                return F.transform(s["cells"], one)
+                return F.filter(F.transform(s["cells"], one), _filled)
 
             return F.struct(
                 let(F.concat(marks(left, 1), marks(right, -1)), rest).alias("cells"),
@@ -141,9 +155,7 @@ def _peel(cells: Column, level: Column) -> Column:
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         step,
-        lambda s: F.struct(
-            s["left"].alias("left"), s["right"].alias("right"), F.exists(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0)).alias("open")
-        ),
+        lambda s: F.struct(s["left"].alias("left"), s["right"].alias("right"), (F.size(s["cells"]) > 0).alias("open")),
     )
 
 
@@ -154,21 +166,22 @@ def _subtract(a: Column, b: Column, level: Column) -> Column:
     every sketch.
     """
     zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
-    last = F.call_function("shiftleft", F.lit(1), level) - 1
-    places = F.sequence(F.lit(0), last)
+    rows, columns = F.shiftright(level + 1, 1), F.shiftright(level, 1)
+
+    def over(x: Column, y: Column, skip: Column, power: Column, inner) -> Column:
+        last = F.call_function("shiftleft", F.lit(1), power) - 1
 
-    def dealt(xs: Column, place: Column, skip: Column) -> Column:
-        return F.filter(xs, lambda x: F.call_function("shiftright", x["h"], skip).bitwiseAND(last) == place)
+        def dealt(xs: Column, place: Column) -> Column:
+            return F.filter(xs, lambda x: F.call_function("shiftright", x["h"], skip).bitwiseAND(last) == place)
 
-    def over(x: Column, y: Column, skip: Column, inner) -> Column:
         def add(done: Column, place: Column) -> Column:
             def of(p: Column, q: Column) -> Column:
                 part = F.when((F.size(p) == 0) & (F.size(q) == 0), zero).otherwise(inner(p, q))
                 return let(part, lambda r: F.when(r.isNotNull(), F.struct((done["a"] + r["a"]).alias("a"), (done["b"] + r["b"]).alias("b"))))
 
-            return F.when(done.isNotNull(), let(dealt(x, place, skip), lambda p: let(dealt(y, place, skip), lambda q: of(p, q))))
+            return F.when(done.isNotNull(), let(dealt(x, place), lambda p: let(dealt(y, place), lambda q: of(p, q))))
 
-        return F.aggregate(places, zero, add)
+        return F.aggregate(F.sequence(F.lit(0), last), zero, add)
 
     def one(p: Column, q: Column) -> Column:
         return let(
@@ -177,9 +190,9 @@ def _subtract(a: Column, b: Column, level: Column) -> Column:
         )
 
     def column(p: Column, q: Column) -> Column:
-        return over(p, q, level, one)
+        return over(p, q, rows, columns, one)
 
-    return let(_marked(a, level), lambda x: let(_marked(b, level), lambda y: over(x, y, F.lit(0), column)))
+    return let(_marked(a, level), lambda x: let(_marked(b, level), lambda y: over(x, y, F.lit(0), rows, column)))
 
 
 def differences(a: Column, b: Column) -> Column:
