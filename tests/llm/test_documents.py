@@ -303,6 +303,20 @@ def test_collisions_are_found(spark):
     assert sorted(r.type for r in surrogates.collisions(same).collect()) == ["card", "email"]
 
 
+def test_mentions_of_one_entity_agree_and_no_others_meet(spark):
+    same = "+44 20 7946 0958, +4420 7946 0958, +44 (20) 7946 0958; 1.2.03.4 and 1.2.3.4;"
+    others = "44 20 7946 0958, +1 415 555 0123; 300.2.3.4, 300.2.03.4, 999.999.999.999, 1.2.3.5;"
+    docs = spark.createDataFrame([(1, same), (2, others)], "doc_id long, text string")
+    assert surrogates.checked_version(docs) == "0"
+    found = surrogates.mentions(docs).collect()
+    new = {(r.type, r.value): r.surrogate for r in found}
+    digits = lambda s: re.sub("[^0-9+]", "", s)
+    assert len({digits(new["phone", v]) for v in ("+44 20 7946 0958", "+4420 7946 0958", "+44 (20) 7946 0958")}) == 1
+    assert new["phone", "+4420 7946 0958"].startswith("+44") and new["phone", "+1 415 555 0123"].startswith("+1 ")
+    assert new["ip", "1.2.03.4"] == new["ip", "1.2.3.4"] and len({r.surrogate for r in found if r.type == "ip"}) == 5
+    assert surrogates.entity_report(docs).count() == 2
+
+
 # Sketches
 
 

@@ -51,6 +51,8 @@ ALPHABETS = (
     "АЕИОУЭЮЯ",
     "БВГДЖЗКЛМНПРСТФХЦЧШЩ",
 )
+# Country calling codes: no code is the beginning of another.
+COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 TITLES = {
     "male": ("mr", "herr", "señor", "sr", "monsieur", "господин"),
     "female": ("mrs", "ms", "frau", "señora", "sra", "mme", "madame", "госпожа"),
@@ -134,10 +136,23 @@ def permuted(characters: Column, tweak: Column, rounds: int = ROUNDS) -> Column:
     return F.array_join(F.transform(state, letter), "")
 
 
+def valid_ip(value: Column) -> Column:
+    return ~F.exists(F.split(value, r"\."), lambda x: x.try_cast("int") > 255)
+
+
 def canonical(kind: Column, value: Column) -> Column:
-    """What two mentions of an entity share: letter case, and for numbers the signs between digits, don't matter."""
-    return F.when(kind.isin("card", "ssn", "phone", "iban"), F.upper(F.regexp_replace(value, "[^A-Za-z0-9]", ""))).otherwise(
-        F.when(kind == "name", value).otherwise(F.lower(value))
+    """What two mentions of an entity share: letter case, signs between digits and leading zeros of an IP don't matter.
+
+    The + of a phone number stays, as what follows it is a country's code.
+    """
+    plain = F.upper(F.regexp_replace(value, "[^A-Za-z0-9]", ""))
+    address = F.array_join(F.transform(F.split(value, r"\."), lambda x: x.try_cast("int").cast("string")), ".")
+    return (
+        F.when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), plain))
+        .when(kind.isin("card", "ssn", "iban"), plain)
+        .when((kind == "ip") & valid_ip(value), address)
+        .when(kind == "name", value)
+        .otherwise(F.lower(value))
     )
 
 
@@ -155,9 +170,9 @@ def surrogate(kind: Column, value: Column, version: str, key: str = KEY) -> Colu
 
     def number(v: Column) -> Column:
         """Digits and letters of the canonical form, laid back between the mention's signs."""
-        plain = canonical(kind, v)
-        # An IBAN's country stays, as does a phone's country code: neither tells one entity from another.
-        lead = F.when(kind == "iban", 2).when((kind == "phone") & v.startswith("+"), F.length(F.regexp_extract(v, r"^\+([0-9]{1,3})", 1))).otherwise(0)
+        plain = F.regexp_replace(canonical(kind, v), r"^\+", "")
+        # An IBAN's country stays, as does a phone's country code, wherever the mention's signs are.
+        lead = F.when(kind == "iban", 2).when((kind == "phone") & v.startswith("+"), F.length(F.regexp_extract(plain, COUNTRY, 0))).otherwise(0)
         inner = F.concat(F.substr(plain, F.lit(1), lead), scrambled(F.substr(plain, lead + 1), F.length(plain).cast("string")))
         return let(
             F.struct(inner.alias("new"), F.split(v, "").alias("old")),
@@ -180,7 +195,7 @@ def surrogate(kind: Column, value: Column, version: str, key: str = KEY) -> Colu
 
     def ip(v: Column) -> Column:
         """A permutation of the 2^32 addresses: halves of 16 bits are combined with digests of each other."""
-        parts = F.transform(F.split(v, r"\."), lambda x: x.cast("bigint"))
+        parts = F.transform(F.split(v, r"\."), lambda x: x.try_cast("bigint"))
         start = F.struct((parts[0] * 256 + parts[1]).alias("a"), (parts[2] * 256 + parts[3]).alias("b"))
 
         def turn(s: Column, k: int) -> Column:
@@ -193,6 +208,26 @@ def surrogate(kind: Column, value: Column, version: str, key: str = KEY) -> Colu
         text = lambda n: F.concat_ws(".", F.floor(n / 256).cast("string"), (n % 256).cast("string"))
         return let(state, lambda s: F.concat_ws(".", text(s["a"]), text(s["b"])))
 
+    def no_ip(v: Column) -> Column:
+        """Parts beyond 255 move within 256 to 999, the others within what is of their length: it never becomes an IP."""
+        parts = F.transform(F.split(v, r"\."), lambda x: F.struct(x.try_cast("bigint").alias("p"), F.length(x).alias("n")))
+
+        def by(state: Column, large: bool, i: Column) -> Column:
+            seen = F.array_join(F.transform(state, lambda x: F.when((x["p"] > 255) == large, x["p"].cast("string")).otherwise("")), ".")
+            return F.conv(F.substring(F.sha2(F.concat_ws("|", tweak, F.lit("no"), seen, i.cast("string")), 256), 1, 8), 16, 10).cast("bigint")
+
+        def larger(state: Column) -> Column:
+            moved = lambda x, i: F.when(x["p"] > 255, x.withField("p", 256 + (x["p"] - 255 + by(state, False, i) % 743) % 744)).otherwise(x)
+            return F.transform(state, moved)
+
+        def smaller(state: Column) -> Column:
+            size = lambda x: F.when(x["n"] == 1, 10).when(x["n"] == 2, 100).otherwise(256)
+            moved = lambda x, i: F.when(x["p"] <= 255, x.withField("p", (x["p"] + by(state, True, i)) % size(x))).otherwise(x)
+            return F.transform(state, moved)
+
+        shown = lambda state: F.array_join(F.transform(state, lambda x: F.lpad(x["p"].cast("string"), x["n"], "0")), ".")
+        return let(parts, lambda a: let(larger(a), lambda b: let(smaller(b), shown)))
+
     def name(v: Column) -> Column:
         def word(w: Column) -> Column:
             n = F.length(w)
@@ -202,11 +237,10 @@ def surrogate(kind: Column, value: Column, version: str, key: str = KEY) -> Colu
         spaced = F.regexp_extract_all(v, F.lit(r"[ \-]|\p{L}+"), F.lit(0))
         return F.array_join(F.transform(spaced, lambda w: F.when(F.length(w) > 1, word(w)).otherwise(w)), "")
 
-    valid_ip = ~F.exists(F.split(value, r"\."), lambda x: x.cast("int") > 255)
     return (
         F.when(kind == "email", email(value))
-        .when((kind == "ip") & valid_ip, ip(value))
-        .when(kind == "ip", scrambled(value, F.lit("")))
+        .when((kind == "ip") & valid_ip(value), ip(value))
+        .when(kind == "ip", no_ip(value))
         .when(kind == "name", name(value))
         .otherwise(number(value))
     )
