@@ -317,6 +317,19 @@ def test_mentions_of_one_entity_agree_and_no_others_meet(spark):
     assert surrogates.entity_report(docs).count() == 2
 
 
+def test_every_entity_changes_and_is_counted(spark):
+    names = ["Παπαδόπουλος", "Ωμέγα", "Արամ", "Żółć", "Ёлкин", "Bo", "Ey", "Éa", "Ångström", "Nguyễn"]
+    values = [f"Dr. {n}" for n in names] + ["+14155550123", "0151 23456789", "(0151)23456789", "378282246310005", "3782 822463 10005", "255.255.255.255", "a@b.example"]
+    docs = spark.createDataFrame([(k, f"ask {v}, please") for k, v in enumerate(values)], "doc_id long, text string")
+    report = {r.doc_id: r for r in surrogates.entity_report(docs).collect()}
+    for k, v in enumerate(values):
+        assert (report[k].n_entities, report[k].n_changed) == (1, 1), v
+        assert report[k].text != f"ask {v}, please"
+    two = spark.createDataFrame([(a + b,) for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "ao"], "v string")
+    new = two.select("v", surrogates.surrogate(F.lit("name"), F.col("v"), "0").alias("n")).collect()
+    assert len({r.n for r in new}) == len(new) and all(r.n != r.v for r in new)
+
+
 # Sketches
 
 

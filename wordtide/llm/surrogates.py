@@ -5,14 +5,18 @@ digit, upper case of upper case, vowels of vowels, in the entity's own script, a
 keep their last letter, which carries gender in the languages covered, as does the title before them, which stays.
 
 The replacement is a keyed permutation (a Feistel network over the changeable characters, whose round values come from
-SHA-256 of key, type and shape). A permutation maps different entities to different surrogates and the same entity to
+SHA-256 of key, type and shape). The first changeable character moves by at least one step, so no entity that has one
+is its own surrogate. A permutation maps different entities to different surrogates and the same entity to
 the same one, in every document and on every executor, without a table of all entities; a check over all mentions
 confirms it, and a key version that fails it is passed over. Only Spark's own expressions are used.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from collections import defaultdict
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +32,9 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![A-Za-z0-9])[0-9]{4}(?:[ \-]?[0-9]{4}){3}(?![A-Za-z0-9])",
+    "card": r"(?<![A-Za-z0-9])(?:[0-9]{4}(?:[ \-]?[0-9]{4}){3}|3[47][0-9]{2}[ \-]?[0-9]{6}[ \-]?[0-9]{5})(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9])",
-    "phone": r"(?<![A-Za-z0-9+(])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])(?:[0-9]{2,4}[ .\-]){0,3}[0-9]{3,4}(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9+(])(?:(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])(?:[0-9]{2,4}[ .\-]){0,3}[0-9]{3,8}|\+[0-9]{1,3}[ .\-]?[0-9]{6,12})(?![A-Za-z0-9])",
     # The plain looks at both sides come first: the long look back at a title is rarely needed.
     "name": r"(?<= )(?=\p{Lu})(?<=\b(?:Mr|Mrs|Ms|Dr|Sr|Sra|Mme)\.? |\b(?:Herr|Frau|Señor|Señora|Monsieur|Madame) |\b(?:господин|госпожа) )\p{Lu}\p{L}+(?:[ \-]\p{Lu}\p{L}+){0,2}",
 }
@@ -51,6 +55,28 @@ ALPHABETS = (
     "АЕИОУЭЮЯ",
     "БВГДЖЗКЛМНПРСТФХЦЧШЩ",
 )
+
+
+def _other_alphabets(known: str) -> tuple[str, ...]:
+    """Alphabets of all other letters with case: by script, case, block, and whether the letter without accents is a vowel."""
+    groups = defaultdict(str)
+    for c in map(chr, range(128, 0x10000)):
+        case = unicodedata.category(c)
+        if case in ("Lu", "Ll") and c not in known:
+            vowel = unicodedata.normalize("NFD", c)[0].lower() in "aeiouæøœαεηιουωаеиоуэюяыієաեէըիոօ"
+            groups[unicodedata.name(c).split()[0], case, ord(c) >> 8 if ord(c) > 0x17F else ord(c) >> 7, vowel] += c
+    single = defaultdict(str)
+    for (_, case, *_), letters in groups.items():
+        if len(letters) == 1:
+            single[case] += letters
+    return tuple(x for x in (*groups.values(), *single.values()) if len(x) > 1)
+
+
+FIRST_ALPHABETS = len("".join(ALPHABETS))
+ALPHABETS += _other_alphabets("".join(ALPHABETS))
+# All alphabets one after the other, and where each starts.
+LETTERS = "".join(ALPHABETS)
+STARTS = [0, *accumulate(map(len, ALPHABETS))]
 # Country calling codes: no code is the beginning of another.
 COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 TITLES = {
@@ -82,14 +108,21 @@ def _codes(characters: Column) -> Column:
     """Each character as (alphabet, place in it, size); characters of no alphabet have size 0 and stay."""
 
     def code(c: Column) -> Column:
-        found = F.struct(F.lit(-1).alias("a"), F.lit(0).alias("p"), F.lit(0).alias("n"), c.alias("c"))
-        for number, letters in reversed(list(enumerate(ALPHABETS))):
-            at = F.instr(F.lit(letters), c)
-            found = F.when(
-                at > 0, F.struct(F.lit(number).alias("a"), (at - 1).alias("p"), F.lit(len(letters)).alias("n"), c.alias("c"))
-            ).otherwise(found)
-        return found
+        def placed(at: Column) -> Column:
+            def within(a: Column) -> Column:
+                start = F.get(starts, a)
+                return F.struct(a.alias("a"), (at - start).alias("p"), (F.get(starts, a + 1) - start).alias("n"), c.alias("c"))
+
+            # The last alphabet that starts at or before the letter.
+            return F.when(at < 0, none).otherwise(let(F.when(at < FIRST_ALPHABETS, F.size(F.filter(first_starts, lambda x: x <= at))).otherwise(F.size(F.filter(starts, lambda x: x <= at))) - 1, within))
 
+        none = F.struct(F.lit(-1).alias("a"), F.lit(0).alias("p"), F.lit(0).alias("n"), c.alias("c"))
+        near = F.instr(F.lit(LETTERS[:FIRST_ALPHABETS]), c)
+        far = F.when(c.rlike(r"[^\x00-\x7F]"), F.instr(F.lit(LETTERS), c)).otherwise(0)
+        return let(F.when(near > 0, near).otherwise(far) - 1, placed)
+
+    starts = F.array(*map(F.lit, STARTS))
+    first_starts = F.array(*map(F.lit, STARTS[:9]))
     return F.transform(characters, code)
 
 
@@ -101,12 +134,31 @@ def in_round(turn: Callable[[Column, int], Column], number: int) -> Callable[[Co
 def permuted(characters: Column, tweak: Column, rounds: int = ROUNDS) -> Column:
     """A keyed permutation of the strings of one shape: characters move within their alphabets.
 
+    First the first changeable character moves on by a number that a digest of the others gives and that is never 0, so
+    no string with such a character stays as it is. It then stays, and the others are permuted under a key of its own.
     Odd and even places are the two halves of a Feistel network: in turn, each half is shifted by numbers that a digest
     of the other half gives. Shifting back undoes a round, so no two strings of a shape meet.
     """
 
-    def turn(state: Column, number: int) -> Column:
+    def hexed(digest: Column) -> Column:
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+    def anchored(state: Column) -> Column:
+        def moved(at: Column) -> Column:
+            others = F.array_join(F.transform(state, lambda x, i: F.when(i != at, x["p"].cast("string")).otherwise(F.lit("."))), ",")
+
+            def move(by: Column) -> Column:
+                step = lambda x, i: F.when(i == at, x.withField("p", ((x["p"] + 1 + by % (x["n"] - 1)) % x["n"]).cast("int"))).otherwise(x)
+                return F.transform(state, step)
+
+            new = F.when(at < 0, state).otherwise(let(hexed(F.sha2(F.concat_ws("|", tweak, F.lit("first"), others), 256)), move))
+            return let(new, lambda x: F.struct(x.alias("x"), at.alias("at"), F.coalesce(F.get(x, at)["p"].cast("string"), F.lit("")).alias("lead")))
+
+        return let((F.array_position(F.transform(state, lambda x: x["n"] > 1), True) - 1).cast("int"), moved)
+
+    def turn(whole_state: Column, number: int) -> Column:
         half = number % 2
+        state = whole_state["x"]
         # The other half as text; in the half to be changed, only the shape is seen.
         fixed = F.array_join(F.transform(state, lambda x, i: F.when(i % 2 != half, x["p"].cast("string")).otherwise(F.lit("."))), ",")
 
@@ -117,23 +169,24 @@ def permuted(characters: Column, tweak: Column, rounds: int = ROUNDS) -> Column:
                 block = F.sha2(F.concat(digest, F.floor(i / 16).cast("string")), 256)
                 by = F.conv(F.substr(block, (at * 8 + 1).cast("int"), F.lit(8)), 16, 10).cast("bigint")
                 new = ((x["p"] + by) % x["n"]).cast("int")
-                return F.when((i % 2 == half) & (x["n"] > 0), x.withField("p", new)).otherwise(x)
+                return F.when((i % 2 == half) & (x["n"] > 0) & (i != whole_state["at"]), x.withField("p", new)).otherwise(x)
 
-            return F.transform(state, move)
+            return F.struct(F.transform(state, move).alias("x"), whole_state["at"].alias("at"), whole_state["lead"].alias("lead"))
 
-        return let(F.sha2(F.concat_ws("|", tweak, F.lit(str(number)), fixed), 256), shifted)
+        return let(F.sha2(F.concat_ws("|", tweak, F.lit(str(number)), whole_state["lead"], fixed), 256), shifted)
 
-    state = _codes(characters)
+    state = let(_codes(characters), anchored)
     for number in range(rounds):
         state = let(state, in_round(turn, number))
 
+    starts = F.array(*map(F.lit, STARTS))
+
     def letter(x: Column) -> Column:
-        shown = x["c"]
-        for number, letters in enumerate(ALPHABETS):
-            shown = F.when(x["a"] == number, F.substr(F.lit(letters), x["p"] + 1, F.lit(1))).otherwise(shown)
-        return shown
+        return F.when(x["a"] < 0, x["c"]).when(x["a"] < 9, F.substr(F.lit(LETTERS[:FIRST_ALPHABETS]), F.get(starts, x["a"]) + x["p"] + 1, F.lit(1))).otherwise(
+            F.substr(F.lit(LETTERS), F.get(starts, x["a"]) + x["p"] + 1, F.lit(1))
+        )
 
-    return F.array_join(F.transform(state, letter), "")
+    return F.array_join(let(state, lambda s: F.transform(s["x"], letter)), "")
 
 
 def valid_ip(value: Column) -> Column:
@@ -194,19 +247,24 @@ def surrogate(kind: Column, value: Column, version: str, key: str = KEY) -> Colu
         return F.concat(F.when(upper & v.rlike("[A-Z]"), F.upper(new)).otherwise(new), F.lit("@"), host)
 
     def ip(v: Column) -> Column:
-        """A permutation of the 2^32 addresses: halves of 16 bits are combined with digests of each other."""
+        """A permutation of the 2^32 addresses: the last number moves on, never by 0; under it, 16 and 8 bits are combined
+        with digests of each other."""
         parts = F.transform(F.split(v, r"\."), lambda x: x.try_cast("bigint"))
-        start = F.struct((parts[0] * 256 + parts[1]).alias("a"), (parts[2] * 256 + parts[3]).alias("b"))
+        by = lambda *seen: F.conv(F.substring(F.sha2(F.concat_ws("|", tweak, *seen), 256), 1, 4), 16, 10).cast("bigint")
+
+        def start(p: Column) -> Column:
+            a = p[0] * 256 + p[1]
+            d = (p[3] + 1 + by(F.lit("last"), a.cast("string"), p[2].cast("string")) % 255) % 256
+            return F.struct(a.alias("a"), p[2].alias("c"), d.alias("d"))
 
         def turn(s: Column, k: int) -> Column:
-            by = F.conv(F.substring(F.sha2(F.concat_ws("|", tweak, F.lit(str(k)), s["b"].cast("string")), 256), 1, 4), 16, 10).cast("bigint")
-            return F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(by).alias("b"))
+            seen = by(F.lit(str(k)), s["d"].cast("string"), s["c" if k % 2 == 0 else "a"].cast("string"))
+            return s.withField("a", s["a"].bitwiseXOR(seen)) if k % 2 == 0 else s.withField("c", s["c"].bitwiseXOR(seen % 256))
 
-        state = start
+        state = let(parts, start)
         for k in range(ROUNDS):
             state = let(state, in_round(turn, k))
-        text = lambda n: F.concat_ws(".", F.floor(n / 256).cast("string"), (n % 256).cast("string"))
-        return let(state, lambda s: F.concat_ws(".", text(s["a"]), text(s["b"])))
+        return let(state, lambda s: F.concat_ws(".", F.floor(s["a"] / 256).cast("string"), (s["a"] % 256).cast("string"), s["c"].cast("string"), s["d"].cast("string")))
 
     def no_ip(v: Column) -> Column:
         """Parts beyond 255 move within 256 to 999, the others within what is of their length: it never becomes an IP."""
@@ -297,14 +355,17 @@ def checked_version(docs: DataFrame, key: str = KEY) -> str:
     raise RuntimeError("no key version keeps the entities distinct; give another key")
 
 
-def _replaced(x: Column, version: str, key: str) -> Column:
+def _surrogates(x: Column, version: str, key: str) -> Column:
+    return F.transform(x["found"], lambda v: let(entity_type(v), lambda k: surrogate(k, v, version, key)))
+
+
+def _joined(x: Column, new: Column) -> Column:
     """A cut text put together again with its entities replaced."""
+    return F.array_join(F.transform(x["rest"], lambda r, i: F.concat(r, F.coalesce(F.get(new, i), F.lit("")))), "")
 
-    def piece(r: Column, i: Column) -> Column:
-        new = let(F.get(x["found"], i), lambda v: let(entity_type(v), lambda k: surrogate(k, v, version, key)))
-        return F.when(i < F.size(x["found"]), F.concat(r, new)).otherwise(r)
 
-    return F.array_join(F.transform(x["rest"], piece), "")
+def _replaced(x: Column, version: str, key: str) -> Column:
+    return let(_surrogates(x, version, key), lambda new: _joined(x, new))
 
 
 def replaced(text: Column, version: str, key: str = KEY) -> Column:
@@ -329,10 +390,16 @@ def entity_report(docs: DataFrame, key: str = KEY) -> DataFrame:
     none = F.array().cast("array<string>")
 
     def answer(x: Column) -> Column:
-        return F.struct(_replaced(x, version, key).alias("text"), F.size(x["found"]).cast("bigint").alias("n_entities"), F.array_sort(F.array_distinct(F.transform(x["found"], entity_type))).alias("types"))
+        types = F.array_sort(F.array_distinct(F.transform(x["found"], entity_type)))
+
+        def counted(new: Column) -> Column:
+            changed = F.size(F.filter(F.zip_with(x["found"], new, lambda v, w: v != w), lambda c: c))
+            return F.struct(_joined(x, new).alias("text"), F.size(new).cast("bigint").alias("n_entities"), changed.cast("bigint").alias("n_changed"), types.alias("types"))
+
+        return let(_surrogates(x, version, key), counted)
 
     text = F.col("text")
-    plain = F.struct(text.alias("text"), F.lit(0).cast("bigint").alias("n_entities"), none.alias("types"))
+    plain = F.struct(text.alias("text"), F.lit(0).cast("bigint").alias("n_entities"), F.lit(0).cast("bigint").alias("n_changed"), none.alias("types"))
     given = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
     found = given.select("doc_id", F.inline(F.array(F.when(may_hold(text), let(_cut(text), answer)).otherwise(plain))))
     return found.withColumn("types", F.array_join("types", ","))
