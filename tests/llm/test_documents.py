@@ -262,6 +262,25 @@ def test_secrets_are_told_from_what_looks_like_them(spark, hard_docs, no_docs):
     assert secret_scan.scan(no_docs).count() == 0
 
 
+def test_unquoted_known_and_symbol_secrets_are_masked(spark):
+    hexed = hashlib.sha256(b"y").hexdigest()
+    values = {
+        "password={}": "Xk3f9QmZ81LpTr20", "x AWS_SECRET_ACCESS_KEY={}": "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ83kLmWp2Tv", "S3_ACCESS_KEY={}": "Qm9vYmFyQmF6MTIzNDU2Nzg5Zz09", "see https://h.example/p?token={}&page": hexed[:32],
+        "we found {} in it": "AKIA" + hexed[:16].upper(), "then {} is here": "ghp_" + (hexed * 2)[7:43], "password: {} ok": "tR@9x.Lq!7$w", "PASSWORD={}": "a$K9!z", "db_password={}": "QzXkVwJpGyabTr",
+    }
+    plain = ["see commit " + hexed[:40], "section-and-part-12 of it", "the password: required and", "call 2024-01-01T001234567"]
+    texts = [k.format(v) for k, v in values.items()] + plain
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = [r.text for r in secret_scan.mask_secrets(docs).orderBy("doc_id").collect()]
+    assert masked == [k.format("[secret]") for k in values] + plain
+    found = docs.select(F.inline(secret_scan.candidates(F.col("text"))), "doc_id").where(f"doc_id < {len(values)}").collect()
+    assert set(values.values()) <= {r.value for r in found}
+    assert all(r.value == texts[r.doc_id][r.start : r.start + len(r.value)] for r in found)
+    # What is merely not assigned gets no label.
+    loose = spark.createDataFrame([("", hexed[:24], "with ", " in it"), ("", "AKIA" + hexed[:16].upper(), "with ", " in it")], "path string, value string, before string, after string")
+    assert [r.label for r in secret_scan.rule_labels(loose).collect()] == [1]
+
+
 # Surrogates
 
 

@@ -1,6 +1,7 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-A candidate is a run of letters, digits and the signs of encoded keys with at least one digit. Its length, character
+A candidate is a run of letters, digits and the signs of encoded keys with at least one digit, = only at its end, or
+whatever of four characters or more is assigned to a secret's name. Its length, character
 transitions, dictionary coverage, path and neighbouring words go to a forest that is trained from labelled findings.
 All of it runs in Spark's own expressions: a text is split at its candidates, so that what stands before and after each
 is at hand, and put together again when secrets are masked.
@@ -18,7 +19,15 @@ from pyspark.sql import functions as F
 
 from wordtide.llm.common import free_name, let, stage, whole
 
-CANDIDATE = r"(?<![A-Za-z0-9+/=_\-])(?=[A-Za-z+/=_\-]*+[0-9])[A-Za-z0-9+/=_\-]{8,}+"
+# A value after a secret's name and a sign of assignment; the plain looks back come first, as the long one is costly.
+ASSIGNED_VALUE = (
+    r"(?<=[=:>\"'` ])(?=[^\s\"'`=:])(?<=[=:>][\"'` ]{0,3})"
+    r"(?<=(?i:token|secret|passwo?r?d|passphrase|pwd|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|credential|authorization)[A-Za-z0-9_\-]{0,24}[\"']? {0,2}(?::=|=>|[=:]) {0,2}[\"'`]?)"
+    r"[^\s\"'`<>,;(){}\[\]&]{3,}[^\s\"'`<>,;(){}\[\]&.:]"
+)
+# Not the name itself, where it has a digit: a secret's name that something is assigned to.
+NAME = r"(?![A-Za-z0-9_\-]*(?i:token|secret|passwo?r?d|passphrase|pwd|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential|authorization)[A-Za-z0-9_\-]*[\"']?(?:[=:][\"'`]?[^\s=]| [=:] ))"
+CANDIDATE = ASSIGNED_VALUE + r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])" + NAME + r"[A-Za-z0-9+/_\-]{8,}+(?:={1,2}+(?![A-Za-z0-9+/_\-]))?+"
 # Characters looked at on either side for neighbouring words; the text itself is scanned whole.
 BEFORE, AFTER = 48, 24
 DICTIONARY = 5_000
@@ -31,6 +40,8 @@ MASK = "[secret]"
 ASSIGNED = r"(token|secret|passwo?r?d|passphrase|pwd|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|credential|bearer|authorization)[a-z0-9_\-]*[\"']?\s*(:=|=>|[=:]|\s)\s*[\"'`]?$"
 HASH_NAMED = r"(commit|sha1|sha256|sha|md5|checksum|digest|etag|revision|uuid|guid|hash|build|version)[a-z0-9_\-]*[\"']?\s*[:=]?\s*[\"'`]?$"
 TEST_PATH = r"(test|example|sample|fixture|mock|spec|demo|doc)"
+# Keys that their issuers mark by how they begin.
+KNOWN_KEY = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{30,}|glpat-[A-Za-z0-9_\-]{20,}|xox[abprs]-[A-Za-z0-9\-]{10,}|[srp]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35})$"
 PLACEHOLDER = r"(example|sample|dummy|placeholder|changeme|your|xxxx|0000000|1234567|abcdef)"
 
 FEATURES = [
@@ -47,6 +58,7 @@ FEATURES = [
     "quoted",
     "assigned",
     "hash_named",
+    "known_key",
     "placeholder",
     "test_path",
     "words_before",
@@ -69,7 +81,8 @@ def candidates(text: Column) -> Column:
             i.alias("number"),
             (F.get(starts, i) + F.length(F.get(x["rest"], i))).alias("start"),
             f.alias("value"),
-            F.right(F.get(x["rest"], i), F.lit(BEFORE)).alias("before"),
+            # A candidate just before may be the name that this one is assigned to.
+            F.right(F.concat(F.coalesce(F.get(x["found"], i - 1), F.lit("")), F.get(x["rest"], i)), F.lit(BEFORE)).alias("before"),
             F.left(F.get(x["rest"], i + 1), F.lit(AFTER)).alias("after"),
         )
         return F.transform(x["found"], one)
@@ -125,6 +138,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         number(before.rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")).alias("quoted"),
         number(before.rlike(ASSIGNED)).alias("assigned"),
         number(before.rlike(HASH_NAMED)).alias("hash_named"),
+        number(value.rlike(KNOWN_KEY)).alias("known_key"),
         number(low.rlike(PLACEHOLDER)).alias("placeholder"),
         number(F.col("path").rlike(TEST_PATH)).alias("test_path"),
         number(F.size(F.filter(F.split(before, r"[^\p{L}]+"), lambda x: x != ""))).alias("words_before"),
@@ -143,6 +157,14 @@ def seed_findings(spark: SparkSession, n: int = 40) -> DataFrame:
         (key, "api_key: '", "'", "config", 1),
         (F.substring(key, 1, 24), "password=", "\n", "env", 1),
         (F.concat(F.lit("AKIA"), F.upper(F.substring(sha("a"), 1, 16))), "access_key = ", " ", "config", 1),
+        (key, "AWS_SECRET_ACCESS_KEY=", "\n", "env", 1),
+        (F.substring(sha("q"), 1, 32), "https://host.example/path?token=", "&page", "web", 1),
+        (F.concat(F.lit("AKIA"), F.upper(F.substring(sha("b"), 1, 16))), "and the key ", " was found", "docs", 1),
+        (F.concat(F.lit("ghp_"), F.substring(key, 1, 36)), "then use ", " for it", "src", 1),
+        (F.concat(F.substring(key, 1, 5), F.lit("@"), F.substring(key, 8, 4), F.lit("!.$")), "password: ", " ", "config", 1),
+        (F.concat(F.substring(key, 3, 4), F.lit("$"), F.substring(key, 9, 2)), "PASSWORD=", "\n", "env", 1),
+        (F.translate(F.substring(sha("w"), 1, 14), "0123456789", "QzXkVwJpGy"), "db_password=", "\n", "env", 1),
+        (F.element_at(F.array(*map(F.lit, ("required", "optional", "missing", "expired", "invalid", "string", "None", "true"))), (F.col("id") % 8 + 1).cast("int")), "the password: ", " and", "docs", 0),
         (F.substring(sha("c"), 1, 40), "fixed in commit ", " of main", "src", 0),
         (sha("s"), "sha256: ", "\n", "lock", 0),
         (uuid, "uuid = ", " ", "src", 0),
@@ -164,13 +186,15 @@ def seed_findings(spark: SparkSession, n: int = 40) -> DataFrame:
 def rule_labels(found: DataFrame, most: int = FINDINGS) -> DataFrame:
     """Labelled findings of a corpus without reviewed ones, at most ``most`` of each label, drawn by hash.
 
-    Sure cases only: a secret is a long mix of digits and letters that is quoted and assigned to a secret's name; what
-    has digits alone, a placeholder, the name of a hash before it, or a dictionary word is none.
+    Sure cases only: a secret is a long mix of digits and letters that is quoted and assigned to a secret's name, or
+    begins like a known kind of key; what has digits and signs alone and is not assigned, a placeholder, or the name of a
+    hash before it is none. All others, assigned or not, stay without a label.
     """
     before, value = F.lower(F.col("before")), F.col("value")
+    known = value.rlike(KNOWN_KEY)
     sure = before.rlike(ASSIGNED) & F.col("after").rlike("^[\"'`]") & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 20)
-    never = value.rlike("^[0-9]+$") | F.lower(value).rlike(PLACEHOLDER) | before.rlike(HASH_NAMED)
-    label = F.when(never, 0).when(sure, 1).when(~before.rlike(ASSIGNED), 0)
+    never = (value.rlike(r"^[0-9+/=_\-]+$") & ~before.rlike(ASSIGNED)) | F.lower(value).rlike(PLACEHOLDER) | before.rlike(HASH_NAMED)
+    label = F.when(never, 0).when(sure | known, 1)
     marked = found.select("path", "value", "before", "after", label.alias("label")).where("label IS NOT NULL").distinct()
     order = [F.xxhash64("value", "before"), F.col("value"), F.col("before"), F.col("after"), F.col("path")]
     parts = [marked.where(F.col("label") == x).orderBy(*order).limit(most) for x in (0, 1)]
