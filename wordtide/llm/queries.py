@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordtide.llm.common import bound_batches, table
 from wordtide.llm.decontamination import contamination
+from wordtide.llm.line_dedup import dedup_lines
 from wordtide.llm.packing import pack_documents
 from wordtide.llm.paragraph_sketch import compare_with_edits
 from wordtide.llm.secret_scan import scan
@@ -66,6 +68,23 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
 FROM (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM digest)
 """
 
+OP12_SQL = rf"""
+WITH line AS (
+  SELECT doc_id, row, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM (
+    SELECT doc_id, row, unnest(lines) AS line, unnest(range(len(lines))) AS pos
+    FROM (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+  )
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM line WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT l.*, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM line l LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY row, doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -141,6 +160,13 @@ def op10_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op12_line_dedup", OP12_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that at least five of them share."""
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""
