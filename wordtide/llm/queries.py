@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordtide.llm.collocations import collocations
 from wordtide.llm.common import bound_batches, table
 from wordtide.llm.decontamination import contamination
 from wordtide.llm.line_dedup import dedup_lines
@@ -68,6 +69,39 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
 FROM (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM digest)
 """
 
+OP11_SQL = rf"""
+WITH piece AS (
+  SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), gram AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+), counted AS (
+  SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY lang, k, phrase
+), candidate AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= 30
+), cut AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 : k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidate)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, h.f AS l, t.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(h.f AS HUGEINT) + t.f) AS BIGINT) AS score
+  FROM cut c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head JOIN counted t ON t.lang = c.lang AND t.phrase = c.tail
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_phrase AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM candidate))
+  GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b LEFT JOIN inner_phrase i USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a
+), size AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN size USING (lang) WHERE rank <= 2000
+"""
+
 OP12_SQL = rf"""
 WITH line AS (
   SELECT doc_id, row, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
@@ -160,6 +194,12 @@ def op10_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op12_line_dedup", OP12_SQL)
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that at least five of them share."""
