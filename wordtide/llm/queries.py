@@ -20,6 +20,7 @@ from wordtide.llm.token_counts import token_counts
 from wordtide.llm.token_files import token_files
 from wordtide.llm.toxicity import fit_model, score_documents
 from wordtide.llm.warc import warc_round_trip
+from wordtide.llm.whitening import whiten_embeddings
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -207,6 +208,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op13_feast_whitening")
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all embeddings."""
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""
