@@ -5,16 +5,15 @@ equal passages are cut alike wherever they stand. A chunk is followed by the nex
 the n-grams that begin before those, and so every n-gram of up to four words is owned by one chunk. The distinct chunks
 with their numbers are the dictionary. N-grams are counted inside distinct chunks only, weighted by these numbers.
 
-Words are counted first, then pairs, triples and fours. An n-gram is looked at only if both its parts of one word less
-are frequent, which a bit table of hashes tells without missing any; counts themselves are made from the words, never
-from hashes. The bit table follows the number of frequent n-grams, up to ``MOST_BITS``; when it gets full, more rare
-n-grams are counted for nothing, and the result is the same.
+Words and pairs are counted first, then triples and fours. Those are looked at only if all pairs inside are frequent,
+which a bit table of hashes tells without missing any; counts themselves are made from the words, never from hashes.
+The bit table follows the number of frequent pairs, up to ``MOST_BITS``; when it gets full, more rare n-grams are
+counted for nothing, and the result is the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,8 @@ from wordtide.llm.common import stage, whole
 
 LONGEST = 4
 LEAST, TOP = 30, 2000
+# Shares in which each language is ranked before the last ranking, which so gets a bounded number of rows.
+SHARES = 64
 # A chunk ends before every pair of words whose hash is a multiple of this.
 TRIGGER = 16
 # Bytes of text that a task works on at once.
@@ -59,8 +60,10 @@ class Words:
         coded = array.dictionary_encode()
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.distinct = coded.dictionary
+
+    def hashes(self) -> np.ndarray:
         known = [xxhash.xxh64_intdigest(w) for w in self.distinct.cast(pa.binary()).to_pylist()]
-        self.hashes = np.array(known, np.uint64)[self.codes] if known else np.zeros(0, np.uint64)
+        return np.array(known, np.uint64)[self.codes]
 
     def __len__(self) -> int:
         return len(self.starts)
@@ -106,7 +109,8 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         piece = np.cumsum(kind == 2)[words.starts]
         new_piece = np.diff(piece, prepend=-1) != 0
-        pair = mix(np.concatenate([[np.uint64(0)], words.hashes[:-1]]) * FACTOR + words.hashes)
+        hashes = words.hashes()
+        pair = mix(np.concatenate([[np.uint64(0)], hashes[:-1]]) * FACTOR + hashes)
         first = np.flatnonzero(new_piece | (pair % np.uint64(TRIGGER) == 0))
         last = np.append(first[1:], n)
         piece_ends = np.append(np.flatnonzero(new_piece)[1:], n)
@@ -136,73 +140,76 @@ class Parsed:
         seeds = np.array([xxhash.xxh64_intdigest(x) for x in self.langs.cast(pa.binary()).to_pylist()], np.uint64)
         self.seed = seeds[self.lang][self.chunk]
 
-    def hashes(self, k: int) -> np.ndarray:
-        """The hash of the k-gram at each word, of its language and its words; whatever follows where less is left."""
-        h = mix(self.words.hashes + self.seed)
-        for j in range(1, k):
-            ahead = np.zeros_like(h)
-            ahead[: len(h) - j] = self.words.hashes[j:]
-            h = mix(h * FACTOR + ahead)
-        return h
+    def pair_bits(self, size: int) -> np.ndarray:
+        """The bit, in a table of 2**size, of the pair that begins at each word; whatever follows a chunk's last word."""
+        h = self.words.hashes()
+        pairs = mix(mix(h + self.seed) * FACTOR + np.append(h[1:], np.uint64(0)))
+        return (pairs >> np.uint64(64 - size)).astype(np.int64)
 
 
-def count_in(k: int, frequent: tuple[object, int] | None):
-    """K-grams of distinct chunks whose parts may be frequent: lang, phrase, f. Chunks come with ``owned`` and ``freq``."""
+def count_in(lengths: tuple[int, ...], frequent: tuple[object, int] | None = None):
+    """N-grams of distinct chunks (with ``owned`` and ``freq``), whose pairs may all be frequent: lang, phrase, f."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "chunk"):
             parsed = Parsed(table, "chunk")
-            words = parsed.words
-            fits = (parsed.left >= k) & (parsed.at < table.column("owned").to_numpy()[parsed.chunk])
+            owned = parsed.at < table.column("owned").to_numpy()[parsed.chunk]
+            times = table.column("freq").to_numpy()[parsed.chunk]
             if frequent:
-                bits, size = np.frombuffer(frequent[0].value, np.uint8), frequent[1]
-                where = (parsed.hashes(k - 1) >> np.uint64(64 - size)).astype(np.int64)
-                known = (bits[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool)
-                fits &= known & np.append(known[1:], False)
-            place = np.flatnonzero(fits)
-            if not len(place):
-                continue
-            # A number for each different k-gram, made one word at a time and renumbered before it can pass 64 bits.
-            number, below = parsed.lang[parsed.chunk[place]], len(parsed.langs)
-            for j in range(k):
-                if below * len(words.distinct) >= 2**62:
-                    distinct, number = np.unique(number, return_inverse=True)
-                    below = len(distinct)
-                number = number * len(words.distinct) + words.codes[place + j]
-                below *= len(words.distinct)
-            order = np.argsort(number, kind="stable")
-            starts = np.flatnonzero(np.diff(number[order], prepend=-1))
-            times = np.add.reduceat(table.column("freq").to_numpy()[parsed.chunk[place[order]]], starts)
-            one = place[order[starts]]
-            parts = [words.distinct.take(pa.array(words.codes[one + j])) for j in range(k)]
-            yield pa.RecordBatch.from_arrays(
-                [parsed.langs.take(pa.array(parsed.lang[parsed.chunk[one]])), pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0], pa.array(times, pa.int64())],
-                ["lang", "phrase", "f"],
-            )
+                bits, at = np.frombuffer(frequent[0].value, np.uint8), parsed.pair_bits(frequent[1])
+                known = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            for k in lengths:
+                fits = owned & (parsed.left >= k)
+                for j in range(k - 1 if frequent else 0):
+                    fits[: len(fits) - j] &= known[j:]
+                places = np.flatnonzero(fits)
+                if len(places):
+                    yield folded(parsed, places, times, k)
 
     return run
 
 
-def bit_numbers(k: int, size: int):
-    """The bit of each k-word phrase in a table of 2**size bits, counted from 1."""
+def folded(parsed: Parsed, places: np.ndarray, times: np.ndarray, k: int) -> pa.RecordBatch:
+    """The different k-grams at the given words, with their weighted number."""
+    words = parsed.words
+    # A number for each different k-gram, made one word at a time and renumbered before it can pass 64 bits.
+    number, below = parsed.lang[parsed.chunk[places]], len(parsed.langs)
+    for j in range(k):
+        if below * len(words.distinct) >= 2**62:
+            distinct, number = np.unique(number, return_inverse=True)
+            below = len(distinct)
+        number = number * len(words.distinct) + words.codes[places + j]
+        below *= len(words.distinct)
+    order = np.argsort(number, kind="stable")
+    starts = np.flatnonzero(np.diff(number[order], prepend=-1))
+    total = np.add.reduceat(times[places[order]], starts)
+    one = places[order[starts]]
+    parts = [words.distinct.take(pa.array(words.codes[one + j])) for j in range(k)]
+    return pa.RecordBatch.from_arrays(
+        [parsed.langs.take(pa.array(parsed.lang[parsed.chunk[one]])), pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0], pa.array(total, pa.int64())],
+        ["lang", "phrase", "f"],
+    )
+
+
+def bit_numbers(size: int):
+    """The bit of each pair in a table of 2**size bits, counted from 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "phrase"):
             parsed = Parsed(table, "phrase")
-            h = parsed.hashes(k)[parsed.at == 0]
-            yield pa.RecordBatch.from_arrays([pa.array((h >> np.uint64(64 - size)).astype(np.int64) + 1)], ["bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(parsed.pair_bits(size)[parsed.at == 0] + 1)], ["bit"])
 
     return run
 
 
-def bit_table(phrases: DataFrame, k: int) -> tuple[object, int]:
-    """A broadcast bit table of the phrases' hashes and the log2 of its bits.
+def bit_table(pairs: DataFrame) -> tuple[object, int]:
+    """A broadcast bit table of the pairs' hashes and the log2 of its bits.
 
-    About 16 bits a phrase while ``MOST_BITS`` allows, which also bounds what passes through the driver.
+    About 16 bits a pair while ``MOST_BITS`` allows, which also bounds what passes through the driver.
     """
-    spark = phrases.sparkSession
-    size = min(MOST_BITS, max(15, (16 * phrases.count()).bit_length()))
-    bits = phrases.mapInArrow(bit_numbers(k, size), "bit BIGINT")
+    spark = pairs.sparkSession
+    size = min(MOST_BITS, max(15, (16 * pairs.count()).bit_length()))
+    bits = pairs.mapInArrow(bit_numbers(size), "bit BIGINT")
     blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
     table = bytearray(2**size // 8)
     for block, part in blocks.toLocalIterator():
@@ -218,15 +225,15 @@ def parse_dictionary(docs: DataFrame) -> DataFrame:
     return stage(chunks.groupBy("lang", "chunk", "owned").agg(F.count("*").alias("freq")), "parse-dictionary")
 
 
-def frequent_phrases(dictionary: DataFrame, least: int) -> list[DataFrame]:
-    """For one to four words, the phrases that occur at least ``least`` times: lang, phrase, f."""
-    levels, known = [], None
-    for k in range(1, LONGEST + 1):
-        counted = dictionary.mapInArrow(count_in(k, known), "lang STRING, phrase STRING, f BIGINT")
-        total = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-        levels.append(stage(total.where(F.col("f") >= least), f"phrases-{k}"))
-        known = bit_table(levels[-1], k) if k < LONGEST else None
-    return levels
+def frequent_phrases(dictionary: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The words and pairs, and the triples and fours, that occur at least ``least`` times: lang, phrase, f."""
+
+    def counted(counter, name: str) -> DataFrame:
+        total = dictionary.mapInArrow(counter, "lang STRING, phrase STRING, f BIGINT").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        return stage(total.where(F.col("f") >= least), name)
+
+    short = counted(count_in((1, 2)), "short-phrases")
+    return short, counted(count_in((3, 4), bit_table(short.where(F.contains("phrase", F.lit(" "))))), "long-phrases")
 
 
 def lowest_cut(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -269,13 +276,16 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     Other columns are not read. A task's memory depends on ``AT_ONCE`` and on the longest text.
     """
     dictionary = parse_dictionary(docs)
-    levels = frequent_phrases(dictionary, least)
-    candidates = reduce(DataFrame.unionByName, levels[1:]).withColumnRenamed("f", "a")
-    scored = lowest_cut(candidates, reduce(DataFrame.unionByName, levels[:-1]))
+    short, long = frequent_phrases(dictionary, least)
+    phrases = short.unionByName(long)
+    candidates = phrases.where(F.contains("phrase", F.lit(" "))).withColumnRenamed("f", "a")
+    scored = lowest_cut(candidates, phrases)
     judged = scored.join(inside_longer(candidates), ["lang", "phrase"], "left")
     wide = lambda c: F.col(c).cast("decimal(20,0)")
     kept = judged.where(F.col("longer").isNull() | (wide("longer") * 100 < wide("a") * 80))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    first = F.desc("score"), F.desc("a"), "phrase"
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    likely = kept.withColumn("share", share).withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*first)))
+    ranked = likely.where(F.col("place") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*first))).where(F.col("rank") <= top)
     sizes = dictionary.groupBy("lang").agg(F.sum(F.col("owned") * F.col("freq")).alias("n"))
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
