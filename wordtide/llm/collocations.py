@@ -5,9 +5,9 @@ equal passages are cut alike wherever they stand. A chunk is followed by the nex
 the n-grams that begin before those, and so every n-gram of up to four words is owned by one chunk. The distinct chunks
 with their numbers are the dictionary. N-grams are counted inside distinct chunks only, weighted by these numbers.
 
-Words and pairs are counted first, then triples and fours. Those are looked at only if all pairs inside are frequent,
-which a bit table of hashes tells without missing any; counts themselves are made from the words, never from hashes.
-The bit table follows the number of frequent pairs, up to ``MOST_BITS``; when it gets full, more rare n-grams are
+Words are counted first, then pairs of frequent words, then triples and fours of frequent pairs. What is frequent is
+told by a bit table of hashes that misses none; counts themselves are made from the words, never from hashes. The bit
+table follows the number of frequent words or pairs, up to ``MOST_BITS``; when it gets full, more rare n-grams are
 counted for nothing, and the result is the same.
 """
 
@@ -140,15 +140,17 @@ class Parsed:
         seeds = np.array([xxhash.xxh64_intdigest(x) for x in self.langs.cast(pa.binary()).to_pylist()], np.uint64)
         self.seed = seeds[self.lang][self.chunk]
 
-    def pair_bits(self, size: int) -> np.ndarray:
-        """The bit, in a table of 2**size, of the pair that begins at each word; whatever follows a chunk's last word."""
+    def bits(self, k: int, size: int) -> np.ndarray:
+        """The bit, in a table of 2**size, of each word (k = 1) or of it and whatever follows it (k = 2)."""
         h = self.words.hashes()
-        pairs = mix(mix(h + self.seed) * FACTOR + np.append(h[1:], np.uint64(0)))
-        return (pairs >> np.uint64(64 - size)).astype(np.int64)
+        seeded = mix(h + self.seed)
+        if k == 2:
+            seeded = mix(seeded * FACTOR + np.append(h[1:], np.uint64(0)))
+        return (seeded >> np.uint64(64 - size)).astype(np.int64)
 
 
-def count_in(lengths: tuple[int, ...], frequent: tuple[object, int] | None = None):
-    """N-grams of distinct chunks (with ``owned`` and ``freq``), whose pairs may all be frequent: lang, phrase, f."""
+def count_in(lengths: tuple[int, ...], part: int = 0, frequent: tuple[object, int] | None = None):
+    """N-grams of distinct chunks (with ``owned`` and ``freq``), whose parts of ``part`` words may all be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "chunk"):
@@ -156,11 +158,11 @@ def count_in(lengths: tuple[int, ...], frequent: tuple[object, int] | None = Non
             owned = parsed.at < table.column("owned").to_numpy()[parsed.chunk]
             times = table.column("freq").to_numpy()[parsed.chunk]
             if frequent:
-                bits, at = np.frombuffer(frequent[0].value, np.uint8), parsed.pair_bits(frequent[1])
+                bits, at = np.frombuffer(frequent[0].value, np.uint8), parsed.bits(part, frequent[1])
                 known = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             for k in lengths:
                 fits = owned & (parsed.left >= k)
-                for j in range(k - 1 if frequent else 0):
+                for j in range(k - part + 1 if frequent else 0):
                     fits[: len(fits) - j] &= known[j:]
                 places = np.flatnonzero(fits)
                 if len(places):
@@ -191,25 +193,25 @@ def folded(parsed: Parsed, places: np.ndarray, times: np.ndarray, k: int) -> pa.
     )
 
 
-def bit_numbers(size: int):
-    """The bit of each pair in a table of 2**size bits, counted from 1."""
+def bit_numbers(k: int, size: int):
+    """The bit of each phrase of k words in a table of 2**size bits, counted from 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "phrase"):
             parsed = Parsed(table, "phrase")
-            yield pa.RecordBatch.from_arrays([pa.array(parsed.pair_bits(size)[parsed.at == 0] + 1)], ["bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(parsed.bits(k, size)[parsed.at == 0] + 1)], ["bit"])
 
     return run
 
 
-def bit_table(pairs: DataFrame) -> tuple[object, int]:
-    """A broadcast bit table of the pairs' hashes and the log2 of its bits.
+def bit_table(phrases: DataFrame, k: int) -> tuple[object, int]:
+    """A broadcast bit table of the hashes of phrases of k words, and the log2 of its bits.
 
-    About 16 bits a pair while ``MOST_BITS`` allows, which also bounds what passes through the driver.
+    About 16 bits a phrase while ``MOST_BITS`` allows, which also bounds what passes through the driver.
     """
-    spark = pairs.sparkSession
-    size = min(MOST_BITS, max(15, (16 * pairs.count()).bit_length()))
-    bits = pairs.mapInArrow(bit_numbers(size), "bit BIGINT")
+    spark = phrases.sparkSession
+    size = min(MOST_BITS, max(15, (16 * phrases.count()).bit_length()))
+    bits = phrases.mapInArrow(bit_numbers(k, size), "bit BIGINT")
     blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
     table = bytearray(2**size // 8)
     for block, part in blocks.toLocalIterator():
@@ -225,15 +227,16 @@ def parse_dictionary(docs: DataFrame) -> DataFrame:
     return stage(chunks.groupBy("lang", "chunk", "owned").agg(F.count("*").alias("freq")), "parse-dictionary")
 
 
-def frequent_phrases(dictionary: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """The words and pairs, and the triples and fours, that occur at least ``least`` times: lang, phrase, f."""
+def frequent_phrases(dictionary: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The words, the pairs, and the triples and fours that occur at least ``least`` times: lang, phrase, f."""
 
     def counted(counter, name: str) -> DataFrame:
         total = dictionary.mapInArrow(counter, "lang STRING, phrase STRING, f BIGINT").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
         return stage(total.where(F.col("f") >= least), name)
 
-    short = counted(count_in((1, 2)), "short-phrases")
-    return short, counted(count_in((3, 4), bit_table(short.where(F.contains("phrase", F.lit(" "))))), "long-phrases")
+    words = counted(count_in((1,)), "words")
+    pairs = counted(count_in((2,), 1, bit_table(words, 1)), "pairs")
+    return words, pairs, counted(count_in((3, 4), 2, bit_table(pairs, 2)), "longer")
 
 
 def lowest_cut(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -276,10 +279,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     Other columns are not read. A task's memory depends on ``AT_ONCE`` and on the longest text.
     """
     dictionary = parse_dictionary(docs)
-    short, long = frequent_phrases(dictionary, least)
-    phrases = short.unionByName(long)
-    candidates = phrases.where(F.contains("phrase", F.lit(" "))).withColumnRenamed("f", "a")
-    scored = lowest_cut(candidates, phrases)
+    words, pairs, longer = frequent_phrases(dictionary, least)
+    candidates = pairs.unionByName(longer).withColumnRenamed("f", "a")
+    scored = lowest_cut(candidates, words.unionByName(pairs).unionByName(longer))
     judged = scored.join(inside_longer(candidates), ["lang", "phrase"], "left")
     wide = lambda c: F.col(c).cast("decimal(20,0)")
     kept = judged.where(F.col("longer").isNull() | (wide("longer") * 100 < wide("a") * 80))
