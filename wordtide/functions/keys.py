@@ -41,3 +41,8 @@ def run_id(name: Column, at: Column) -> Column:
 def parse_post_date(date: Column) -> Column:
     """Timestamp of ``Mon Apr 06 22:19:45 PDT 2009``; NULL when it is not such a date."""
     return F.try_to_timestamp(F.regexp_replace(date, "^.{0,4}", ""), F.lit(POST_DATE_FORMAT))
+
+
+def text_digest(text: str) -> list[Column]:
+    """128 bits that tell the texts of one id apart, as columns ``t1`` and ``t2``."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2")]

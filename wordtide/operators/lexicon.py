@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtide.fixed_values import STOPWORDS
+from wordtide.functions.keys import text_digest
 from wordtide.functions.sentiment import sentiment_class, token_score
 from wordtide.functions.text import space_split
 from wordtide.schemas import LEXICON
@@ -38,12 +39,17 @@ def lexicon_score(posts: DataFrame, lexicon: Mapping[str, float] | DataFrame, hi
     else:
         whole = dict(lexicon.dtypes)["weight"] in ("tinyint", "smallint", "int", "bigint")
         weights = lexicon.groupBy("word").agg(F.sum("weight").cast("bigint" if whole else "double").alias("weight"))
-        rows = posts.select(F.monotonically_increasing_id().alias("_row"), "id", "text")
-        words = rows.select("_row", "id", F.explode_outer(space_split(F.col("text"))).alias("word"))
+        rows = posts.select("id", *text_digest("text"), "text")
+        words = rows.select("id", "t1", "t2", F.posexplode_outer(space_split(F.col("text"))).alias("pos", "word"))
         # Word rows of one post are next to each other, so they are folded back before they are shuffled.
         weighed = words.join(weights.hint(hint) if hint else weights, "word", "left")
         zero = F.lit(0).cast("bigint" if whole else "double")
-        scores = weighed.groupBy("_row", "id").agg(F.sum(F.coalesce("weight", zero)).alias("score")).drop("_row")
+        # Rows are told apart by id and text, which a repeated task can't change; equal rows are counted and scored alike.
+        copies = F.count_if(F.coalesce("pos", F.lit(0)) == 0)
+        total = F.sum(F.coalesce("weight", zero))
+        scores = weighed.groupBy("id", "t1", "t2").agg(total.alias("total"), copies.alias("copies"))
+        score = F.expr("total div copies") if whole else F.col("total") / F.col("copies")
+        scores = scores.select("id", score.alias("score"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
     return scores.withColumn("sentiment", sentiment_class(F.col("score")))
 
 

@@ -316,6 +316,17 @@ ORACLE: dict[str, str] = {
         f"{DOCS}, scores AS (SELECT id, {substring_score('text', CORPUS_LEXICON)} AS score FROM docs)",
         f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
     ),
+    "substring_score_join": with_ctes(
+        f"{DOCS}, scores AS (SELECT id, CAST({substring_score('text', CORPUS_LEXICON)} AS BIGINT) AS score FROM docs)",
+        f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
+    ),
+    "substring_score_vocabulary": with_ctes(
+        f"{DOCS}, parts AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark), "
+        "every_word AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS word FROM parts), "
+        "lexicon AS (SELECT DISTINCT word, length(word) % 5 - 2 AS weight FROM every_word WHERE word <> ''), "
+        "scores AS (SELECT id, CAST(CASE WHEN text IS NOT NULL THEN (SELECT coalesce(sum(weight), 0) FROM lexicon WHERE contains(lower(docs.text), word)) END AS BIGINT) AS score FROM docs)",
+        f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
+    ),
     "substring_score_messages": with_ctes(
         f"{MESSAGES}, scores AS (SELECT event_id, text, {substring_score('text', STREAM_LEXICON)} AS score FROM messages)",
         f"SELECT event_id, text, score, {sign_class('score')} AS sentiment FROM scores",

@@ -23,7 +23,7 @@ from wordtide.fixed_values import (
     WORD2VEC_SIZE,
 )
 from wordtide.functions import keys, text
-from wordtide.functions.arrays import explode_words
+from wordtide.functions.arrays import bigrams, explode_words
 from wordtide.functions.sentiment import (
     binary_label,
     confidence_predict,
@@ -32,7 +32,7 @@ from wordtide.functions.sentiment import (
     substring_score,
     token_score,
 )
-from wordtide.operators import evaluation, features, lexicon, models, reports, wordstats
+from wordtide.operators import evaluation, features, lexicon, models, reports, substring, wordstats
 from wordtide.operators.preprocess import preprocess, valid_posts, with_stems, with_tokens
 from wordtide.schemas import EVENT_PROPS, MODEL_METRICS, PREPROCESSED
 from wordtide.session import configure, fresh_path, stage
@@ -271,6 +271,25 @@ def q_substring_score(spark, sf_dir):
     return scored.withColumn("sentiment", sentiment_class(F.col("score")))
 
 
+@query
+def q_substring_score_join(spark, sf_dir):
+    """The same score through the q-gram index that a lexicon in a table takes."""
+    return substring.substring_score_join(docs(spark, sf_dir), lexicon.lexicon_table(spark, CORPUS_LEXICON))
+
+
+def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words and adjacent word pairs of the benchmark, with a weight that follows from their length."""
+    words = tables.read_table(spark, sf_dir, "benchmark").select(F.split(F.lower("text"), " ").alias("w"))
+    both = words.select("w", bigrams(F.col("w")).alias("pairs")).select(F.explode(F.concat("w", "pairs")).alias("word"))
+    return both.where("word <> ''").distinct().select("word", (F.length("word") % 5 - 2).alias("weight"))
+
+
+@query
+def q_substring_score_vocabulary(spark, sf_dir):
+    """Every word and word pair of the benchmark looked for in every document."""
+    return substring.substring_score_join(docs(spark, sf_dir), benchmark_lexicon(spark, sf_dir))
+
+
 @query
 def q_substring_score_messages(spark, sf_dir):
     scored = scoring.score_messages(event_messages(spark, sf_dir))
