@@ -1,6 +1,7 @@
 """Sources, sinks and streams."""
 
 import functools
+import random
 
 import pytest
 from conftest import rows
@@ -10,6 +11,7 @@ from wordtide.fixed_values import FEED_SOURCES, MESSAGE_TEXTS
 from wordtide.plans import live
 from wordtide.session import fresh_path
 from wordtide.sources import messages, posts_csv, sinks, tables
+from wordtide.sources.quoted_lines import read_records, split_lines
 from wordtide.streaming import scoring
 from wordtide.streaming import sinks as stream_sinks
 from wordtide.streaming.sources import kafka_options, stream_source, stream_table
@@ -46,6 +48,68 @@ def test_csv_roundtrip_of_awkward_text(spark, tmp_path):
     assert rows(back) == rows(df)
 
 
+AWKWARD = ['a "q" b', " lead", "line\nbreak", "cr\r\nlf", "comma, here", "back\\slash", '\\"', "ü", "\n", "\r\n\r\n", '"', '""\n""', "x\r", "漢\n字"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """A function that sets the size of splits, for the time of one test."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {n: spark.conf.get(n) for n in names}
+
+    def set_size(size):
+        spark.conf.set(names[0], size)
+        spark.conf.set(names[1], 1)
+
+    yield set_size
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def whole_file_reader(spark, path):
+    return spark.read.schema(posts_csv.POSTS_CSV).option("escape", '"').option("multiLine", True).csv(path)
+
+
+@pytest.mark.parametrize("size", [60, 700, 20_000])
+def test_line_breaks_in_fields_are_read_by_many_tasks(spark, tmp_path, small_splits, size):
+    random.seed(size)
+    posts = [(random.choice([0, 4, None]), str(i), "d", "q", None, "".join(random.choices(AWKWARD, k=random.randrange(1, 6)))) for i in range(150)]
+    posts.append((4, "long", "d", "q", "u", "one field,\n over many splits\r\n" * 40))
+    path = str(tmp_path / "one")
+    written = spark.createDataFrame(posts, posts_csv.POSTS_CSV)
+    posts_csv.write_posts(written.coalesce(1), path)
+    small_splits(size)
+    # Windows line ends inside fields stay, which Spark's own reader sometimes replaces.
+    assert rows(posts_csv.read_posts(spark, path, multi_line=True)) == rows(written)
+    if size < 20_000:
+        assert split_lines(spark, path).rdd.getNumPartitions() > 8
+
+
+def test_parallel_reader_treats_odd_files_as_the_other_does(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text(LINES)
+    (tmp_path / "b.csv").write_bytes(LINES.replace("\n", "\r\n").encode())
+    (tmp_path / "c.csv").write_bytes(b'"4","9","d","q","u","no line end"')
+    (tmp_path / "d.csv").write_bytes(b"\n\n0,10,d,q,u,unquoted text\n \n")
+    (tmp_path / "e.csv").write_bytes(b"")
+    for size in (40, 1000):
+        small_splits(size)
+        assert rows(posts_csv.read_posts(spark, str(tmp_path), multi_line=True)) == rows(whole_file_reader(spark, str(tmp_path)))
+
+
+def test_parallel_reader_keeps_an_open_field_to_the_end(spark, tmp_path, small_splits):
+    (tmp_path / "p.csv").write_text('"4","1","d","q","u","fine"\n"4","2","d","q","u","open\nto the\nend')
+    for size in (10, 1000):
+        small_splits(size)
+        records = [r.record for r in read_records(spark, str(tmp_path)).collect()]
+        assert sorted(map(bytes, records)) == [b'"4","1","d","q","u","fine"', b'"4","2","d","q","u","open\nto the\nend']
+
+
+def test_parallel_reader_decodes(spark, tmp_path):
+    (tmp_path / "p.csv").write_bytes('"0","1","d","q","u","ca\nfé"\n'.encode("latin-1"))
+    assert posts_csv.read_posts(spark, str(tmp_path), "ISO-8859-1", multi_line=True).first()["text"] == "ca\nfé"
+    assert posts_csv.read_posts(spark, str(tmp_path), multi_line=True).first()["text"] == "ca\nf\ufffd"
+
+
 def test_lines_split_five_times_and_quarantine(spark, tmp_path):
     (tmp_path / "p.csv").write_bytes(LINES.replace("plain", "é, plain").encode("latin-1"))
     lines = posts_csv.read_lines(spark, str(tmp_path))

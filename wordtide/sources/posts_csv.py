@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordtide.fixed_values import POLARITY_NEGATIVE, POLARITY_POSITIVE
 from wordtide.schemas import POSTS_CSV
+from wordtide.sources.quoted_lines import read_records
 
 FIELDS = ["polarity", "id", "date", "query", "user", "text"]
 
@@ -14,17 +15,18 @@ FIELDS = ["polarity", "id", "date", "query", "user", "text"]
 def read_posts(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """Posts from CSV. Fields that do not fit their type become NULL and fall to the polarity filter.
 
-    Quotes inside a field are doubled. Posts that hold line breaks need ``multi_line``, which
-    reads every file in one task: write such data as many files.
+    Quotes inside a field are doubled. Posts that hold line breaks need ``multi_line``, which reads the files twice:
+    once for the quotes of each split and once for the records, both with many tasks for each file. Its encoding must
+    have ASCII letters as single bytes, as UTF-8 and ISO-8859-1 do.
     """
-    return (
-        spark.read.schema(POSTS_CSV)
-        .option("header", False)
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    options = {"header": "false", "escape": '"', "encoding": encoding}
+    if not multi_line:
+        return spark.read.schema(POSTS_CSV).options(**options).csv(path)
+    record = F.col("record").cast("string")
+    # Bytes that are not UTF-8 become replacement characters, as in the other reader.
+    text = F.make_valid_utf8(record) if encoding.upper() in ("UTF-8", "UTF8") else F.decode("record", F.lit(encoding))
+    post = F.from_csv(text, POSTS_CSV, {"escape": '"', "multiLine": "true", "lineSep": "\u0000"})
+    return read_records(spark, path).select(post.alias("post")).select("post.*")
 
 
 def write_posts(posts: DataFrame, path: str, encoding: str = "UTF-8") -> None:
