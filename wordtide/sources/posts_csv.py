@@ -24,7 +24,7 @@ def read_posts(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_li
         return spark.read.schema(POSTS_CSV).options(**options).csv(path)
     record = F.col("record").cast("string")
     # Bytes that are not UTF-8 become replacement characters, as in the other reader.
-    text = F.make_valid_utf8(record) if encoding.upper() in ("UTF-8", "UTF8") else F.decode("record", F.lit(encoding))
+    text = F.make_valid_utf8(record) if encoding.upper() in ("UTF-8", "UTF8") else F.decode("record", encoding)
     post = F.from_csv(text, POSTS_CSV, {"escape": '"', "multiLine": "true", "lineSep": "\u0000"})
     return read_records(spark, path).select(post.alias("post")).select("post.*")
 
