@@ -26,6 +26,7 @@ from wordtide.fixed_values import (
     SUFFIX_RULES,
     TOKEN_LEXICON,
     TRAIN_PERCENT,
+    WORD2VEC_MIN_COUNT,
     WORD2VEC_SIZE,
 )
 
@@ -327,6 +328,16 @@ ORACLE: dict[str, str] = {
         "scores AS (SELECT id, CAST(CASE WHEN text IS NOT NULL THEN (SELECT coalesce(sum(weight), 0) FROM lexicon WHERE contains(lower(docs.text), word)) END AS BIGINT) AS score FROM docs)",
         f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
     ),
+    "word_vector_facts": with_ctes(
+        f"{STEMS}, words AS (SELECT unnest(stems) AS word FROM stems)",
+        f"SELECT word, count(*) AS n, {WORD2VEC_SIZE} AS size, true AS sound FROM words GROUP BY word HAVING count(*) >= {WORD2VEC_MIN_COUNT}",
+    ),
+    "document_vector_facts": with_ctes(
+        f"{STEMS}, words AS (SELECT id, unnest(stems) AS word FROM stems), "
+        f"frequent AS (SELECT word FROM words GROUP BY word HAVING count(*) >= {WORD2VEC_MIN_COUNT}), "
+        "found AS (SELECT DISTINCT id FROM words WHERE word IN (SELECT word FROM frequent))",
+        f"SELECT id, {WORD2VEC_SIZE} AS size, id IN (SELECT id FROM found) AS known FROM stems",
+    ),
     "substring_score_messages": with_ctes(
         f"{MESSAGES}, scores AS (SELECT event_id, text, {substring_score('text', STREAM_LEXICON)} AS score FROM messages)",
         f"SELECT event_id, text, score, {sign_class('score')} AS sentiment FROM scores",

@@ -32,7 +32,7 @@ from wordtide.functions.sentiment import (
     substring_score,
     token_score,
 )
-from wordtide.operators import evaluation, features, lexicon, models, reports, substring, wordstats
+from wordtide.operators import evaluation, features, lexicon, models, reports, substring, word_vectors, wordstats
 from wordtide.operators.preprocess import preprocess, valid_posts, with_stems, with_tokens
 from wordtide.schemas import EVENT_PROPS, MODEL_METRICS, PREPROCESSED
 from wordtide.session import configure, fresh_path, stage
@@ -700,6 +700,27 @@ def q_reload_facts(spark, sf_dir):
     return q_model_roundtrip(spark, sf_dir).select("id", "label", (F.col("before") == F.col("prediction")).alias("same"))
 
 
+def block_vectors(posts: DataFrame) -> DataFrame:
+    """Word vectors trained over three blocks, as larger vocabularies have them."""
+    return word_vectors.train_word_vectors(posts, rounds=1, blocks=3)
+
+
+@query
+def q_word_vector_facts(spark, sf_dir):
+    """Every frequent stem with its count, the size of its vector, and whether the vector is finite and not zero."""
+    vectors = block_vectors(stemmed(spark, sf_dir))
+    fine = F.forall("vector", lambda v: F.abs(v) < 1e6) & F.exists("vector", lambda v: v != 0)
+    return vectors.select("word", "n", F.size("vector").alias("size"), fine.alias("sound"))
+
+
+@query
+def q_document_vector_facts(spark, sf_dir):
+    """Every document with the size of its mean vector, and whether any of its stems has a vector."""
+    posts = stemmed(spark, sf_dir)
+    means = word_vectors.mean_word_vectors(posts, "stemmed_tokens", stage(block_vectors(posts), "word-vectors"), WORD2VEC_SIZE)
+    return means.select("id", F.size("vector").alias("size"), F.exists("vector", lambda v: v != 0).alias("known"))
+
+
 # Models
 
 
