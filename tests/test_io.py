@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordtide.fixed_values import FEED_SOURCES, MESSAGE_TEXTS
 from wordtide.plans import live
 from wordtide.session import fresh_path
-from wordtide.sources import messages, posts_csv, sinks, tables
+from wordtide.sources import manifest, messages, posts_csv, sinks, tables
 from wordtide.sources.quoted_lines import read_records, split_lines
 from wordtide.streaming import scoring
 from wordtide.streaming import sinks as stream_sinks
@@ -144,8 +144,55 @@ def test_broken_json_becomes_null(spark):
 
 def test_publish_replaces(spark, tmp_path):
     for n in (3, 2):
-        paths = sinks.publish(str(tmp_path), table=spark.range(n))
-    assert spark.read.parquet(paths["table"]).count() == 2
+        paths = sinks.publish(spark, str(tmp_path), table=spark.range(n))
+    assert spark.read.parquet(paths["table"]).count() == sinks.published(spark, str(tmp_path))["table"].count() == 2
+
+
+def test_a_failure_between_two_tables_leaves_the_old_set(spark, tmp_path):
+    base = str(tmp_path)
+    assert sinks.published(spark, base) == {}
+    sinks.publish(spark, base, a=spark.range(3), b=spark.range(4))
+    before = sinks.published(spark, base)
+    broken = spark.range(9).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(spark, base, a=spark.range(7), b=broken)
+    for found in (before, sinks.published(spark, base)):
+        assert {name: df.count() for name, df in found.items()} == {"a": 3, "b": 4}
+    sinks.publish(spark, base, a=spark.range(7), c=spark.range(1))
+    assert {name: df.count() for name, df in sinks.published(spark, base).items()} == {"a": 7, "c": 1}
+    assert {name: df.count() for name, df in before.items()} == {"a": 3, "b": 4}, "a reader that has begun goes on"
+
+
+def test_old_sets_are_deleted(spark, tmp_path):
+    for n in range(6):
+        sinks.publish(spark, str(tmp_path), a=spark.range(n), b=spark.range(1))
+    assert len(list((tmp_path / "data").iterdir())) == 2 * manifest.KEPT
+    assert manifest.numbers(spark, str(tmp_path)) == [3, 4, 5]
+
+
+def test_one_number_is_committed_once(spark, tmp_path):
+    base = str(tmp_path)
+    assert manifest.latest(spark, base) == (-1, {})
+    assert manifest.commit(spark, base, -1, {"folders": [], "by": 1}) == 0
+    with pytest.raises(manifest.Taken):
+        manifest.commit(spark, base, -1, {"folders": [], "by": 2})
+    assert manifest.latest(spark, base) == (0, {"folders": [], "by": 1})
+    assert not [p for p in (tmp_path / "_commits").iterdir() if "draft" in p.name and not p.name.startswith(".")]
+
+
+def test_two_writers_are_published_one_after_the_other(spark, tmp_path, monkeypatch):
+    base, real, calls = str(tmp_path), manifest.latest, []
+
+    def late(spark, path):
+        found = real(spark, path)
+        if not calls:
+            calls.append(1)
+            sinks.publish(spark, base, a=spark.range(2))
+        return found
+
+    monkeypatch.setattr(manifest, "latest", late)
+    sinks.publish(spark, base, a=spark.range(5))
+    assert manifest.numbers(spark, base) == [0, 1] and sinks.published(spark, base)["a"].count() == 5
 
 
 def test_land_raw_reconciles(spark, small, tmp_path):
@@ -191,7 +238,7 @@ def test_live_job_quarantines_counts_and_resumes(spark, tmp_path):
     run_live(spark, folder, out)
 
     def table(name):
-        return spark.read.parquet(f"{out}/{name}")
+        return stream_sinks.read_sink(spark, f"{out}/{name}", spark.createDataFrame([], "text STRING, value STRING").schema)
 
     def totals(name, schema):
         return stream_sinks.read_totals(spark, f"{out}/{name}", spark.createDataFrame([], schema).schema)
@@ -214,9 +261,9 @@ def test_quarantine_keeps_the_message_and_the_reason(spark, tmp_path):
     values = ["not json", '{"text": "great", "timestamp": "soon"}', '{"text": "bad", "timestamp": "2024-01-01 10:00:00"}']
     spark.createDataFrame([(v,) for v in values], "value STRING").selectExpr("CAST(value AS BINARY) AS value").coalesce(1).write.parquet(f"{folder}/part=1")
     run_live(spark, folder, out)
-    kept = rows(spark.read.parquet(f"{out}/quarantine").select("value", "reason"))
-    assert kept == [("not json", "no text"), (values[1], "no time")]
-    assert spark.read.parquet(f"{out}/stream_predictions").count() == 2
+    kept = stream_sinks.read_sink(spark, f"{out}/quarantine", spark.createDataFrame([], "value STRING, reason STRING").schema)
+    assert rows(kept, "value", "reason") == [("not json", "no text"), (values[1], "no time")]
+    assert stream_sinks.read_sink(spark, f"{out}/stream_predictions", spark.createDataFrame([], "text STRING").schema).count() == 2
 
 
 @pytest.mark.parametrize(
@@ -248,12 +295,94 @@ def test_stream_scores_equal_batch_scores(spark, small):
     assert rows(streamed) == rows(batch)
 
 
-def test_a_retried_batch_replaces_itself(spark, tmp_path):
-    for n in (5, 3):
-        stream_sinks.write_batch(spark.range(n), 7, str(tmp_path))
-    stream_sinks.write_batch(spark.range(2), 8, str(tmp_path))
-    assert stream_sinks.read_sink(spark, str(tmp_path), spark.range(1).schema).groupBy("batch_id").count().count() == 2
-    assert spark.read.parquet(str(tmp_path)).count() == 5
+def held(spark, path):
+    """Rows by batch of a sink of numbers."""
+    found = stream_sinks.read_sink(spark, path, spark.range(1).schema)
+    return {r.batch_id: r["count"] for r in found.groupBy("batch_id").count().collect()}
+
+
+def test_a_retried_batch_counts_once(spark, tmp_path):
+    path = str(tmp_path)
+    stream_sinks.write_batch(spark.range(5), 7, path)
+    stream_sinks.write_batch(spark.range(3), 7, path)
+    stream_sinks.write_batch(spark.range(2), 8, path)
+    assert held(spark, path) == {7: 5, 8: 2}
+
+
+def test_an_unfinished_batch_is_invisible(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    stream_sinks.write_batch(spark.range(5), 0, path)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost before the commit")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(manifest, "commit", fail)
+        with pytest.raises(RuntimeError):
+            stream_sinks.write_batch(spark.range(9), 1, path)
+    assert len(list((tmp_path / "data").iterdir())) == 2
+    assert held(spark, path) == {0: 5}
+    stream_sinks.write_batch(spark.range(9), 1, path)
+    assert held(spark, path) == {0: 5, 1: 9}
+
+
+def test_many_batches_leave_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_sinks, "FOLD", 4)
+    path, most = str(tmp_path), 0
+    for batch in range(40):
+        stream_sinks.write_batch(spark.range(batch % 3 + 1).coalesce(1), batch, path)
+        state = manifest.latest(spark, path)[1]
+        most = max(most, len(state["segments"]))
+    assert held(spark, path) == {b: b % 3 + 1 for b in range(40)}
+    # Three of each level at most: 40 batches are three levels of four.
+    assert most <= 9 and len(list(tmp_path.glob("data/*/*.parquet"))) <= 9 + 4 * manifest.KEPT
+    assert [s["bytes"] for s in state["segments"]] and all(s["bytes"] > 0 for s in state["segments"])
+
+
+def test_full_segments_are_left_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_sinks, "FOLD", 2)
+    monkeypatch.setattr(stream_sinks, "FULL_BYTES", 1)
+    for batch in range(4):
+        stream_sinks.write_batch(spark.range(3), batch, str(tmp_path))
+    state = manifest.latest(spark, str(tmp_path))[1]
+    assert [s["level"] for s in state["segments"]] == [stream_sinks.FULL] * 2
+    assert held(spark, str(tmp_path)) == {b: 3 for b in range(4)}
+
+
+def number_stream(spark, folder, parts, **options):
+    for part, numbers in enumerate(parts):
+        spark.createDataFrame([(n,) for n in numbers], "id BIGINT").coalesce(1).write.mode("overwrite").parquet(f"{folder}/part={part}")
+    return stream_source(spark, "parquet", "id BIGINT", f"{folder}/*", maxFilesPerTrigger=1, **options)
+
+
+def test_a_table_belongs_to_its_checkpoint(spark, tmp_path):
+    stream, count = number_stream(spark, f"{tmp_path}/in", [[1], [1, 2]]), lambda df: df.groupBy("id").agg(F.count("*").alias("n"))
+    for start in (lambda p, c: stream_sinks.start_sink(stream, p, c), lambda p, c: stream_sinks.start_merge(stream, count, p, c), lambda p, c: stream_sinks.start_unique(stream, "id", p, c)):
+        path = fresh_path(spark, "owned")
+        start(f"{path}/table", f"{path}/one").awaitTermination()
+        start(f"{path}/table", f"{path}/one").awaitTermination()
+        with pytest.raises(ValueError, match="another checkpoint"):
+            start(f"{path}/table", f"{path}/two")
+
+
+def test_unique_keys_over_all_batches_without_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_sinks, "FOLD", 3)
+    parts = [[k, k + 1, k + 1, 0, k // 2] for k in range(0, 22, 2)] + [[None, 5], [None, 99]]
+    stream, path = number_stream(spark, f"{tmp_path}/in", parts), str(tmp_path / "out")
+    query = stream_sinks.start_unique(stream, "id", path, f"{path}-checkpoint")
+    query.awaitTermination()
+    got = stream_sinks.read_sink(spark, path, spark.createDataFrame([], "id BIGINT").schema)
+    assert sorted((r.id for r in got.collect()), key=repr) == sorted({n for p in parts for n in p}, key=repr)
+    assert len(query.recentProgress) >= len(parts) and all(not p["stateOperators"] for p in query.recentProgress)
+    state = manifest.latest(spark, path)[1]
+    assert len(state["keys"]) <= 6 and len(state["segments"]) <= 6
+
+
+def test_totals_survive_a_retry(spark, tmp_path):
+    counts, path = spark.createDataFrame([("a", 2)], "k STRING, n BIGINT"), str(tmp_path)
+    for batch in (0, 0, 1, 1, 0):
+        stream_sinks.merge_batch(counts, batch, path)
+    assert rows(stream_sinks.read_totals(spark, path, counts.schema)) == [("a", 4)]
 
 
 def test_a_stream_without_input_leaves_an_empty_table(spark, tmp_path):

@@ -87,6 +87,7 @@ def run(
     served = served.withColumns({"is_best": F.col("model_name") == best, "timestamp": F.lit(at), "version": F.lit("1.0")})
     winner = reports.model_metadata(metrics, CV_FOLDS, models.estimator_of(best)[0].getFeaturesCol())
     return publish(
+        spark,
         f"{out}/published",
         model_metrics=served,
         model_metadata=winner.withColumns({"timestamp": F.lit(at), "pipeline": F.lit(PIPELINE)}),

@@ -338,6 +338,10 @@ ORACLE: dict[str, str] = {
         "found AS (SELECT DISTINCT id FROM words WHERE word IN (SELECT word FROM frequent))",
         f"SELECT id, {WORD2VEC_SIZE} AS size, id IN (SELECT id FROM found) AS known FROM stems",
     ),
+    "stream_score_table": with_ctes(
+        f"{DOCS}, scores AS (SELECT id, CAST({substring_score('text', CORPUS_LEXICON)} AS BIGINT) AS score FROM docs)",
+        f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
+    ),
     "substring_score_messages": with_ctes(
         f"{MESSAGES}, scores AS (SELECT event_id, text, {substring_score('text', STREAM_LEXICON)} AS score FROM messages)",
         f"SELECT event_id, text, score, {sign_class('score')} AS sentiment FROM scores",
@@ -369,6 +373,7 @@ ORACLE: dict[str, str] = {
     "feature_facts": with_ctes(VALID, f"SELECT id, label, {SPLIT} AS split, CAST({WORD2VEC_SIZE} AS INTEGER) AS size, true AS sound FROM valid"),
     "reload_facts": with_ctes(VALID, f"SELECT id, label, true AS same FROM valid WHERE {SPLIT} = 'test'"),
     "sentiment_counts": with_ctes(SCORED, "SELECT sentiment, count(*) AS n FROM scored GROUP BY sentiment"),
+    "published_set": with_ctes(SCORED, "SELECT sentiment, count(*) AS n, count(*) AS rows FROM scored GROUP BY sentiment"),
     "sentiment_pivot": with_ctes(
         SCORED,
         "SELECT count(*) FILTER (sentiment = 'Positive') AS positive, count(*) FILTER (sentiment = 'Negative') AS negative, "

@@ -461,9 +461,22 @@ def q_published_predictions(spark, sf_dir):
 
     scored = labelled_answers(spark, sf_dir, score_neg=hits(-1), score_pos=hits(1)).withColumnRenamed("label", "actual_label")
     predicted = scored.withColumn("predicted_label", (F.col("score_pos") >= F.col("score_neg")).cast("int"))
-    paths = sinks.publish(fresh_path(spark, "published"), predictions=predicted)
-    read = spark.read.schema(predicted.schema).parquet(paths["predictions"])
-    return read.select("id", "actual_label", "predicted_label", "score_neg", "score_pos")
+    base = fresh_path(spark, "published")
+    sinks.publish(spark, base, predictions=predicted)
+    return sinks.published(spark, base)["predictions"].select("id", "actual_label", "predicted_label", "score_neg", "score_pos")
+
+
+@query
+def q_published_set(spark, sf_dir):
+    """Two tables published together twice: what readers get is the second set, and it fits together."""
+    base = fresh_path(spark, "published")
+    scored = scored_documents(spark, sf_dir)
+    for positive in (True, False):
+        kept = stage(scored.where(F.col("score") >= 0) if positive else scored, "published-scores")
+        sinks.publish(spark, base, scores=kept, counts=reports.sentiment_counts(kept))
+    tables_ = sinks.published(spark, base)
+    counted = tables_["scores"].groupBy("sentiment").agg(F.count("*").alias("rows"))
+    return tables_["counts"].join(counted, "sentiment").select("sentiment", "n", "rows")
 
 
 # Sources and sinks
@@ -773,8 +786,9 @@ def q_batch_predict(spark, sf_dir):
     train, test = featured(spark, sf_dir, features.light_stages)
     scored = models.fit("Logistic Regression", train).transform(test)
     served = sinks.published_predictions(scored, "Logistic Regression", datetime(2024, 1, 1))
-    paths = sinks.publish(fresh_path(spark, "batch"), batch_predictions=served)
-    return spark.read.schema(served.schema).parquet(paths["batch_predictions"])
+    base = fresh_path(spark, "batch")
+    sinks.publish(spark, base, batch_predictions=served)
+    return sinks.published(spark, base)["batch_predictions"]
 
 
 @query
@@ -807,6 +821,15 @@ def q_stream_score(spark, sf_dir):
     return stream_sinks.run_to_table(rows, fresh_path(spark, "stream")).drop("batch_id")
 
 
+@query
+def q_stream_score_table(spark, sf_dir):
+    """Documents scored by a lexicon in a table, which every micro-batch is joined to."""
+    documents = stream_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    words = lexicon.lexicon_table(spark, CORPUS_LEXICON)
+    scored = lambda batch: substring.substring_score_join(batch, words)
+    return stream_sinks.run_to_table(documents, fresh_path(spark, "stream"), change=scored).drop("batch_id")
+
+
 @query
 def q_stream_append(spark, sf_dir):
     """Generated messages through parsing, scoring and the micro-batch sink."""
@@ -846,6 +869,5 @@ def q_stream_trend_sliding(spark, sf_dir):
 @query
 def q_stream_dedup(spark, sf_dir):
     """Every event is delivered twice and kept once."""
-    twice = streamed_events(spark, sf_dir).union(streamed_events(spark, sf_dir))
-    once = scoring.drop_repeats(twice, "event_id").select("event_id", "event_type")
-    return stream_sinks.run_to_table(once, fresh_path(spark, "stream")).drop("batch_id")
+    twice = streamed_events(spark, sf_dir).union(streamed_events(spark, sf_dir)).select("event_id", "event_type")
+    return stream_sinks.run_to_unique(twice, "event_id", fresh_path(spark, "stream")).drop("batch_id")

@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordtide.sources import manifest
+
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "parquet", *partition_by: str, **options):
     """Write to a path, or with ``fmt`` and ``options`` to any connector that is installed.
@@ -39,12 +41,28 @@ def published_predictions(predictions: DataFrame, model_name: str, at: datetime)
     )
 
 
-def publish(base: str, fmt: str = "parquet", **tables: DataFrame) -> dict[str, str]:
-    """Replace the published tables below ``base``, one per keyword."""
-    paths = {name: f"{base}/{name}" for name in tables}
+def publish(spark: SparkSession, base: str, fmt: str = "parquet", **tables: DataFrame) -> dict[str, str]:
+    """Replace the set of tables published below ``base``, one per keyword, in one step. Returns their paths.
+
+    Every table is written to a new folder; then one manifest makes all of them the published set. Until then, and if a
+    table fails, readers get the old set. Of two writers at once, the one that comes second is published last.
+    """
+    folders = {name: manifest.new_folder(base) for name in tables}
     for name, df in tables.items():
-        write_table(df, paths[name], "overwrite", fmt)
-    return paths
+        write_table(df, f"{base}/{folders[name]}", "errorifexists", fmt)
+    state = {"folders": list(folders.values()), "tables": folders, "format": fmt}
+    while True:
+        try:
+            manifest.commit(spark, base, manifest.latest(spark, base)[0], state)
+            return {name: f"{base}/{folder}" for name, folder in folders.items()}
+        except manifest.Taken:
+            continue
+
+
+def published(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The tables of the newest published set, all of one commit; empty before the first."""
+    state = manifest.latest(spark, base)[1]
+    return {name: spark.read.format(state["format"]).load(f"{base}/{folder}") for name, folder in state.get("tables", {}).items()}
 
 
 def land_raw(spark: SparkSession, df: DataFrame, zone: str, name: str) -> DataFrame:
