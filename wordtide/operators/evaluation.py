@@ -51,23 +51,30 @@ def classification_metrics(predictions: DataFrame, *by: str, digits: int = 4) ->
     )
 
 
+# Ranges that different scores are dealt to.
+SCORE_RANGES = 200
+
+
 def auc_roc(predictions: DataFrame, score: str = "score", digits: int = 6) -> DataFrame:
     """Area under the ROC curve: the share of positive-negative pairs ranked right, ties counting half.
 
     Exact for any scores. Infinite scores are the ends of the order; rows with a NULL or NaN score are left out. Equal
-    scores are folded first; the different ones are dealt out by ranges and written, and negatives are summed inside
-    each range on its own. A range then starts from the negatives of the ranges below it, one row for each range.
+    scores are folded and written first, and what follows reads those. The different scores are dealt to ranges at their
+    quantiles, and negatives are summed inside each range on its own; a range starts from the negatives of the ranges
+    below it. Quantiles need not be exact: they only decide how even the ranges are.
     """
     counts = predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
     # Missing scores are left out only now: an earlier filter would move below the score and compute it twice.
-    known = counts.where(F.col("score").isNotNull() & ~F.isnan("score"))
-    ranges = stage(known.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "scores")
+    known = stage(counts, "scores").where(F.col("score").isNotNull() & ~F.isnan("score"))
+    shares = [i / SCORE_RANGES for i in range(1, SCORE_RANGES)]
+    cuts = known.agg(F.array_distinct(F.percentile_approx("score", shares, 10 * SCORE_RANGES))).scalar()
+    ranges = known.withColumn("cuts", cuts).withColumn("range", F.size(F.filter("cuts", lambda cut: cut < F.col("score")))).drop("cuts")
     starts = ranges.groupBy("range").agg(F.sum("neg").alias("neg"))
     starts = starts.select("range", running_negatives(Window.orderBy("range")).alias("start"))
     inside = ranges.withColumn("inside", running_negatives(Window.partitionBy("range").orderBy("score")))
-    placed = inside.join(starts, "range").select("pos", "neg", (F.col("start") + F.col("inside")).alias("lower"))
+    placed = inside.join(F.broadcast(starts), "range").select("pos", "neg", (F.col("start") + F.col("inside")).alias("lower"))
     # Halves are counted as whole numbers to stay exact: 2 for a pair ranked right, 1 for a tie.
     twice = F.col("pos").cast("decimal(38,0)") * (2 * F.col("lower") + F.col("neg")).cast("decimal(20,0)")
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")

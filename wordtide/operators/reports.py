@@ -59,14 +59,11 @@ def daily_trend(scored: DataFrame, ts: str = "ts") -> DataFrame:
         F.count_if(F.col("sentiment") == POSITIVE).alias("positive"),
         F.count_if(F.col("sentiment") == NEGATIVE).alias("negative"),
     )
-    # One row per day is few: they are put into one map, so that the messages are read once.
     known = per_day.where(F.col("day").isNotNull())
-    entries = F.map_from_entries(F.collect_list(F.struct("day", F.struct("positive", "negative"))))
-    span = known.agg(F.min("day").alias("first"), F.max("day").alias("last"), entries.alias("counts"))
-    days = span.where(F.col("first").isNotNull()).select("counts", F.explode(F.sequence("first", "last")).alias("day"))
-    count = F.try_element_at("counts", F.col("day"))
-    zero = F.lit(0).cast("bigint")
-    return days.select("day", F.coalesce(count["positive"], zero).alias("positive"), F.coalesce(count["negative"], zero).alias("negative"))
+    # The days come from the same shuffle as their counts, so the messages are read once.
+    span = known.agg(F.min("day").alias("first"), F.max("day").alias("last")).where(F.col("first").isNotNull())
+    days = span.select(F.explode(F.sequence("first", "last")).alias("day"))
+    return days.join(known, "day", "left").select("day", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("positive", "negative")))
 
 
 def source_polarity_counts(posts: DataFrame) -> DataFrame:

@@ -50,6 +50,25 @@ def unique_words_approx(posts: DataFrame, rule: str = "letters", rsd: float = 0.
     return words_of(posts, rule).agg(F.approx_count_distinct("word", rsd).alias("unique_words"))
 
 
+# log2 of a sketch's cells: 16,384 cells have a standard error of under one percent and take some 16 KB.
+SKETCH_CELLS = 14
+
+
+def word_sketches(posts: DataFrame, *by: str, rule: str = "letters") -> DataFrame:
+    """One sketch of the distinct words of each group, as binary ``sketch``, to be stored and merged later."""
+    return words_of(posts, rule, *by).groupBy(*by).agg(F.hll_sketch_agg("word", SKETCH_CELLS).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Sketches of larger groups, or of all rows: what a sketch of the words themselves would be, without the words."""
+    return sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_words(sketches: DataFrame) -> DataFrame:
+    """``sketch`` replaced by the estimated number of distinct words."""
+    return sketches.withColumn("unique_words", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
 def corpus_stats(texts: DataFrame, posts: DataFrame, rule: str = "letters") -> DataFrame:
     """Records, words, distinct words, words per record and class counts.
 

@@ -342,6 +342,19 @@ ORACLE: dict[str, str] = {
         f"{DOCS}, scores AS (SELECT id, CAST({substring_score('text', CORPUS_LEXICON)} AS BIGINT) AS score FROM docs)",
         f"SELECT id, score, {sign_class('score')} AS sentiment FROM scores",
     ),
+    "stream_top_words": with_ctes(
+        f"{DOCS}, {counts('cleaned')}",
+        "SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) AS INTEGER) AS rank, true AS sure FROM counts QUALIFY rank <= 20",
+    ),
+    "unique_words_sketched": with_ctes(
+        f"{DOCS}, words AS (SELECT DISTINCT source, unnest({WORDS['letters']}) AS word FROM docs)",
+        "SELECT source, count(*) AS unique_words, true AS near FROM words GROUP BY source "
+        "UNION ALL SELECT 'all', count(DISTINCT word), true FROM words",
+    ),
+    "land_verified": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS n, count(*) AS landed, true AS same FROM {name}"
+        for name in ("documents", "labels", "conversations", "benchmark", "events", "pages", "embeddings", "part")
+    ),
     "substring_score_messages": with_ctes(
         f"{MESSAGES}, scores AS (SELECT event_id, text, {substring_score('text', STREAM_LEXICON)} AS score FROM messages)",
         f"SELECT event_id, text, score, {sign_class('score')} AS sentiment FROM scores",

@@ -37,7 +37,7 @@ from wordtide.operators.preprocess import preprocess, valid_posts, with_stems, w
 from wordtide.schemas import EVENT_PROPS, MODEL_METRICS, PREPROCESSED
 from wordtide.session import configure, fresh_path, stage
 from wordtide.sources import messages, posts_csv, sinks, tables
-from wordtide.streaming import scoring
+from wordtide.streaming import scoring, toplist
 from wordtide.streaming import sinks as stream_sinks
 from wordtide.streaming.sources import stream_table
 
@@ -229,6 +229,19 @@ def q_unique_words_approx(spark, sf_dir):
     return wordstats.unique_words_approx(docs(spark, sf_dir))
 
 
+@query
+def q_unique_words_sketched(spark, sf_dir):
+    """Distinct words by source and overall, and whether stored sketches, merged where needed, are within a twentieth."""
+    sketches = stage(wordstats.word_sketches(docs(spark, sf_dir), "source"), "word-sketches")
+    everything = wordstats.merge_sketches(sketches).withColumn("source", F.lit("all"))
+    estimates = wordstats.estimated_words(sketches.unionByName(everything)).withColumnRenamed("unique_words", "estimate")
+    counts = stage(wordstats.words_of(docs(spark, sf_dir), "letters", "source").distinct(), "distinct-words")
+    total = counts.agg(F.count_distinct("word").alias("unique_words")).withColumn("source", F.lit("all"))
+    exact = counts.groupBy("source").agg(F.count("*").alias("unique_words")).unionByName(total)
+    near = F.abs(F.col("estimate") - F.col("unique_words")) * 20 <= F.col("unique_words")
+    return exact.join(estimates, "source").select("source", "unique_words", near.alias("near"))
+
+
 # Lexicons and heuristic predictors
 
 
@@ -528,6 +541,15 @@ def q_land_raw_counts(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, landed)
 
 
+@query
+def q_land_verified(spark, sf_dir):
+    """Tables copied to the raw zone, with the content of both sides compared."""
+    zone = fresh_path(spark, "zones")
+    names = ["documents", "labels", "conversations", "benchmark", "events", "pages", "embeddings", "part"]
+    landed = [sinks.land_verified(spark, tables.read_table(spark, sf_dir, name), zone, name) for name in names]
+    return functools.reduce(DataFrame.unionByName, landed)
+
+
 @query
 def q_multi_source_union(spark, sf_dir):
     frames = {
@@ -866,6 +888,15 @@ def q_stream_trend_sliding(spark, sf_dir):
     return stream_trend(spark, sf_dir, "2 days", "1 day")
 
 
+@query
+def q_stream_top_words(spark, sf_dir):
+    """The 20 most frequent words of a stream of documents, from its bounded summary."""
+    documents = stream_table(spark, sf_dir, "documents").select("text")
+    counted = lambda df: wordstats.word_count(df, "cleaned")
+    top = toplist.run_to_top_words(documents, counted, fresh_path(spark, "stream"), 20)
+    return top.select("word", F.col("least").alias("n"), "rank", "sure")
+
+
 @query
 def q_stream_dedup(spark, sf_dir):
     """Every event is delivered twice and kept once."""

@@ -65,6 +65,27 @@ def published(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {name: spark.read.format(state["format"]).load(f"{base}/{folder}") for name, folder in state.get("tables", {}).items()}
 
 
+def content_checksum(df: DataFrame) -> list:
+    """Aggregates that two tables share if they hold the same rows, in any order and as often: rows, and two sums.
+
+    Each row gives two 64-bit hashes with different seeds, of all its values and of which of them are NULL, as a hash
+    alone passes over NULLs. The sums are decimals and can't overflow. Columns of maps are hashed as JSON.
+    """
+    values = [F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in ((f"`{n}`", k) for n, k in df.dtypes)]
+    missing = [F.col(f"`{n}`").isNull() for n in df.columns]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *values, *missing).cast("decimal(38,0)")) for seed in ("first", "second")]
+    return [F.count("*").alias("n"), *(F.coalesce(s, F.lit(0).cast("decimal(38,0)")).alias(f"sum{i}") for i, s in enumerate(sums, 1))]
+
+
+def land_verified(spark: SparkSession, df: DataFrame, zone: str, name: str) -> DataFrame:
+    """Copy a table to the raw zone and compare content, not only counts: one row of table, n, landed and same."""
+    target = f"{zone}/raw/{name}"
+    df.write.mode("overwrite").parquet(target)
+    landed = spark.read.schema(df.schema).parquet(target)
+    both = df.agg(F.struct(*content_checksum(df)).alias("sent")).withColumn("landed", landed.agg(F.struct(*content_checksum(landed))).scalar())
+    return both.select(F.lit(name).alias("table"), F.col("sent.n").alias("n"), F.col("landed.n").alias("landed"), (F.col("sent") == F.col("landed")).alias("same"))
+
+
 def land_raw(spark: SparkSession, df: DataFrame, zone: str, name: str) -> DataFrame:
     """Copy a table to the raw zone and return one row with its name, rows read and rows landed."""
     target = f"{zone}/raw/{name}"
