@@ -240,6 +240,8 @@ def with_ctes(ctes: str, query: str) -> str:
 
 SPLIT = f"CASE WHEN {bucket('id', 100)} < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END"
 
+MODEL_NAMES = ["Random Forest", "Linear SVM", "MLP", "Logistic Regression", "Naive Bayes", "Gradient-Boosted Trees"]
+
 VALID_STEMS = f"""{VALID},
 clean AS (SELECT id, label, {cleaned('text')} AS cleaned_text FROM valid),
 tokens AS (SELECT id, label, {token_list('cleaned_text')} AS stems FROM clean),
@@ -355,6 +357,15 @@ ORACLE: dict[str, str] = {
         f"SELECT '{name}' AS \"table\", count(*) AS n, count(*) AS landed, true AS same FROM {name}"
         for name in ("documents", "labels", "conversations", "benchmark", "events", "pages", "embeddings", "part")
     ),
+    "train_facts": with_ctes(
+        VALID,
+        f"SELECT model_name, (SELECT count(*) FILTER ({SPLIT} = 'test') FROM valid) AS n, true AS known, true AS fits "
+        f"FROM (SELECT unnest({sql_list(MODEL_NAMES)}) AS model_name)",
+    ),
+    "batch_predict_facts": with_ctes(
+        VALID, f"SELECT id, label AS actual_label, true AS known, true AS two FROM valid WHERE {SPLIT} = 'test'"
+    ),
+    "cross_validate_facts": "SELECT 'Linear SVM' AS model_name, true AS accuracy, true AS precision, true AS recall, true AS f1",
     "substring_score_messages": with_ctes(
         f"{MESSAGES}, scores AS (SELECT event_id, text, {substring_score('text', STREAM_LEXICON)} AS score FROM messages)",
         f"SELECT event_id, text, score, {sign_class('score')} AS sentiment FROM scores",

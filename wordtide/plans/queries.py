@@ -824,6 +824,37 @@ def q_model_roundtrip(spark, sf_dir):
     return again.transform(both).select("id", "label", "before", "prediction")
 
 
+@query
+def q_train_facts(spark, sf_dir):
+    """For each classifier: test posts, whether it predicts known classes only, and does no worse than the majority class
+    on the posts that it was fitted to."""
+    hashed, vectors = tfidf_posts(spark, sf_dir), featured(spark, sf_dir, lambda: [features.word2vec_stage()])
+    facts = []
+    for name in models.MODELS:
+        train, test = vectors if name == "MLP" else hashed
+        scored = models.fit(name, train).transform(train.unionByName(test)).select("split", "label", "prediction")
+        fitted = F.col("split") == "train"
+        right = F.count_if(fitted & (F.col("label") == F.col("prediction")))
+        majority = F.greatest(F.count_if(fitted & (F.col("label") == 1)), F.count_if(fitted & (F.col("label") == 0)))
+        known = F.min(F.col("prediction").isin(0.0, 1.0))
+        facts.append(scored.agg(F.lit(name).alias("model_name"), F.count_if(~fitted).alias("n"), known.alias("known"), (right >= majority).alias("fits")))
+    return functools.reduce(DataFrame.unionByName, facts)
+
+
+@query
+def q_batch_predict_facts(spark, sf_dir):
+    """Every test post with its label, whether its published class is known, and whether its scores are two."""
+    served = q_batch_predict(spark, sf_dir)
+    return served.select("id", "actual_label", F.col("predicted_label").isin(0, 1).alias("known"), (F.size("raw_scores") == 2).alias("two"))
+
+
+@query
+def q_cross_validate_facts(spark, sf_dir):
+    """Whether the tuned model's metrics are shares."""
+    metrics = q_cross_validate(spark, sf_dir)
+    return metrics.select("model_name", *(F.col(m).between(0, 1).alias(m) for m in evaluation.METRICS))
+
+
 # Streams. Each runs over the present files and returns what its sink holds.
 
 
