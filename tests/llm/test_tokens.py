@@ -13,7 +13,7 @@ from conftest import rows
 from hard_rows import hard_docs, no_docs  # noqa: F401
 from tokenizers import Tokenizer
 
-from wordtide.llm.packing import cut_documents, pack_documents, pack_lengths, place
+from wordtide.llm.packing import best_fit, cut_documents, pack_documents, pack_lengths, place, plan_of, sequences
 from wordtide.llm.token_counts import add_missing, read_cache, token_counts
 from wordtide.llm.token_files import BLOCK, PlaneWriter, from_planes, read_chunk, read_documents, read_index, to_planes, token_files
 from wordtide.llm.tokens import BYTE_BPE, WORD_BPE, encoder, tokenizer_digest
@@ -119,6 +119,59 @@ def test_plan_covers_every_rank_and_packs_tightly(seed):
     assert len(held) <= -(-int(lengths.sum()) // 256) * 1.01 + 1
 
 
+# Histograms that greedy filling packs badly, and the fewest sequences that each needs.
+HARD_LENGTHS = {
+    "copies": ({1100: 1000, 256: 3000}, 1000),
+    "six": (dict.fromkeys([400, 600, 800, 1000, 1200, 1400], 1000), 2700),
+    "thirds": ({682: 1000, 683: 1000, 684: 1000, 1: 500}, 1125),
+    "halves": ({1025: 500, 1023: 700}, 600),
+    "quarters": ({520: 4000, 500: 4000, 1016: 1000}, 2500),
+    "few": ({2000: 3, 40: 2, 9: 1}, 3),
+}
+
+
+@pytest.mark.parametrize("name", HARD_LENGTHS)
+def test_the_program_finds_the_fewest_sequences(name):
+    histogram, fewest = HARD_LENGTHS[name]
+    plan, bound = plan_of(histogram, 2048, 600)
+    held = Counter()
+    for configuration, times in plan:
+        assert sum(n * each for n, each in configuration.items()) <= 2048
+        held.update({n: each * times for n, each in configuration.items()})
+    assert held == histogram and bound <= fewest
+    assert sequences(plan) == fewest <= sequences(best_fit(histogram, 2048))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_plans_are_near_the_bound_and_never_worse_than_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    for lengths in (rng.lognormal(5.5, 1, 20_000), rng.integers(1, 2048, 5_000), rng.choice([700, 650, 699, 680, 340, 777], 2_000)):
+        histogram = dict(Counter(np.clip(lengths, 1, 2047).astype(int).tolist()))
+        plan, bound = plan_of(histogram, 2048, 240)
+        assert sequences(plan) <= sequences(best_fit(histogram, 2048))
+        assert sequences(plan) <= 1.05 * bound + 1
+
+
+def plain_best_fit(histogram, room):
+    spaces = []
+    for n in sorted(histogram, reverse=True):
+        for _ in range(histogram[n]):
+            at = min((s for s in spaces if s >= n), default=None)
+            if at is None:
+                at = room
+            else:
+                spaces.remove(at)
+            spaces.append(at - n)
+    return len(spaces)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_over_a_histogram_is_best_fit_piece_by_piece(seed):
+    rng = np.random.default_rng(seed)
+    histogram = dict(Counter(rng.integers(1, 60 if seed % 2 else 12, 300).tolist()))
+    assert sequences(best_fit(histogram, 64)) == plain_best_fit(histogram, 64)
+
+
 def test_planes():
     rng = np.random.default_rng(1)
     for ids in ([], [0], [1, 2, 3], rng.integers(0, 49_408, 1000), rng.integers(0, 2**32, 77)):

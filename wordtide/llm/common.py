@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wordtide.session import fresh_path, shared_folder, stage
 
-__all__ = ["attempt_name", "bound_batches", "by_batch", "free_name", "fresh_path", "give_back", "let", "shared_folder", "stage", "table", "whole"]
+__all__ = ["attempt_name", "bound_batches", "by_batch", "free_name", "fresh_path", "give_back", "let", "map_frames", "shared_folder", "stage", "table", "whole"]
 
 
 # Rows and bytes of whole texts that a Python worker is handed at once. Spark's defaults suit short rows.
@@ -64,6 +66,29 @@ def by_batch(rows: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator
     return run
 
 
+# Whole numbers stay whole next to a NULL; pandas' own choice would be fractions, which change ids beyond 2**53.
+EXACT = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
+
+
+def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame | list[tuple]]], schema: str) -> DataFrame:
+    """``mapInPandas`` that keeps every id as it is. ``df`` should hold only the columns that are read.
+
+    ``run`` gives frames, or lists of rows: a frame made of rows would turn ids next to None into fractions.
+    """
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in run(batch.to_pandas(types_mapper=EXACT.get) for batch in batches):
+            if not len(frame):
+                continue
+            if isinstance(frame, list):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*frame), arrow)], schema=arrow)
+            else:
+                yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(batches_of, schema)
+
+
 def give_back() -> None:
     """Return memory that a Python worker has freed, as the worker lives on and serves other stages."""
     gc.collect()

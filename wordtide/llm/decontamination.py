@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import whole
+from wordtide.llm.common import map_frames, whole
 
 WINDOW = 10
 # Characters of the documents in one shard, and bytes of test text that may be sent to all tasks at once.
@@ -248,7 +248,7 @@ def _digest(sent: list, window: int):
             joined = [",".join(sorted(some)) for some in names]
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "doc_id": batch["doc_id"],
                     "n_words": n_words,
                     "n_hit": n_hit,
                     "n_items": np.array(list(map(len, names)), "i8"),
@@ -267,7 +267,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     words but aren't counted. Repeated rows each get a row, a NULL id stays NULL, empty tables are fine on either side.
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
-    return texts.mapInPandas(_digest(load_items(benchmark), window), DIGEST)
+    return map_frames(texts, _digest(load_items(benchmark), window), DIGEST)
 
 
 def verbatim_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW, window: int = WINDOW) -> DataFrame:
@@ -279,41 +279,45 @@ def verbatim_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW,
         def rows(batches):
             items = TestItems.of(items_sent.value, window)
             for batch in batches:
-                docs_of = batch["doc_id"].astype("Int64").tolist()
+                docs_of = [None if d is pd.NA else d for d in batch["doc_id"]]
                 found = [
                     (None if items.ids[i] is None else str(items.ids[i]), s, n, docs_of[begin + d], p, k)
                     for begin, _, shard in shards(batch, items)
                     for i, s, n, d, p, k in longest_matches(shard, items, least)
                 ]
-                yield pd.DataFrame(found, columns=[c.split()[0] for c in out.split(", ")]).astype({"doc_id": "Int64"})
+                yield found
 
         return rows
 
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
     result = None
     for sent in load_items(benchmark):
-        one = texts.mapInPandas(rows_of(sent), out)
+        one = map_frames(texts, rows_of(sent), out)
         result = one if result is None else result.unionByName(one)
     return result
 
 
 def _clean(items_sent, window: int):
-    def rows(batches):
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = TestItems.of(items_sent.value, window)
-        for batch in batches:
-            keep = np.ones(len(batch), bool)
-            for begin, _, shard in shards(batch, items):
+        for texts in batches:
+            keep = np.ones(len(texts), bool)
+            for begin, _, shard in shards(pd.DataFrame({"text": texts}), items):
                 hit, _ = hits(shard, items)
                 docs = np.searchsorted(shard.first, np.flatnonzero(hit), "right") - 1
                 keep[begin + docs] = False
-            yield batch[keep]
+            yield pd.Series(keep)
 
-    return rows
+    return clean
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents, with all their columns, that hold no window of any item. Removal is row by row, without shuffle."""
+    """The documents, with all their columns, that hold no window of any item. Removal is row by row, without shuffle.
+
+    Python sees texts only, so the other columns may be of any type.
+    """
     kept = docs
     for sent in load_items(benchmark):
-        kept = kept.mapInPandas(_clean(sent, window), kept.schema)
+        kept = kept.where(_clean(sent, window)(whole()))
     return kept

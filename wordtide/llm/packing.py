@@ -3,12 +3,15 @@
 A configuration is a multiset of piece lengths that fits one sequence. The program asks for the fewest configurations
 that cover the histogram of lengths. It is solved over the lengths alone, whose number is bounded by the sequence
 length, by multiplicative weights: every round prices the lengths, a knapsack dynamic program finds the most valuable
-configuration, and lengths it covers become cheaper. The fractional answer is rounded down, and what remains is packed
-by best fit. Pieces then get their places by their rank within their length, on the executors.
+configuration, a share of it is added, and the weights of the lengths that it covers fall. The counts stay whole all the
+while. The gathered configurations are rounded down, what remains is packed by best fit, and the whole is compared with
+best fit alone; the plan of fewer sequences is used. Every round's prices also give a bound that no packing can go below.
+Pieces then get their places by their rank within their length, on the executors.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -18,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, give_back, stage, whole
+from wordtide.llm.common import by_batch, give_back, map_frames, stage, whole
 from wordtide.llm.tokens import BYTE_BPE, encoder
 
 SEQUENCE = 2048
@@ -33,16 +36,12 @@ PLACES = "sequence_id BIGINT, offset BIGINT"
 Run = tuple[int, int, int, int, int]
 
 
-def best_configuration(value: np.ndarray, sizes: np.ndarray, room: int, most: np.ndarray) -> Counter:
-    """The most valuable multiset of ``sizes`` within ``room``, by the unbounded knapsack's dynamic program.
-
-    ``most`` bounds how often each size is taken; what the program would take beyond it is left out, and the room is
-    filled with the largest sizes that are left, which never lowers the value of what stays.
-    """
-    worth, place = np.full(room + 1, -np.inf, "f4"), np.full(room + 1, -1)
+def best_configuration(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, Counter]:
+    """The most valuable multiset of ``sizes`` within ``room`` and its value, by the unbounded knapsack's program."""
+    worth, place = np.full(room + 1, -np.inf), np.full(room + 1, -1)
     worth[sizes], place[sizes] = value, np.arange(len(sizes))
     # Stored from the largest space down, so that all last pieces of a space are one slice.
-    best, last = np.zeros(room + 1, "f4"), np.zeros(room + 1, "i8")
+    best, last = np.zeros(room + 1), np.zeros(room + 1, "i8")
     for space in range(1, room + 1):
         sums = best[room - space + 1 :][:space] + worth[1 : space + 1]
         k = int(sums.argmax())
@@ -57,43 +56,112 @@ def best_configuration(value: np.ndarray, sizes: np.ndarray, room: int, most: np
         if size:
             taken[int(place[size])] += 1
         space -= size or 1
-    taken = Counter({k: min(n, int(most[k])) for k, n in taken.items()})
-    space = room - sum(int(sizes[k]) * n for k, n in taken.items())
-    for k in range(int(np.searchsorted(sizes, space, "right")) - 1, -1, -1):
-        more = min(space // int(sizes[k]), int(most[k]) - taken[k])
-        if more > 0:
-            taken[k] += more
-            space -= more * int(sizes[k])
-    return taken
+    return float(best[0]), taken
+
+
+# Each step covers at most this share of a length, and lowers its weight by this power of e for a full cover.
+SHARE, STEEP = 0.05, 8.0
+CHECKED = 60
+
 
+def solve(sizes: np.ndarray, counts: np.ndarray, room: int, rounds: int, reached: int = 0) -> tuple[list[tuple[Counter, float]], float]:
+    """Configurations with the number of times each is used, and the program's greatest lower bound seen.
 
-def solve(sizes: np.ndarray, counts: np.ndarray, room: int, rounds: int) -> list[tuple[Counter, float]]:
-    """Configurations and how often each is used, covering the counts as a fraction allows.
+    Rounds end early, at the next ``CHECKED`` one, if the bound shows that a plan of ``reached`` sequences can't be beaten.
 
-    The round's step is the largest one that overfills no length, but at most a share of the whole, so that weights
-    steer the next round to what is still open.
+    The covering program by multiplicative weights: a length's weight falls exponentially with the share of it that has
+    been covered, its price is its weight by its count. Any prices y bound the number of sequences from below by the
+    pieces' worth through the worth of the best configuration, which is the program's dual.
     """
-    open_ = counts.astype(float)
-    log_weight = np.zeros(len(sizes))
+    counts = counts.astype(float)
+    covered, bound = np.zeros(len(sizes)), float(math.ceil((sizes * counts).sum() / room))
     used: dict[tuple, float] = {}
-    whole_work = float((sizes * counts).sum()) / room
-    step = max(2 * whole_work / rounds, 1.0)
-    # A round uses up a full step or the last of a length, so there are at most rounds / 2 and a round per length.
-    while (alive := open_ >= 1).any():
-        # Dual prices start at the share of the room; lengths with much left to place become dearer.
-        value = np.where(alive, sizes / room * np.exp(log_weight), 0.0)
-        found = best_configuration(value[alive], sizes[alive], room, np.floor(open_[alive]))
-        index = np.flatnonzero(alive)
-        taken = {int(index[k]): n for k, n in found.items() if n}
-        times = min(step, *(open_[k] / n for k, n in taken.items()))
+    # The first prices are the lengths themselves; weights then bend them towards what is covered least.
+    start = sizes / room
+    for turn in range(rounds):
+        if turn and turn % CHECKED == 0 and math.ceil(bound - 1e-6) >= reached:
+            break
+        price = start * np.exp(-STEEP * (covered - covered.min()))
+        value, taken = best_configuration(price, sizes, room)
+        bound = max(bound, float((price * counts).sum()) / value)
+        times = min(SHARE * counts[k] / n for k, n in taken.items())
         key = tuple(sorted(taken.items()))
         used[key] = used.get(key, 0.0) + times
         for k, n in taken.items():
-            open_[k] -= n * times
-        left = np.divide(open_, counts, out=np.zeros_like(open_), where=counts > 0)
-        share = float((open_ * sizes).sum()) / float((counts * sizes).sum())
-        log_weight = np.clip(0.05 * (left / max(share, 1e-9) - 1), -0.2, 0.2)
-    return [(Counter(dict(key)), times) for key, times in used.items()]
+            covered[k] += n * times / counts[k]
+    # The rounds cover everything several times over where lengths are few: their average is the answer.
+    whole = float((covered * counts * sizes).sum() / (counts * sizes).sum()) or 1.0
+    return [(Counter(dict(key)), times / whole) for key, times in used.items()], bound
+
+
+def best_fit(left: dict[int, int], room: int) -> list[tuple[Counter, int]]:
+    """Best fit, longest first, over a histogram: configurations and how often each is used.
+
+    Equal sequences are one entry, so the work depends on the number of lengths and not on that of pieces.
+    """
+    done: list[tuple[Counter, int]] = []
+    # For each space, the open sequences that have it: contents and number.
+    spaces: list[int] = []
+    held: dict[int, list[tuple[Counter, int]]] = {}
+
+    def put(space: int, content: Counter, times: int, least: int) -> None:
+        if times and space < least:
+            done.append((content, times))
+        elif times:
+            if space not in held:
+                insort(spaces, space)
+            held.setdefault(space, []).append((content, times))
+
+    least = min((n for n, c in left.items() if c), default=0)
+    for n in sorted((n for n, c in left.items() if c), reverse=True):
+        count = left[n]
+        while count:
+            at = bisect_left(spaces, n)
+            if at == len(spaces):
+                space, content, times = room, Counter(), -(-count // (room // n))
+            else:
+                space = spaces[at]
+                content, times = held[space].pop()
+                if not held[space]:
+                    del held[space]
+                    spaces.pop(at)
+            each = space // n
+            full = min(times, count // each)
+            put(space - each * n, content + Counter({n: each}), full, least)
+            count -= full * each
+            if full < times:
+                if count:
+                    put(space - count * n, content + Counter({n: count}), 1, least)
+                    full, count = full + 1, 0
+                if content:
+                    put(space, content, times - full, least)
+    return done + [entry for group in held.values() for entry in group]
+
+
+def rounded(solution: list[tuple[Counter, float]], sizes: np.ndarray, histogram: dict[int, int], room: int) -> list[tuple[Counter, int]]:
+    """Whole numbers of the program's configurations, never beyond the counts, and best fit for the rest."""
+    left, plan = dict(histogram), []
+    for configuration, times in sorted(solution, key=lambda x: -x[1]):
+        lengths = {int(sizes[k]): n for k, n in configuration.items()}
+        whole = min(int(times), *(left[n] // each for n, each in lengths.items()))
+        if whole:
+            plan.append((Counter(lengths), whole))
+            for n, each in lengths.items():
+                left[n] -= each * whole
+    return plan + best_fit(left, room)
+
+
+def plan_of(histogram: dict[int, int], room: int, rounds: int) -> tuple[list[tuple[Counter, int]], float]:
+    """The better of program and best fit for the lengths below ``room``, and the lower bound on sequences."""
+    sizes = np.array(sorted(histogram), "i8")
+    counts = np.array([histogram[int(n)] for n in sizes], "i8")
+    plain = best_fit(histogram, room)
+    solution, bound = solve(sizes, counts, room, rounds, sequences(plain))
+    return min(rounded(solution, sizes, histogram, room), plain, key=sequences), bound
+
+
+def sequences(plan: list[tuple[Counter, int]]) -> int:
+    return sum(times for _, times in plan)
 
 
 def pack_lengths(histogram: dict[int, int], room: int = SEQUENCE, rounds: int = ROUNDS) -> list[Run]:
@@ -102,50 +170,20 @@ def pack_lengths(histogram: dict[int, int], room: int = SEQUENCE, rounds: int =
     if any(not 0 < n <= room for n in left):
         raise ValueError(f"lengths must be from 1 to {room}")
     sequence, next_rank, runs = 0, Counter(), []
-
-    def use(configuration: dict[int, int], times: int) -> None:
-        nonlocal sequence
+    full = left.pop(room, 0)
+    plan = [(Counter({room: 1}), full)] if full else []
+    if left:
+        plan += plan_of(left, room, rounds)[0]
+    for configuration, times in plan:
         offset = 0
         for n, each in sorted(configuration.items(), reverse=True):
             runs.append((n, next_rank[n], sequence, each, offset))
             next_rank[n] += each * times
-            left[n] -= each * times
             offset += n * each
         sequence += times
-
-    if full := left.pop(room, 0):
-        left[room] = full
-        use({room: 1}, full)
-        left.pop(room)
-    if left:
-        sizes = np.array(sorted(left), "i8")
-        counts = np.array([left[int(n)] for n in sizes], "i8")
-        for configuration, times in solve(sizes, counts, room, rounds):
-            if whole_times := int(times):
-                use({int(sizes[k]): n for k, n in configuration.items()}, whole_times)
-    for configuration in best_fit({n: c for n, c in left.items() if c > 0}, room):
-        use(configuration, 1)
     return runs
 
 
-def best_fit(left: dict[int, int], room: int) -> list[Counter]:
-    """Best fit, longest first, over what rounding leaves: at most one piece of each size and configuration."""
-    bins: list[Counter] = []
-    spaces: list[tuple[int, int]] = []
-    for n in sorted(left, reverse=True):
-        for _ in range(left[n]):
-            at = bisect_left(spaces, (n, -1))
-            if at < len(spaces):
-                space, k = spaces.pop(at)
-            else:
-                space, k = room, len(bins)
-                bins.append(Counter())
-            bins[k][n] += 1
-            if space > n:
-                insort(spaces, (space - n, k))
-    return bins
-
-
 def _cut(tokenizer: str, room: int, end: int, keep_ids: bool):
     tail = np.array([end], "<u4").tobytes()
 
@@ -155,16 +193,16 @@ def _cut(tokenizer: str, room: int, end: int, keep_ids: bool):
         part = TaskContext.get().partitionId()
         for batch in batches:
             out = []
-            for doc, ids in zip(batch["doc_id"].astype("Int64").tolist(), encoder(tokenizer).encode(batch["text"])):
+            for doc, ids in zip(batch["doc_id"].tolist(), encoder(tokenizer).encode(batch["text"])):
                 ids += tail
                 n = len(ids) // 4
                 first = n % room or room
                 at = 0
                 for piece, to in enumerate(range(first, n + 1, room)):
                     some = ids[4 * at : 4 * to]
-                    out.append((doc, piece, at, to - at, zlib.crc32(some), some if keep_ids else None, part))
+                    out.append((None if doc is pd.NA else doc, piece, at, to - at, zlib.crc32(some), some if keep_ids else None, part))
                     at = to
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "part"]).astype({"doc_id": "Int64"})
+            yield out
 
     return run
 
@@ -173,7 +211,7 @@ def cut_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUEN
     """Pieces of the documents' ids, each document closed by ``end``. Only documents longer than ``room`` are cut, into
     pieces of ``room``, of which the first may be shorter. ``ids`` holds them as little-endian 32-bit numbers."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
-    return texts.mapInPandas(_cut(tokenizer, room, end, keep_ids), PIECES)
+    return map_frames(texts, _cut(tokenizer, room, end, keep_ids), PIECES)
 
 
 def place(pieces: DataFrame, room: int = SEQUENCE, rounds: int = ROUNDS) -> DataFrame:
@@ -191,9 +229,7 @@ def place(pieces: DataFrame, room: int = SEQUENCE, rounds: int = ROUNDS) -> Data
     order = ["doc_id", "piece"]
     inside = F.row_number().over(Window.partitionBy("length", "part").orderBy(*order)) - 1
     ranked = pieces.withColumn("_inside", inside).join(starts, ["length", "part"])
-    return ranked.withColumn("_rank", F.col("_below") + F.col("_inside")).mapInPandas(
-        _placed(runs, room), f"{PIECES}, {PLACES}"
-    )
+    return map_frames(ranked.withColumn("_rank", F.col("_below") + F.col("_inside")), _placed(runs, room), f"{PIECES}, {PLACES}")
 
 
 def _placed(runs: list[Run], room: int):
@@ -207,7 +243,6 @@ def _placed(runs: list[Run], room: int):
         over = rank - line[:, 1]
         batch["sequence_id"] = line[:, 2] + over // line[:, 3]
         batch["offset"] = line[:, 4] + length * (over % line[:, 3])
-        batch["doc_id"] = batch["doc_id"].astype("Int64")
         return batch.drop(columns=["_inside", "_below", "_rank"])
 
     def run(batches):

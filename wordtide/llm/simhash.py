@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, stage, whole
+from wordtide.llm.common import by_batch, free_name, map_frames, stage, whole
 
 RADIUS = 3
 SHINGLE = 3
@@ -52,15 +52,16 @@ def fingerprint(text: str, n: int = SHINGLE, seed: int = SEED) -> int:
 def _fingerprints(n: int, seed: int):
     def rows(batch: pd.DataFrame) -> pd.DataFrame:
         found = np.array([fingerprint(t, n, seed) for t in batch["text"]], "u8").view("i8")
-        return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": found})
+        return pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "fp": found})
 
     return by_batch(rows)
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed number. A NULL text is empty."""
+    """doc_id, ``digest`` (a hash of the text) and ``fp``, the fingerprint as a signed number. A NULL text is empty."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
-    return texts.mapInPandas(_fingerprints(n, seed), "doc_id BIGINT, fp BIGINT")
+    found = texts.withColumn("digest", F.xxhash64("text"))
+    return map_frames(found, _fingerprints(n, seed), "doc_id BIGINT, digest BIGINT, fp BIGINT")
 
 
 class BKTree:
@@ -239,31 +240,39 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def document_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the smallest id reachable over links, itself included.
 
-    Documents with equal fingerprints are one node, named by their smallest id. A NULL text counts as empty
-    (fingerprint zero, linked like any other). A NULL id has its row; its component is that of its fingerprint, NULL
-    where no document with an id can be reached. Repeated rows each get a row. An empty table gives no rows.
+    ``digest``, a hash of the text, tells rows of one id apart, and ``component``, a fingerprint, names the group.
+    Documents with equal fingerprints are one node, so ids may be any numbers. A NULL text counts as empty (fingerprint
+    zero, linked like any other). A NULL id has its row; its component_id is NULL where no document with an id can be
+    reached. Rows that repeat an id each get a row, and link nothing by their id. An empty table gives no rows.
     """
     prints = stage(fingerprints(docs), "fingerprints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    # A fingerprint whose documents have no id still links others; it needs a name of its own above all ids.
-    named = distinct.select("fp", "least", F.coalesce("least", F.lit((1 << 62)) + F.pmod("fp", F.lit(1 << 61))).alias("rep"))
-    found = components(link_pairs(named, radius), "near-links")
-    classes = named.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep")
-    classes = classes.select("fp", F.when(component < (1 << 62), component).alias("component_id"))
-    classes = stage(classes, "fingerprint-classes")
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = components(link_pairs(distinct.select("fp", F.col("fp").alias("rep")), radius), "near-links")
+    joined = distinct.join(found.withColumnRenamed("id", "fp"), "fp", "left")
+    classes = stage(joined.select("fp", "least", F.coalesce("component", "fp").alias("component")), "fingerprint-groups")
+    smallest = stage(classes.groupBy("component").agg(F.min("least").alias("component_id")), "group-names")
+    named = stage(classes.join(smallest, "component").select("fp", "component", "component_id"), "fingerprint-classes")
+    return prints.join(named, "fp").select("doc_id", "digest", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint and component_id of every document, as ``document_groups`` has them."""
+    return document_groups(docs, radius).select("doc_id", "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The documents that name their group, with all their columns; one row of each.
+    """One document of each group, with all its columns: the one with the smallest id.
 
-    Rows that repeat an id count as the same document. Rows without an id are kept: nothing names them.
+    Rows of one id with different texts are documents of their own; of those in one group one stays. Rows that are equal
+    in id and text are one document. Rows without an id are kept: nothing names them.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), radius)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(gone, "doc_id", "left_anti")
+    found = document_groups(docs.select("doc_id", "text"), radius).where("doc_id IS NOT NULL")
+    named = found.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
+    digest = free_name(docs, "digest")
+    named = named.select(F.col("kept.doc_id").alias("doc_id"), F.col("kept.digest").alias(digest))
+    once = docs.where("doc_id IS NOT NULL").withColumn(digest, F.xxhash64(whole())).dropDuplicates(["doc_id", digest])
+    kept = once.join(named, ["doc_id", digest], "left_semi")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

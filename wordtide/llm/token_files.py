@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import attempt_name, fresh_path, stage, whole
+from wordtide.llm.common import attempt_name, fresh_path, map_frames, stage, whole
 from wordtide.llm.tokens import WORD_BPE, encoder
 
 MAGIC = b"WTPLANE1"
@@ -138,8 +138,7 @@ def _write(folder: str, tokenizer: str, end: int):
             return pd.DataFrame([(part, number - 1, path, *counts)], columns=["part", "file", "path", "n_docs", "n_ids"])
 
         for batch in batches:
-            docs = batch["doc_id"].astype("Int64")
-            for doc, ids in zip(docs, encoder(tokenizer).encode(batch["text"])):
+            for doc, ids in zip(batch["doc_id"], encoder(tokenizer).encode(batch["text"])):
                 if writer is None:
                     path = f"{name}-{number:05d}.planes"
                     stream = files.open_output_stream(f"{base}/{path}", compression=None)
@@ -166,7 +165,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = WORD_BPE, e
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
     ordered = texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    return stage(ordered.mapInPandas(_write(folder, tokenizer, end), MANIFEST), "plane-files")
+    return stage(map_frames(ordered, _write(folder, tokenizer, end), MANIFEST), "plane-files")
 
 
 def _read(folder: str):
@@ -179,17 +178,13 @@ def _read(folder: str):
                     for doc, start, ids in read_documents(file):
                         out.append((doc, int(first) + start, len(ids), zlib.crc32(ids.tobytes())))
                         if len(out) == 20_000:
-                            yield _frame(out)
+                            yield out
                             out = []
-                yield _frame(out)
+                yield out
 
     return run
 
 
-def _frame(out: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(out, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
-
-
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and checksum of every document, from the files alone.
 
@@ -201,7 +196,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
         rows.append((file["path"], first))
         first += file["n_ids"]
     listed = spark.createDataFrame(rows, "path STRING, first BIGINT")
-    return listed.repartition(max(1, len(rows)), "path").mapInPandas(_read(folder), DOCS)
+    return map_frames(listed.repartition(max(1, len(rows)), "path"), _read(folder), DOCS)
 
 
 def token_files(docs: DataFrame, folder: str | None = None, tokenizer: str = WORD_BPE) -> DataFrame:

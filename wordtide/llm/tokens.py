@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-# Words that one worker remembers; beyond it the memory is emptied.
+# Words that one worker remembers: up to half of them that were met lately, and those that were met lately before.
 REMEMBERED = 800_000
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -57,6 +57,7 @@ class WordEncoder:
         self.mark = "\n" if self.keeps_space else "<|startoftext|>"
         self.mark_id = self.plain([self.mark])[0]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         if len(self.mark_id) != 4:
             raise ValueError("the mark must be one token")
 
@@ -94,10 +95,12 @@ class WordEncoder:
             cut = [self.parts(text) for text in some]
             new = set().union(*cut)
             new.difference_update(self.known)
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
+            if len(self.known) + len(new) > REMEMBERED // 2:
+                self.known, self.older = {}, self.known
                 new = set().union(*cut)
-            self.learn(new)
+            again = new & self.older.keys()
+            self.known.update((word, self.older[word]) for word in again)
+            self.learn(new - again)
             for words in cut:
                 yield b"".join(map(self.known.__getitem__, words))
 

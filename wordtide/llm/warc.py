@@ -20,7 +20,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import attempt_name, fresh_path, let, stage, whole
+from wordtide.llm.common import attempt_name, fresh_path, let, map_frames, stage, whole
 
 # Bytes of records in one archive; a larger record has an archive of its own.
 ARCHIVE_BYTES = 64 << 20
@@ -76,18 +76,23 @@ def page_of(urn: str | None) -> int | None:
 
 
 def inflate(file) -> Iterator[bytes]:
-    """Inflated bytes of a gzip file, a chunk at a time. Several members, one after the other, are read as one stream."""
-    unpack, data = zlib.decompressobj(GZIP), b""
+    """Inflated bytes of a gzip file, a chunk at a time. Several members, one after the other, are read as one stream.
+
+    A stream without its end is an error, even where it breaks off between two records.
+    """
+    unpack, data, begun = zlib.decompressobj(GZIP), b"", False
     while True:
         data = data or file.read(CHUNK)
         if not data:
             break
         while data:
             yield unpack.decompress(data, CHUNK)
-            data = unpack.unconsumed_tail
+            data, begun = unpack.unconsumed_tail, True
             if unpack.eof:
-                data, unpack = unpack.unused_data, zlib.decompressobj(GZIP)
+                data, unpack, begun = unpack.unused_data, zlib.decompressobj(GZIP), False
     yield unpack.flush()
+    if begun and not unpack.eof:
+        raise ValueError("the gzip stream breaks off")
 
 
 def split_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -147,8 +152,7 @@ def _write(folder: str, level: int):
             return pd.DataFrame([(path, records, size)], columns=["archive", "records", "bytes"])
 
         for batch in batches:
-            refers = batch["refers_to"].astype("Int64")
-            for page, url, html, to in zip(batch["page_id"].astype("Int64"), batch["url"], batch["html"], refers):
+            for page, url, html, to in zip(batch["page_id"], batch["url"], batch["html"], batch["refers_to"]):
                 payload = html.encode()
                 page, to = (None if x is pd.NA else int(x) for x in (page, to))
                 record = record_bytes(page, url, payload, len(payload), base32_sha1(payload), to)
@@ -167,7 +171,7 @@ def _write(folder: str, level: int):
 
 def write_monolithic(pages: DataFrame, folder: str, least: int = 0, level: int = 1) -> DataFrame:
     """Archives of one gzip stream each; returns the written table of archives."""
-    return stage(with_references(pages, least).mapInPandas(_write(folder, level), ARCHIVES), "archives")
+    return stage(map_frames(with_references(pages, least), _write(folder, level), ARCHIVES), "archives")
 
 
 def _normalise(source: str, target: str, level: int):
@@ -176,8 +180,8 @@ def _normalise(source: str, target: str, level: int):
         out, to = pyarrow.fs.FileSystem.from_uri(target)
         out.create_dir(to, recursive=True)
         for batch in batches:
-            for k, archive in enumerate(batch["archive"]):
-                file, offset, rows = f"{attempt_name()}-{k:05d}-{archive}", 0, []
+            for k, (archive, records) in enumerate(zip(batch["archive"], batch["records"])):
+                file, offset, rows, seen = f"{attempt_name()}-{k:05d}-{archive}", 0, [], 0
                 with files.open_input_stream(f"{base}/{archive}", compression=None) as stream, out.open_output_stream(f"{to}/{file}", compression=None) as into:
                     for record in split_records(inflate(stream)):
                         head = parse_header(record[: record.index(b"\r\n\r\n")])
@@ -185,26 +189,24 @@ def _normalise(source: str, target: str, level: int):
                         member = pack.compress(record) + pack.flush()
                         into.write(member)
                         rows.append((archive, file, offset, len(member), head["warc-type"], page_of(head.get("warc-record-id"))))
-                        offset += len(member)
+                        offset, seen = offset + len(member), seen + 1
                         if len(rows) == 50_000:
-                            yield _index(rows)
+                            yield rows
                             rows = []
-                yield _index(rows)
+                if seen != records:
+                    raise ValueError(f"{archive} has {seen} records and not {records}")
+                yield rows
 
     return run
 
 
-def _index(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX.split(", ")]).astype({"page_id": "Int64"})
-
-
 def normalise(archives: DataFrame, source: str, target: str, level: int = 6) -> DataFrame:
     """Rewrites every archive below ``source`` to ``target`` and returns the written sidecar index.
 
     One task takes one archive, whatever its size, as a gzip stream can only be read from its start.
     """
     n = max(1, archives.count())
-    return stage(archives.select("archive").repartition(n, "archive").mapInPandas(_normalise(source, target, level), INDEX), "warc-index")
+    return stage(map_frames(archives.select("archive", "records").repartition(n, "archive"), _normalise(source, target, level), INDEX), "warc-index")
 
 
 def _read(folder: str):
@@ -223,14 +225,14 @@ def _read(folder: str):
                         if head["warc-type"] == "response" and digest != base32_sha1(payload):
                             raise ValueError(f"digest of {name} at {offset} does not fit")
                         rows.append((page_of(head["warc-record-id"]), int(head["x-payload-length"]), digest, head["warc-type"], page_of(head.get("warc-refers-to"))))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield rows
 
     return run
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every indexed record, read by its offset."""
-    return index.select("file", "offset", "length").mapInPandas(_read(folder), RECORDS)
+    return map_frames(index.select("file", "offset", "length"), _read(folder), RECORDS)
 
 
 def warc_round_trip(pages: DataFrame, folder: str | None = None, least: int = 0) -> DataFrame:
