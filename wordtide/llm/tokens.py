@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, each different word encoded once per worker.
 
 Texts are cut only where the tokenizer itself always cuts: before a single space that a word follows, or, for
-tokenizers that drop white space, at any space or line end. So the ids of the parts, one after the other, are the ids
-of the text. The tokenizer files are named by ``public_tokenizers.path``; another path can be given.
+tokenizers that drop white space, at any space or line end; and between a Latin letter and a mark that ends a clause, as
+both tokenizers keep letters and marks apart. So the ids of the parts, one after the other, are the ids of the text, and
+a word is the same with and without a comma. The tokenizer files are named by ``public_tokenizers.path``; another path can be given.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 _before_word = re.compile(r" (?=\S)")
 _space = re.compile(r"\s")
+_before_mark = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])")
 
 
 def tokenizer_path(name: str) -> str:
@@ -66,6 +68,11 @@ class WordEncoder:
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def parts(self, text: str) -> list[str]:
+        if "\0" not in text:
+            marked = _before_mark.sub("\0\\1", text)
+            if self.keeps_space:
+                return _before_word.sub("\0 ", marked).split("\0")
+            return marked.replace("\n", "\0").replace(" ", "\0").split("\0")
         if self.keeps_space:
             first, *rest = _before_word.split(text)
             return [first, *[f" {x}" for x in rest]]
