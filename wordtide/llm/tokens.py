@@ -23,7 +23,8 @@ WORD_BPE = "word_bpe_49k.json"
 
 _before_word = re.compile(r" (?=\S)")
 _space = re.compile(r"\s")
-_before_mark = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])")
+_before_mark = re.compile(r"[.,;:!?](?<=[A-Za-zÀ-ÖØ-öø-ÿ].)")
+_odd_space = re.compile(r" (?!\S)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,9 +70,10 @@ class WordEncoder:
 
     def parts(self, text: str) -> list[str]:
         if "\0" not in text:
-            marked = _before_mark.sub("\0\\1", text)
+            marked = _before_mark.sub("\0\\g<0>", text)
             if self.keeps_space:
-                return _before_word.sub("\0 ", marked).split("\0")
+                spaced = _before_word.sub("\0 ", marked) if _odd_space.search(marked) else marked.replace(" ", "\0 ")
+                return spaced.split("\0")
             return marked.replace("\n", "\0").replace(" ", "\0").split("\0")
         if self.keeps_space:
             first, *rest = _before_word.split(text)
