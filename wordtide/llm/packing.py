@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordtide.llm.common import by_batch, give_back, map_frames, stage, whole
-from wordtide.llm.tokens import BYTE_BPE, encoder
+from wordtide.llm.tokens import BYTE_BPE, REMEMBERED, encoder
 
 SEQUENCE = 2048
 ROUNDS = 600
@@ -184,7 +184,7 @@ def pack_lengths(histogram: dict[int, int], room: int = SEQUENCE, rounds: int =
     return runs
 
 
-def _cut(tokenizer: str, room: int, end: int, keep_ids: bool):
+def _cut(tokenizer: str, room: int, end: int, keep_ids: bool, remembered: int):
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches):
@@ -193,7 +193,7 @@ def _cut(tokenizer: str, room: int, end: int, keep_ids: bool):
         part = TaskContext.get().partitionId()
         for batch in batches:
             out = []
-            for doc, ids in zip(batch["doc_id"].tolist(), encoder(tokenizer).encode(batch["text"])):
+            for doc, ids in zip(batch["doc_id"].tolist(), encoder(tokenizer, remembered).encode(batch["text"])):
                 ids += tail
                 n = len(ids) // 4
                 first = n % room or room
@@ -207,11 +207,14 @@ def _cut(tokenizer: str, room: int, end: int, keep_ids: bool):
     return run
 
 
-def cut_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUENCE, end: int = END_ID, keep_ids: bool = False) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUENCE, end: int = END_ID, keep_ids: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """Pieces of the documents' ids, each document closed by ``end``. Only documents longer than ``room`` are cut, into
-    pieces of ``room``, of which the first may be shorter. ``ids`` holds them as little-endian 32-bit numbers."""
+    pieces of ``room``, of which the first may be shorter. ``ids`` holds them as little-endian 32-bit numbers.
+    ``remembered`` bounds the words that a worker keeps; it changes the memory and the time, not the ids."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
-    return map_frames(texts, _cut(tokenizer, room, end, keep_ids), PIECES)
+    return map_frames(texts, _cut(tokenizer, room, end, keep_ids, remembered), PIECES)
 
 
 def place(pieces: DataFrame, room: int = SEQUENCE, rounds: int = ROUNDS) -> DataFrame:
@@ -254,12 +257,12 @@ def _placed(runs: list[Run], room: int):
     return run
 
 
-def pack_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUENCE, keep_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """Places of all pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and ``ids`` if kept.
 
     A NULL or empty text is one piece that holds only the end id. Rows that repeat a document, or have no id, are packed
     like any other. An empty table gives no rows. Other columns are not read.
     """
-    pieces = stage(cut_documents(docs, tokenizer, room, keep_ids=keep_ids), "pieces")
+    pieces = stage(cut_documents(docs, tokenizer, room, keep_ids=keep_ids, remembered=remembered), "pieces")
     placed = place(pieces, room).drop("part")
     return placed if keep_ids else placed.drop("ids")

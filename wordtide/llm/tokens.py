@@ -47,7 +47,7 @@ def tokenizer_digest(name: str) -> str:
 class WordEncoder:
     """Encodes texts as little-endian 32-bit ids. Kept by the worker, so later batches know its words."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path(name))
@@ -59,6 +59,7 @@ class WordEncoder:
         # A mark between words: a line end, or a special token where white space is dropped.
         self.mark = "\n" if self.keeps_space else "<|startoftext|>"
         self.mark_id = self.plain([self.mark])[0]
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         if len(self.mark_id) != 4:
@@ -104,7 +105,7 @@ class WordEncoder:
             cut = [self.parts(text) for text in some]
             new = set().union(*cut)
             new.difference_update(self.known)
-            if len(self.known) + len(new) > REMEMBERED // 2:
+            if len(self.known) + len(new) > self.remembered // 2:
                 self.known, self.older = {}, self.known
                 new = set().union(*cut)
             again = new & self.older.keys()
@@ -127,5 +128,5 @@ def _portions(texts: Iterable[str], size: int = 2_000_000) -> Iterable[list[str]
 
 
 @lru_cache(2)
-def encoder(name: str) -> WordEncoder:
-    return WordEncoder(name)
+def encoder(name: str, remembered: int = REMEMBERED) -> WordEncoder:
+    return WordEncoder(name, remembered)
