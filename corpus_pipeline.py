@@ -2,7 +2,8 @@
 
 1. toxicity: documents that the classifier rejects go; it learns from the labelled documents, with a threshold for
    each language.
-2. near-duplicates: one document of each group of similar fingerprints stays, the one with the smallest id.
+2. near-duplicates: one document of each group of similar texts stays, the one with the smallest id. Similar are texts
+   whose five-word shingles agree to 0.8 and more; fingerprints find them, the whole sets of shingles confirm them.
 3. decontamination: documents that hold ten consecutive words of a benchmark item go.
 4. secrets: strings that the forest judges secret are masked; their documents stay.
 5. packing: the token ids of what is left, in sequences of at most 2,048, with few gaps.
@@ -20,11 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordtide.llm.common import bound_batches, fresh_path, table
 from wordtide.llm.decontamination import remove_contaminated
+from wordtide.llm.near_copies import one_of_near_copies
 from wordtide.llm.packing import pack_documents
 from wordtide.llm.secret_scan import mask_secrets
-from wordtide.llm.simhash import one_of_each
 from wordtide.llm.toxicity import drop_toxic, fit_model
 
+# Words that a worker remembers in packing, fewer than elsewhere: workers hold what earlier stages left behind as well.
+REMEMBERED = 200_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +39,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
-    return one_of_each(docs)
+    return one_of_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +53,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece with its ids (little-endian 32-bit), sequence and place in it."""
     bound_batches(spark)
-    return pack_documents(docs, keep_ids=True)
+    return pack_documents(docs, keep_ids=True, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -60,7 +64,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-# A fitted network, fingerprints and token ids have no form in SQL; the stages are tested against brute force.
+# A fitted network, fingerprints and token ids have no form in SQL. Near-duplicates, decontamination and packing are
+# tested against brute force, toxicity by held-out documents, secrets by planted ones.
 ORACLE_SQL = None
 
 
