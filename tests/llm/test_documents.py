@@ -217,6 +217,34 @@ def test_toxicity_learns_and_never_from_held_out_labels(spark, toxic_docs, hard_
     assert toxicity.drop_toxic(hard_docs, model).columns == hard_docs.columns
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    rng = random.Random(5)
+    # Long texts, and more documents than one task fits.
+    made = [(k, " ".join(rng.choice(WORDS) for _ in range(2_000 if k % 40 < 2 else 20)) + (" grbl" if k % 2 else ""), k % 2) for k in range(700)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    usable = {r.doc_id for r in labels.where(toxicity.may_learn(F.col("doc_id"))).collect()}
+    assert {r.doc_id for r in toxicity.labelled_texts(docs.drop("toxic"), labels).collect()} == usable
+    monkeypatch.setattr(toxicity, "ALONE", 200)
+    monkeypatch.setattr(toxicity, "CELL", 50)
+    models = [toxicity.fit_model(some.drop("toxic"), labels) for some in (docs.repartition(3), docs.repartition(5))]
+    # The layout of the rows changes nothing.
+    assert (models[0].network.embedding == models[1].network.embedding).all() and models[0].thresholds == models[1].thresholds
+    held = [(text, toxic) for k, text, toxic in made if k not in usable]
+    scores = models[0].network.scores([text for text, _ in held])
+    assert np.mean((scores >= 0.5) == np.array([toxic for _, toxic in held])) > 0.95
+
+
+def test_thresholds_are_by_exact_places(spark):
+    net = toxicity.TextCnn.new()
+    texts = [words(30, k) for k in range(300)]
+    held = spark.createDataFrame([(t, "en", int(k % 3 == 0)) for k, t in enumerate(texts)], "text string, lang string, toxic int")
+    scores, toxic = net.scores(texts), np.arange(300) % 3 == 0
+    limit, low = np.sort(scores[~toxic])[::-1][int(0.05 * 200)], np.quantile(scores[toxic], 0.05)
+    got = toxicity.thresholds_of(net, held, 0.05)
+    assert set(got) == {None, "en"} and all(abs(x - toxicity.calibrate(limit, low, 200)) < 1e-12 for x in got.values())
+
+
 def test_toxicity_without_labels(spark, hard_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit_model(hard_docs, none)

@@ -2,8 +2,9 @@
 
 Words are embedded as the sum of hashed features: the word and its first letters, so that unseen forms of a
 word share what is known of it. Filters of several widths slide over the words, each filter's highest answer over the
-text goes to a logistic output. The network is trained in numpy on a bounded sample of labelled documents, and scores
-whole texts on the executors. Thresholds for removal are calibrated by language on documents kept out of the fit.
+text goes to a logistic output. The network is trained on all labelled documents that may be learnt from: in rounds, in
+each of which tasks train copies on their own documents and the copies are averaged. It scores whole texts on the
+executors. Thresholds for removal are calibrated by language on documents kept out of the fit.
 
 A filter is linear in the embeddings, so its answer at a place is a sum of one table row for each word it covers; the
 rows of a word are looked up once per worker.
@@ -11,9 +12,11 @@ rows of a word are looked up once per worker.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 from zlib import crc32
 
 import numpy as np
@@ -22,15 +25,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, give_back, map_frames, whole
+from wordtide.llm.common import by_batch, give_back, map_frames, stage, whole
+from wordtide.operators.word_vectors import one_thread
 
 BUCKETS = 1 << 15
 WIDTHS = (1, 2, 3)
 FILTERS = 12
 DIM = 16
-# The sample that is fitted: at most this many documents of each label, of at most this many words.
-SAMPLE_PER_LABEL = 2_000
-SAMPLE_WORDS = 1_500
+# Up to ``ALONE`` documents are fitted in one task. More are dealt to tasks of about ``CELL`` each, in ``ROUNDS`` rounds.
+ALONE, CELL, ROUNDS = 4_000, 2_000, 6
+# Every document is fitted once at least, and ``EPOCHS`` times if there are no more than ``ALONE``.
+EPOCHS = 6
+# Rows of the embeddings that are averaged together.
+AVERAGED = 1_024
 # Share of clean documents that a threshold may reject at most.
 CLEAN_LOSS = 0.005
 REMEMBERED = 150_000
@@ -73,6 +80,10 @@ class TextCnn:
             0.0,
         )
 
+    def copy(self) -> TextCnn:
+        """A network of its own, without the remembered words."""
+        return TextCnn(self.embedding.copy(), [f.copy() for f in self.filters], [b.copy() for b in self.biases], self.out.copy(), self.bias)
+
     def forget(self) -> None:
         """Drop the remembered words."""
         self.known.clear()
@@ -131,21 +142,26 @@ class TextCnn:
 
     # Training.
 
-    def fit(self, texts: list[list[str]], labels: np.ndarray, epochs: int = 6, rate: float = 0.02, seed: int = 7, decay: float = 1e-5) -> None:
+    def fit(
+        self, texts: Iterable[list[str]], labels: np.ndarray | list, epochs: int = EPOCHS, rate: float = 0.02, seed: int = 7, decay: float = 1e-5, ones: float | None = None
+    ) -> np.ndarray:
         """Adam over single documents' gradients, summed over small batches; labels are weighted to equal shares.
 
-        Only the place of each filter's highest answer gets a gradient, so a step touches few embeddings.
+        Only the place of each filter's highest answer gets a gradient, so a step touches few embeddings. Which of them
+        were touched is returned. ``texts`` may be an iterator that adds to ``labels``; ``ones`` is the share of label 1,
+        if that of these texts is not the one to weight by.
         """
         random = np.random.default_rng(seed)
         number: dict[str, int] = {}
-        ids = [np.fromiter((number.setdefault(w, len(number)) for w in t), "i8", len(t)) for t in texts]
+        ids = [np.fromiter((number.setdefault(w, len(number)) for w in t), "i4", len(t)) for t in texts]
+        labels = np.asarray(labels, "f4")
         lists = [features_of(w, len(self.embedding)) for w in number]
         most = 4
         features = np.full((len(lists), most), len(self.embedding), "i8")
         for k, some in enumerate(lists):
             features[k, : len(some)] = some
         table = np.vstack((self.embedding, np.zeros((1, self.embedding.shape[1]), "f4")))
-        ones = labels.mean()
+        ones = labels.mean() if ones is None else ones
         weight = np.where(labels == 1, 0.5 / max(ones, 1e-6), 0.5 / max(1 - ones, 1e-6))
         sizes = [len(f) for f in self.filters]
         n = self.filters[0].shape[2]
@@ -209,6 +225,19 @@ class TextCnn:
                     table[which] -= now * total / (np.sqrt(squares[which])[:, None] + 1e-6)
                     table[-1] = 0
         self.embedding = table[:-1]
+        return squares[:-1] > 0
+
+    # Averaging. The filters, biases and outputs are one row of numbers.
+
+    def dense(self) -> np.ndarray:
+        return np.concatenate([x.ravel().astype("f8") for x in (*self.filters, *self.biases, self.out)] + [np.array([self.bias])])
+
+    def set_dense(self, numbers: np.ndarray) -> None:
+        at = 0
+        for x in (*self.filters, *self.biases, self.out):
+            x[...] = numbers[at : at + x.size].reshape(x.shape)
+            at += x.size
+        self.bias = float(numbers[at])
 
 
 def _portions(texts: Iterable[str], size: int = 1_000_000) -> Iterator[list[str]]:
@@ -243,67 +272,155 @@ class ToxicityModel:
 ENOUGH = 40
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, most_words: int) -> pd.DataFrame:
-    """text, lang, toxic of at most ``per_label`` labelled documents of each label that may be learnt from.
+def set_aside(doc_id: Column) -> Column:
+    """The fifth of the documents that calibrates."""
+
+    @F.pandas_udf("boolean")
+    def chosen(ids: pd.Series) -> pd.Series:
+        return pd.Series([xxhash.xxh32_intdigest(str(i), 11) % 5 == 0 for i in ids.tolist()], dtype=bool)
+
+    return chosen(doc_id)
+
 
-    Ids are drawn by a hash, from the small table of labels, before any text is read; texts of more than
-    ``most_words`` words are left out of the sample (never cut). So the driver holds a bounded number of bounded texts.
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic, text, lang, aside of every labelled document that may be learnt from, written out.
+
+    Of rows that repeat an id the one with the smallest text counts.
     """
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & may_learn(F.col("doc_id")))
     usable = usable.select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int").alias("toxic")).distinct()
-    drawn = None
-    for label in (0, 1):
-        some = usable.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
-        drawn = some if drawn is None else drawn.unionByName(some)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"), lang.alias("lang"))
-    # At most twice ``per_label`` ids: of bounded size.
-    found = texts.where(F.octet_length("text") <= 12 * most_words).join(F.broadcast(drawn), "doc_id")
-    one = found.groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("x"))
-    return one.select("doc_id", "toxic", "x.*").orderBy("doc_id", "toxic").toPandas()
+    one = texts.join(usable, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("x"))
+    return stage(one.select("doc_id", "toxic", "x.*").withColumn("aside", set_aside(F.col("doc_id"))), "toxicity-labelled")
+
+
+def _trained(sent, epochs: int, rate: float, ones: float):
+    """The documents of each shard, which follow each other, fitted by a copy of the network; gives back what it became."""
+
+    def fitted(shard: int, rows: Iterator[tuple[str, int]]) -> pd.DataFrame:
+        network, labels = sent.value.copy(), []
 
+        def texts() -> Iterator[list[str]]:
+            for text, toxic in rows:
+                labels.append(toxic)
+                yield words_of(text)
+
+        touched = np.flatnonzero(network.fit(texts(), labels, epochs, rate, ones=ones))
+        out = [(-1, shard, b"", network.dense().tobytes())]
+        for chunk in np.unique(touched // AVERAGED):
+            at = touched[touched // AVERAGED == chunk]
+            out.append((int(chunk), shard, at.astype("i4").tobytes(), network.embedding[at].astype("f8").tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "shard", "at", "numbers"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        one_thread()
+        rows = ((shard, text, toxic) for batch in batches for shard, text, toxic in zip(batch["shard"].tolist(), batch["text"], batch["toxic"].tolist()))
+        for shard, group in groupby(rows, key=lambda row: row[0]):
+            yield fitted(shard, (row[1:] for row in group))
+        give_back()
 
-def fit_model(
-    docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, most_words: int = SAMPLE_WORDS, clean_loss: float = CLEAN_LOSS
-) -> ToxicityModel:
-    """Fits on four fifths of the sample and calibrates on the rest.
+    return run
+
+
+def _averaged(dim: int):
+    """The mean of a stretch of numbers over the shards that moved them, added in the order of the shards."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, chunk = frame.sort_values("shard"), int(frame["chunk"].iloc[0])
+        if chunk < 0:
+            mean = np.mean([np.frombuffer(x) for x in frame["numbers"]], axis=0)
+            return pd.DataFrame({"chunk": [chunk], "at": [b""], "numbers": [mean.tobytes()]})
+        total, count = np.zeros((AVERAGED, dim)), np.zeros(AVERAGED, "i8")
+        for at, numbers in zip(frame["at"], frame["numbers"]):
+            rows = np.frombuffer(at, "i4") - chunk * AVERAGED
+            total[rows] += np.frombuffer(numbers).reshape(-1, dim)
+            count[rows] += 1
+        rows = np.flatnonzero(count)
+        return pd.DataFrame({"chunk": [chunk], "at": [(rows + chunk * AVERAGED).astype("i4").tobytes()], "numbers": [(total[rows] / count[rows, None]).tobytes()]})
+
+    return run
+
+
+def train(network: TextCnn, labelled: DataFrame, n: int, ones: float) -> None:
+    """Fit on all ``n`` rows of text and toxic. The driver gets the averaged network of each round: of fixed size."""
+    cells = 1 if n <= ALONE else math.ceil(n / CELL)
+    rounds = min(ROUNDS, cells)
+    shards = math.ceil(cells / rounds)
+    # As many visits in all as ``ALONE`` documents get.
+    epochs = min(EPOCHS, max(1, round(EPOCHS * ALONE / n))) if cells > 1 else EPOCHS
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(rounds * shards)).cast("int")
+    dealt = labelled.select("doc_id", "toxic", "text", (cell / rounds).cast("int").alias("shard"), (cell % rounds).alias("round"))
+    for turn in range(rounds):
+        mine = dealt.where(F.col("round") == turn) if rounds > 1 else dealt
+        mine = mine.repartition(2 * shards if shards > 1 else 1, "shard").sortWithinPartitions("shard", "doc_id", "toxic").select("shard", "text", "toxic")
+        sent = labelled.sparkSession.sparkContext.broadcast(network)
+        moved = mine.mapInPandas(_trained(sent, epochs, 0.02 / (1 + turn), ones), "chunk INT, shard INT, at BINARY, numbers BINARY")
+        means = moved.groupBy("chunk").applyInPandas(_averaged(network.embedding.shape[1]), "chunk INT, at BINARY, numbers BINARY").collect()
+        for row in means:
+            if row.chunk < 0:
+                network.set_dense(np.frombuffer(row.numbers))
+            else:
+                at = np.frombuffer(row.at, "i4")
+                network.embedding[at] = np.frombuffer(row.numbers).reshape(len(at), -1)
+        sent.unpersist()
+
+
+def fit_model(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS) -> ToxicityModel:
+    """Fits on four fifths of all labelled documents that may be learnt from, and calibrates on the rest.
 
     A language with ``ENOUGH`` calibration documents of each label has a threshold of its own; the others have that of
     all. Without labels of both kinds the score is 0 and nothing is rejected.
     """
-    sample = labelled_sample(docs, labels, per_label, most_words)
     network = TextCnn.new()
-    if sample["toxic"].nunique() < 2:
+    labelled = labelled_texts(docs, labels)
+    found = {(r.aside, r.toxic): r["count"] for r in labelled.groupBy("aside", "toxic").count().collect()}
+    if len({toxic for _, toxic in found}) < 2:
         network.out[:] = 0
         network.bias = -30.0
         return ToxicityModel(network, {None: 0.5})
-    aside = np.array([xxhash.xxh32_intdigest(str(i), 11) % 5 == 0 for i in sample["doc_id"]])
-    if sample["toxic"][~aside].nunique() < 2 or sample["toxic"][aside].nunique() < 2:
-        aside[:] = False
-    fitted = sample[~aside]
-    network.fit([words_of(t) for t in fitted["text"]], fitted["toxic"].to_numpy("f4"))
-    held = sample[aside] if aside.any() else sample
-    scores, toxic = network.scores(held["text"]), held["toxic"].to_numpy()
-    thresholds = {None: calibrate(scores, toxic, clean_loss)}
-    for lang in held["lang"].dropna().unique():
-        at = (held["lang"] == lang).to_numpy()
-        if min((at & (toxic == 0)).sum(), (at & (toxic == 1)).sum()) >= ENOUGH:
-            thresholds[lang] = calibrate(scores[at], toxic[at], clean_loss)
-    return ToxicityModel(network, thresholds)
-
-
-def calibrate(scores: np.ndarray, toxic: np.ndarray, clean_loss: float) -> float:
+    fitted = held = labelled
+    if len(found) == 4:
+        fitted, held = labelled.where("NOT aside"), labelled.where("aside")
+        found = {k: n for k, n in found.items() if not k[0]}
+    n = sum(found.values())
+    train(network, fitted, n, sum(m for (_, toxic), m in found.items() if toxic) / n)
+    return ToxicityModel(network, thresholds_of(network, held, clean_loss))
+
+
+def thresholds_of(network: TextCnn, held: DataFrame, clean_loss: float) -> dict[str | None, float]:
+    """A threshold for all, and one for each language with ``ENOUGH`` documents of each label in ``held``."""
+    sent = held.sparkSession.sparkContext.broadcast(network)
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"lang": batch["lang"], "toxic": batch["toxic"], "score": sent.value.scores(batch["text"])})
+
+    scored = stage(map_frames(held.select("text", "lang", "toxic"), by_batch(run), "lang STRING, toxic INT, score DOUBLE"), "toxicity-held")
+    clean, bad = F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)
+    sizes = {None: tuple(scored.agg(clean, bad).first())}
+    by_lang = scored.where("lang IS NOT NULL").groupBy("lang").agg(clean.alias("clean"), bad.alias("bad"))
+    sizes |= {r.lang: (r.clean, r.bad) for r in by_lang.where(F.least("clean", "bad") >= ENOUGH).collect()}
+    out = {}
+    for lang, (n_clean, n_bad) in sizes.items():
+        some = scored if lang is None else scored.where(F.col("lang") == lang)
+        # The clean score at place int(clean_loss * n_clean), from 0, by falling score.
+        place = (int(clean_loss * n_clean) + 0.5) / max(n_clean, 1)
+        limit, low = some.agg(
+            F.expr(f"percentile_disc({place:.17f}) WITHIN GROUP (ORDER BY IF(toxic = 0, score, NULL) DESC)"),
+            F.percentile(F.when(F.col("toxic") == 1, F.col("score")), 0.05),
+        ).first()
+        out[lang] = calibrate(limit, low, n_clean)
+    return out
+
+
+def calibrate(limit: float, low: float, n_clean: int) -> float:
     """A threshold that keeps the clean documents and finds the toxic ones.
 
-    It lies between the score that all but ``clean_loss`` of the clean documents stay below and the score that all but a
-    twentieth of the toxic ones pass: half-way, and nearer to the second the fewer clean documents there are. Where
-    these cross, the clean documents decide, and it is 0.5 at least.
+    It lies between ``limit``, the score that all but a share of the clean documents stay below, and ``low``, the score
+    that all but a twentieth of the toxic ones pass: half-way, and nearer to the second the fewer clean documents there
+    are. Where these cross, the clean documents decide, and it is 0.5 at least.
     """
-    clean, bad = np.sort(scores[toxic == 0])[::-1], scores[toxic == 1]
-    if not len(clean) or not len(bad):
-        return 0.5
-    limit, low = clean[int(clean_loss * len(clean))], np.quantile(bad, 0.05)
-    part = 0.5 + 0.5 / (1 + len(clean) / 50)
+    part = 0.5 + 0.5 / (1 + n_clean / 50)
     return float(max(0.25, limit + part * (low - limit)) if limit < low else max(0.5, np.nextafter(limit, 2)))
 
 
