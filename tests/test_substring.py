@@ -35,6 +35,28 @@ def test_scores_equal_the_plain_loop(spark):
     assert rows(got, "id", "score") == plain_scores(posts, words)
 
 
+def test_scores_through_shuffles_equal_those_in_rows(spark, monkeypatch):
+    random.seed(3)
+    letters = "abcdeé 漢\t\n😀"
+    posts = [(str(i % 50), random_text(letters, 60)) for i in range(200)] + [("d", "ab ab"), ("d", "ab ab"), (None, None)]
+    words = [(random_text(letters, 9), random.randrange(-3, 4)) for _ in range(300)]
+    for most in (substring.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(substring, "BROADCAST_BYTES", most)
+        got = substring.substring_score_join(spark.createDataFrame(posts, POSTS), spark.createDataFrame(words, LEXICON))
+        assert rows(got, "id", "score") == plain_scores(posts, words)
+
+
+def test_no_more_than_the_lexicon_is_written(spark, monkeypatch):
+    random.seed(4)
+    posts = [(str(i), " ".join(random_text("abc", 8) for _ in range(40))) for i in range(300)]
+    words = [(w, 1) for w in {random_text("abc ", 5) for _ in range(100)}]
+    written = []
+    monkeypatch.setattr(substring, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    got = substring.substring_score_join(spark.createDataFrame(posts, POSTS), spark.createDataFrame(words, LEXICON))
+    assert rows(got, "id", "score") == plain_scores(posts, words)
+    assert max(df.count() for df in written) <= len(words) + 1
+
+
 @pytest.mark.parametrize("words", [[], [("", 2)], [(" ", 1)], [("a", 1), ("a", 2)], [("zzz", 4)]])
 def test_small_lexicons(spark, words):
     posts = [("1", "a b"), ("2", "c"), ("3", None), ("3", None), ("4", "")]

@@ -1,6 +1,9 @@
 """Words of a lexicon table found anywhere in texts, by an index of rare q-grams.
 
-A word can only be inside a text if its longest part without blanks is inside one of the text's tokens. So words are
+A lexicon of up to ``BROADCAST_BYTES`` is filed by one rare q-gram of each word and sent to the tasks: the distinct q-grams of
+a text find its candidates, which are verified in that text, so that only sums leave the row.
+
+A larger one is joined to the tokens of the texts by shuffles. A word can only be inside a text if its longest part without blanks is inside one of the text's tokens. So words are
 looked up in the distinct tokens of all texts, which are far fewer than their places: every word is filed under the one
 of its q-grams that the fewest tokens have, tokens are joined to words on that q-gram, and each pair is verified. The
 found pairs are then joined to the texts by token. All joins are on equal keys, and none needs either side to be small.
@@ -21,6 +24,9 @@ from wordtide.session import stage
 # Runs of blanks are tokens too, for the sake of words that are nothing else.
 TOKENS = r"\s+|\S+"
 GRAM = 3
+# Longer q-grams in whole texts: they find fewer words that are not there.
+TEXT_GRAM = 4
+BROADCAST_BYTES = 32 << 20
 WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -67,6 +73,36 @@ def match_tokens(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     return stage(pairs.where(F.contains("token", "part")).select("token", "word", "weight"), "substring-matches")
 
 
+def text_grams(texts: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
+    """The ``keep`` columns, ``text`` and ``gram``: the distinct q-grams of each text, and once the empty one."""
+    longest = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{max(sizes)}}}))"), F.lit(1)))
+    cut = texts.select(*keep, "text", longest.alias("_grams"))
+
+    def beginnings(q: int) -> Column:
+        return F.array_distinct(F.transform("_grams", lambda g: F.left(g, F.lit(q))))
+
+    grams = F.concat(F.array(F.lit("")), "_grams", *(beginnings(q) for q in sizes if q < max(sizes)))
+    return explode_words(cut, F.array_distinct(grams), *keep, "text", out="gram")
+
+
+def summed_in_rows(posts: DataFrame, words: DataFrame, sizes: list[int]) -> DataFrame:
+    """id, ``t1``, ``t2`` and ``summed``, the weights of the words in the text, by a broadcast of ``words``: word, weight, part, q.
+
+    Equal rows give one row. Nothing but sums is shuffled.
+    """
+    whole = dict(words.dtypes)["weight"] == "bigint"
+    filed = file_words(words, words.select(F.col("part").alias("token")), sizes).select("gram", "word", "weight", F.lit(0).alias("_rows"))
+    # The empty q-gram counts the rows that are equal, whose weights are added up together.
+    counter = words.sparkSession.range(1).select(F.lit("").alias("gram"), F.lit("").alias("word"), F.lit(0).alias("weight"), F.lit(1).alias("_rows"))
+    filed = stage(filed.unionByName(counter.withColumn("weight", F.col("weight").cast(words.schema["weight"].dataType))), "substring-filed")
+    key = ["id", "t1", "t2"]
+    texts = posts.select("id", *text_digest("text"), F.lower("text").alias("text"))
+    found = text_grams(texts, sizes, *key).join(F.broadcast(filed), "gram").where(F.contains("text", "word"))
+    weight = F.col("weight").cast("decimal(20,0)") if whole else F.col("weight")
+    sums = found.groupBy(*key).agg(F.sum(weight).alias("all"), F.sum("_rows").alias("rows"))
+    return sums.select(*key, (F.col("all") / F.col("rows")).cast("bigint" if whole else "double").alias("summed"))
+
+
 def matched_words(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """id, the text's digest ``t1``, ``t2`` and ``words``, the set of (word, weight) that the lower-case text contains.
 
@@ -99,8 +135,15 @@ def substring_score_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """
     whole = dict(lexicon.dtypes)["weight"] in WHOLE_TYPES
     zero = F.lit(0).cast("bigint" if whole else "double")
-    matched = matched_words(posts, lexicon)
-    summed = matched.select(F.struct("id", "t1", "t2").alias("_key"), F.aggregate("words", zero, lambda total, w: total + w["weight"]).alias("summed"))
+    words = searchable(lexicon).where("word <> ''").select("word", "weight", F.col("word").alias("part"), F.least(F.length("word"), F.lit(TEXT_GRAM)).alias("q"))
+    words = stage(words, "substring-lexicon")
+    size = words.agg(F.sum(F.octet_length("word") + 64), F.collect_set("q")).first()
+    if (size[0] or 0) <= BROADCAST_BYTES:
+        summed = summed_in_rows(posts, words, sorted(size[1]) or [TEXT_GRAM])
+    else:
+        total = F.aggregate("words", zero, lambda sum_, w: sum_ + w["weight"])
+        summed = matched_words(posts, lexicon).select("id", "t1", "t2", total.alias("summed"))
+    summed = summed.select(F.struct("id", "t1", "t2").alias("_key"), "summed")
     everywhere = lexicon.where("word = ''").agg(F.coalesce(F.sum("weight"), zero).cast("bigint" if whole else "double")).scalar()
     rows = posts.select("id", F.col("text").isNotNull().alias("known"), F.struct("id", *text_digest("text")).alias("_key"))
     both = rows.join(summed, rows["_key"].eqNullSafe(summed["_key"]), "left")
