@@ -39,7 +39,9 @@ def test_scores_through_shuffles_equal_those_in_rows(spark, monkeypatch):
     random.seed(3)
     letters = "abcdeé 漢\t\n😀"
     posts = [(str(i % 50), random_text(letters, 60)) for i in range(200)] + [("d", "ab ab"), ("d", "ab ab"), (None, None)]
+    posts += [("q", "😀ab ?"), ("long", "x" * 50 + "y"), ("long", "x" * 40), ("tail", "abca")]
     words = [(random_text(letters, 9), random.randrange(-3, 4)) for _ in range(300)]
+    words += [("?ab", 50), ("x" * 32, 60), ("x" * 40 + "y", 70), ("xxxxy", 80), ("bca", 90), ("xy" * 30, 95)]
     for most in (substring.BROADCAST_BYTES, 0):
         monkeypatch.setattr(substring, "BROADCAST_BYTES", most)
         got = substring.substring_score_join(spark.createDataFrame(posts, POSTS), spark.createDataFrame(words, LEXICON))

@@ -1,7 +1,8 @@
 """Words of a lexicon table found anywhere in texts, by an index of rare q-grams.
 
-A lexicon of up to ``BROADCAST_BYTES`` is filed by one rare q-gram of each word and sent to the tasks: the distinct q-grams of
-a text find its candidates, which are verified in that text, so that only sums leave the row.
+A lexicon of up to ``BROADCAST_BYTES`` is filed by the first letters of each word and sent to the tasks. The places of a text
+are sorted by what follows there, so those that begin with a word are neighbours: the word counts at the first of them, and
+only sums leave the row.
 
 A larger one is joined to the tokens of the texts by shuffles. A word can only be inside a text if its longest part without blanks is inside one of the text's tokens. So words are
 looked up in the distinct tokens of all texts, which are far fewer than their places: every word is filed under the one
@@ -24,8 +25,8 @@ from wordtide.session import stage
 # Runs of blanks are tokens too, for the sake of words that are nothing else.
 TOKENS = r"\s+|\S+"
 GRAM = 3
-# Longer q-grams in whole texts: they find fewer words that are not there.
-TEXT_GRAM = 4
+# Letters that words are filed under, and letters that are compared at a place; longer words are looked for in the text too.
+FILED, PLACE = 5, 32
 BROADCAST_BYTES = 32 << 20
 WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
@@ -73,34 +74,41 @@ def match_tokens(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     return stage(pairs.where(F.contains("token", "part")).select("token", "word", "weight"), "substring-matches")
 
 
-def text_grams(texts: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    """The ``keep`` columns, ``text`` and ``gram``: the distinct q-grams of each text, and once the empty one."""
-    longest = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{max(sizes)}}}))"), F.lit(1)))
-    cut = texts.select(*keep, "text", longest.alias("_grams"))
+def sorted_places(texts: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
+    """The ``keep`` columns, ``text``, and for each of its places, sorted by the letters ``at`` it, what is ``before`` it in this
+    order and ``gram``, its first letters in each of ``sizes``. Of the smaller sizes the first place of a gram is enough.
 
-    def beginnings(q: int) -> Column:
-        return F.array_distinct(F.transform("_grams", lambda g: F.left(g, F.lit(q))))
-
-    grams = F.concat(F.array(F.lit("")), "_grams", *(beginnings(q) for q in sizes if q < max(sizes)))
-    return explode_words(cut, F.array_distinct(grams), *keep, "text", out="gram")
+    The first row of a text is the empty gram, with nothing before it.
+    """
+    # Half of a surrogate pair is no place.
+    places = F.regexp_extract_all("text", F.lit(rf"(?s)(?=((?![\x{{DC00}}-\x{{DFFF}}]).{{1,{PLACE}}}))"), F.lit(1))
+    ordered = texts.select(*keep, "text", F.concat(F.array(F.lit("")), F.sort_array(places)).alias("_places"))
+    rows = explode_words(ordered, F.sequence(F.lit(0), F.size("_places") - 1), *keep, "text", "_places", out="_i")
+    pairs = rows.select(*keep, "text", F.get("_places", F.col("_i")).alias("at"), F.get("_places", F.col("_i") - 1).alias("before"))
+    cut = pairs.select("*", F.explode(F.array(*map(F.lit, [0, *sizes]))).alias("_q")).withColumn("gram", F.left("at", F.col("_q")))
+    first = F.col("before").isNull() | ~F.startswith("before", "gram")
+    return cut.where((F.length("gram") == F.col("_q")) & (first | (F.col("_q") == FILED))).select(*keep, "text", "at", "before", "gram")
 
 
-def summed_in_rows(posts: DataFrame, words: DataFrame, sizes: list[int]) -> DataFrame:
-    """id, ``t1``, ``t2`` and ``summed``, the weights of the words in the text, by a broadcast of ``words``: word, weight, part, q.
+def summed_in_rows(posts: DataFrame, words: DataFrame) -> DataFrame:
+    """id, ``t1``, ``t2`` and ``summed``, the weights of the words in the text, by a broadcast of ``words``: word, weight.
 
     Equal rows give one row. Nothing but sums is shuffled.
     """
     whole = dict(words.dtypes)["weight"] == "bigint"
-    filed = file_words(words, words.select(F.col("part").alias("token")), sizes).select("gram", "word", "weight", F.lit(0).alias("_rows"))
-    # The empty q-gram counts the rows that are equal, whose weights are added up together.
-    counter = words.sparkSession.range(1).select(F.lit("").alias("gram"), F.lit("").alias("word"), F.lit(0).alias("weight"), F.lit(1).alias("_rows"))
-    filed = stage(filed.unionByName(counter.withColumn("weight", F.col("weight").cast(words.schema["weight"].dataType))), "substring-filed")
+    sizes = sorted(r.q for r in words.select(F.least(F.length("word"), F.lit(FILED)).alias("q")).distinct().collect())
+    # The empty word counts the rows that are equal, whose weights are added up together.
+    counter = words.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).cast(words.schema["weight"].dataType).alias("weight"))
+    filed = words.unionByName(counter).select(
+        "word", "weight", F.left("word", F.lit(FILED)).alias("gram"), F.left("word", F.lit(PLACE)).alias("_head"), (F.length("word") > PLACE).alias("_long")
+    )
     key = ["id", "t1", "t2"]
     texts = posts.select("id", *text_digest("text"), F.lower("text").alias("text"))
-    found = text_grams(texts, sizes, *key).join(F.broadcast(filed), "gram").where(F.contains("text", "word"))
+    here = F.startswith("at", "_head") & (F.col("before").isNull() | ~F.startswith("before", "_head"))
+    found = sorted_places(texts, sizes, *key).join(F.broadcast(filed), "gram").where(here & (~F.col("_long") | F.contains("text", "word")))
     weight = F.col("weight").cast("decimal(20,0)") if whole else F.col("weight")
-    sums = found.groupBy(*key).agg(F.sum(weight).alias("all"), F.sum("_rows").alias("rows"))
-    return sums.select(*key, (F.col("all") / F.col("rows")).cast("bigint" if whole else "double").alias("summed"))
+    sums = found.groupBy(*key).agg(F.sum(weight).alias("_all"), F.count_if(F.col("word") == "").alias("_rows"))
+    return sums.select(*key, (F.col("_all") / F.col("_rows")).cast("bigint" if whole else "double").alias("summed"))
 
 
 def matched_words(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -135,11 +143,9 @@ def substring_score_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """
     whole = dict(lexicon.dtypes)["weight"] in WHOLE_TYPES
     zero = F.lit(0).cast("bigint" if whole else "double")
-    words = searchable(lexicon).where("word <> ''").select("word", "weight", F.col("word").alias("part"), F.least(F.length("word"), F.lit(TEXT_GRAM)).alias("q"))
-    words = stage(words, "substring-lexicon")
-    size = words.agg(F.sum(F.octet_length("word") + 64), F.collect_set("q")).first()
-    if (size[0] or 0) <= BROADCAST_BYTES:
-        summed = summed_in_rows(posts, words, sorted(size[1]) or [TEXT_GRAM])
+    words = stage(searchable(lexicon).where("word <> ''").select("word", "weight"), "substring-lexicon")
+    if words.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES:
+        summed = summed_in_rows(posts, words)
     else:
         total = F.aggregate("words", zero, lambda sum_, w: sum_ + w["weight"])
         summed = matched_words(posts, lexicon).select("id", "t1", "t2", total.alias("summed"))
