@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
-from conftest import rows
+from conftest import plan, rows
 from hard_rows import hard_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -217,6 +217,25 @@ def test_toxicity_learns_and_never_from_held_out_labels(spark, toxic_docs, hard_
     assert toxicity.drop_toxic(hard_docs, model).columns == hard_docs.columns
 
 
+def test_texts_without_labels_are_not_shuffled(spark, monkeypatch):
+    docs = spark.range(-10, 4000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "null")], "doc_id LONG, text STRING"))
+    labels = spark.range(0, 3000, 3).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    likely = toxicity.likely_in(docs, labels, "doc_id")
+    assert likely.columns == docs.columns
+    assert likely.join(labels, "doc_id").count() == 1000 and likely.count() < 1050
+    assert toxicity.likely_in(docs, labels, "doc_id", bits=8).join(labels, "doc_id").count() == 1000
+    assert toxicity.likely_in(docs, labels.where("false"), "doc_id").count() == 0
+    plans = []
+    monkeypatch.setattr(toxicity, "stage", lambda df, name: plans.append(plan(df)) or df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.labelled_texts(docs, labels)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plans[0] and plans[0].index("BroadcastHashJoin") > plans[0].index("SortMergeJoin")
+
+
 def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
     rng = random.Random(5)
     # Long texts, and more documents than one task fits.
