@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from wordtide.llm.packing import best_fit, cut_documents, pack_documents, pack_lengths, place, plan_of, sequences
 from wordtide.llm.token_counts import add_missing, read_cache, token_counts
 from wordtide.llm.token_files import BLOCK, PlaneWriter, from_planes, read_chunk, read_documents, read_index, to_planes, token_files
-from wordtide.llm.tokens import BYTE_BPE, WORD_BPE, encoder, tokenizer_digest
+from wordtide.llm.tokens import BYTE_BPE, WORD_BPE, WordEncoder, encoder, tokenizer_digest
 from wordtide.session import fresh_path, stage
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,6 +44,23 @@ def test_word_wise_ids_are_the_library_s(name):
         assert a == b, repr(text)
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_words_of_letters_need_no_marks(name, monkeypatch):
+    own, sent = WordEncoder(name), []
+    plain = own.plain
+    monkeypatch.setattr(own, "plain", lambda texts: sent.extend(texts) or plain(texts))
+    random.seed(5)
+    letters = "abcdefghßſŉάςΣжñÑéあ漢한Ġłª"
+    words = ["".join(random.choices(letters, k=random.randrange(1, 12))) for _ in range(3000)]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    for odd in ([], ["İstanbul", "\u1100\u1161\u11a8", "\u01c5", "𝒳𐐀"]):
+        texts = [" ".join(["", *words[:1500], *odd]), " ".join(["", *words[1500:]])]
+        want = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+        assert list(own.encode(texts)) == want
+        if not odd:
+            assert not any(own.mark in x for x in sent)
+
+
 def test_counts(spark, hard_docs, no_docs):
     texts = hard_docs.select("doc_id", "text").collect()
     want = sorted(((r[0], len((r[1] or "").encode()), len(i), len(i) > 512) for r, i in zip(texts, library(BYTE_BPE, [r[1] for r in texts]))), key=repr)

@@ -59,6 +59,13 @@ class WordEncoder:
         # A mark between words: a line end, or a special token where white space is dropped.
         self.mark = "\n" if self.keeps_space else "<|startoftext|>"
         self.mark_id = self.plain([self.mark])[0]
+        # Ids that only stand at one end of a word of letters: the first if its space is kept, else the last.
+        tokens = self.library.get_vocab()
+        self.edge = np.zeros(max(tokens.values()) + 1, bool)
+        at_edge = [i for t, i in tokens.items() if (t.startswith("Ġ") if self.keeps_space else t.endswith("</w>"))]
+        self.edge[at_edge] = True
+        # Every word has one, as every byte does.
+        self.has_edges = "Ġ" in tokens if self.keeps_space else sum(t.endswith("</w>") and len(t) == 5 for t in tokens) >= 256
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -82,11 +89,23 @@ class WordEncoder:
         return text.replace("\n", " ").split(" ")
 
     def learn(self, words: Iterable[str]) -> None:
-        odd, simple = [], []
+        odd, simple, letters = [], [], []
         for word in words:
             inner = word[1:] if self.keeps_space else word
+            if inner.isalpha() and self.has_edges and (word[0] == " " or not self.keeps_space):
+                letters.append(word)
+                continue
             plain = word[:1] == " " if self.keeps_space else word
             (simple if plain and not _space.search(inner) and "<|" not in word else odd).append(word)
+        for i in range(0, len(letters), 1_000):
+            some = letters[i : i + 1_000]
+            ids = self.plain([("" if self.keeps_space else " ").join(some)])[0]
+            at = np.flatnonzero(self.edge[np.frombuffer(ids, "<u4")]) * 4
+            ends = [*at[1:].tolist(), len(ids)] if self.keeps_space else (at + 4).tolist()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self.known.update((w, ids[a:b]) for w, a, b in zip(some, [0, *ends], ends))
+            else:  # letters that the tokenizer takes for something else
+                simple += some
         for i in range(0, len(simple), 4_000):
             some = simple[i : i + 4_000]
             ids = self.plain([self.mark + self.mark.join(some) + self.mark])[0]
