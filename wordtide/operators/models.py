@@ -10,7 +10,6 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from wordtide.fixed_values import CV_FOLDS, SEED
 from wordtide.functions.keys import fold, run_id
+from wordtide.operators.boosted_trees import SparseGBTClassifier
 from wordtide.schemas import RUN_RECORD
 
 TFIDF, WORD2VEC = "tfidf_features", "word2vec_features"
@@ -43,7 +43,7 @@ MODELS = {
     ),
     "Logistic Regression": (LogisticRegression, {"featuresCol": TFIDF, "maxIter": 10}, {}),
     "Naive Bayes": (NaiveBayes, {"featuresCol": TFIDF}, {}),
-    "Gradient-Boosted Trees": (GBTClassifier, {"featuresCol": TFIDF, "maxIter": 10, "seed": SEED}, {}),
+    "Gradient-Boosted Trees": (SparseGBTClassifier, {"featuresCol": TFIDF, "maxIter": 10, "seed": SEED}, {}),
 }
 
 # The models that are trained, compared and published together.
