@@ -121,3 +121,17 @@ def test_no_similar_documents_stay(spark, small):
     linked = {x for pair in alike for x in pair}
     assert set(ids) - linked <= after
     assert sum(i in after and j in after for i, j in alike) <= 0.02 * len(alike)
+
+
+def test_only_suspects_shingles_are_written_and_shuffled(spark, monkeypatch):
+    """Sets of texts that resemble no other are never written, and repeated rows fold wherever the map of keys puts them."""
+    written, stage = {}, nc.stage
+    monkeypatch.setattr(nc, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    rng = random.Random(8)
+    alone = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(50)]
+    docs = frame(spark, [*alone, alone[7].upper(), None, alone[9]], "CAST(doc_id AS STRING) AS _bucket")
+    docs = docs.unionByName(docs.where("doc_id IN (3, 9)")).unionByName(docs.where("doc_id < 2").withColumn("doc_id", F.lit(None).cast("long")))
+    got = rows(nc.one_of_near_copies(docs), "doc_id", "_bucket")
+    assert got == sorted([*((i, str(i)) for i in range(50)), (51, "51"), (None, "0"), (None, "1")], key=repr)
+    assert all(kind != "binary" for _, kind in written["described"].dtypes)
+    assert written["suspects"].count() == 0

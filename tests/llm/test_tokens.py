@@ -120,6 +120,21 @@ def test_packing_of_a_common_length(spark):
     assert n <= -(-sum(p["length"] for p in got) // 64) * 1.05 + 1
 
 
+def test_packing_shuffles_no_ids(hard_docs, monkeypatch):
+    """Pieces stay where they were written, and are joined by shuffle only if the counts are too many to broadcast."""
+    from conftest import plan
+
+    from wordtide.llm import packing
+
+    frame = pack_documents(hard_docs, room=16, keep_ids=True)
+    assert "BroadcastHashJoin" in plan(frame) and "SortMergeJoin" not in plan(frame)
+    monkeypatch.setattr(packing, "MOST_COUNTS", 0)
+    joined = pack_documents(hard_docs, room=16, keep_ids=True)
+    columns = ["doc_id", "piece", "start", "ids_crc32"]
+    assert rows(joined, *columns) == rows(frame, *columns)
+    check_packing(joined.collect(), 16, [tuple(r) for r in hard_docs.select("doc_id", "text").collect()])
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_covers_every_rank_and_packs_tightly(seed):
     rng = np.random.default_rng(seed)

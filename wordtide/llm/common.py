@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from wordtide.session import fresh_path, shared_folder, stage
 
-__all__ = ["attempt_name", "bound_batches", "by_batch", "free_name", "fresh_path", "give_back", "let", "map_frames", "shared_folder", "stage", "table", "whole"]
+__all__ = ["attempt_name", "bound_batches", "by_batch", "free_name", "fresh_path", "give_back", "let", "likely", "likely_in", "map_frames", "shared_folder", "stage", "table", "whole"]
 
 
 # Rows and bytes of whole texts that a Python worker is handed at once. Spark's defaults suit short rows.
@@ -55,6 +55,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Bits of the map of hashed keys, of 4 MB: at five million keys one in seven others passes it.
+KEY_BITS = 1 << 25
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str, name: str, bits: int = KEY_BITS) -> DataFrame:
+    """``rows`` with a boolean column ``name``: true if ``key`` is among those of ``keys``, and for a few others, by a broadcast
+    map of hashed keys. Whatever the number of keys, the map has ``bits`` bits at most."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    bucket, held = free_name(rows, "_bucket"), free_name(rows, "_bits")
+    at = F.bitmap_bit_position(place)
+    taken = keys.groupBy(F.bitmap_bucket_number(place).alias(bucket)).agg(F.bitmap_construct_agg(at).alias(held))
+    octet = F.conv(F.hex(F.substring(held, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    both = rows.withColumn(bucket, F.bitmap_bucket_number(place)).join(F.broadcast(taken), bucket, "left")
+    return both.select(*rows.columns, F.coalesce(F.getbit(octet, (at % 8).cast("int")) == 1, F.lit(False)).alias(name))
+
+
+def likely_in(rows: DataFrame, keys: DataFrame, key: str, bits: int = KEY_BITS) -> DataFrame:
+    """The rows that ``likely`` marks. It spares a join the shuffle of rows that it would drop."""
+    name = free_name(rows, "_likely")
+    return likely(rows, keys, key, name, bits).where(name).select(*rows.columns)
+
+
 def by_batch(rows: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A function of one Arrow batch, in the form that ``mapInPandas`` takes."""
 

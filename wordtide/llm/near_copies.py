@@ -6,7 +6,8 @@ the shingles' hashes: texts of similarity 0.8 share one of them with a chance of
 such a bucket BK-trees of bounded shards find the fingerprints within ``RADIUS`` bits. What hangs together by these
 candidates is a group of suspects. Every two suspects of a group that are not linked already are then compared by their
 whole sets of shingles, unless the distances to a third text rule them out. Links that don't hold are no links, so
-unlike texts that share a fingerprint stay apart. Texts with equal sets are one node from the start.
+unlike texts that share a fingerprint stay apart. Texts with equal sets are one node from the start. Sets are larger than
+their texts, so only those of suspects are made a second time and written.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, free_name, map_frames, stage, whole
+from wordtide.llm.common import by_batch, free_name, likely, likely_in, map_frames, stage, whole
 from wordtide.llm.simhash import SHARD, Forest, components, shard_links
 
 WORDS = 5
@@ -66,25 +67,37 @@ def bands(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(three.tobytes(), k) - (1 << 63) for k, three in enumerate(least.reshape(BANDS, MINIMA))]
 
 
+def _name(data: bytes) -> str:
+    return xxhash.xxh128_hexdigest(data)
+
+
+def _shingled(batch: pd.DataFrame) -> list[tuple]:
+    """Each different set of a batch once: its name, size and shingles."""
+    held = {}
+    for text in batch["text"]:
+        data = shingle_set(text).astype("<u8").tobytes()
+        held[_name(data)] = data
+    return [(rep, len(data) // 8, data) for rep, data in held.items()]
+
+
 def _described(batch: pd.DataFrame) -> list[tuple]:
     rows, seen = [], set()
     for doc, digest, text in zip(batch["doc_id"].tolist(), batch["digest"].tolist(), batch["text"]):
         found = shingle_set(text)
-        data = found.astype("<u8").tobytes()
-        rep = xxhash.xxh128_hexdigest(data)
+        rep = _name(found.astype("<u8").tobytes())
         # A batch gives an equal set once, so that copies don't multiply it.
         first = rep not in seen
         seen.add(rep)
-        one = (rep, majority(found), bands(found), len(found), data) if first else (rep, None, None, None, None)
+        one = (rep, majority(found), bands(found)) if first else (rep, None, None)
         rows.append((None if doc is pd.NA else doc, digest, *one))
     return rows
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, ``digest`` (a hash of the text), ``rep`` (names the set of shingles) and what describes the set: ``fp``,
-    ``bands``, ``n`` and ``shingles``, which some rows of equal sets leave to others. A NULL text is empty."""
+    """doc_id, ``digest`` (a hash of the text), ``rep`` (names the set of shingles) and what describes the set: ``fp`` and
+    ``bands``, which some rows of equal sets leave to others. A NULL text is empty."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text")).withColumn("digest", F.xxhash64("text"))
-    return map_frames(texts, by_batch(_described), "doc_id BIGINT, digest BIGINT, rep STRING, fp BIGINT, bands ARRAY<BIGINT>, n INT, shingles BINARY")
+    return map_frames(texts, by_batch(_described), "doc_id BIGINT, digest BIGINT, rep STRING, fp BIGINT, bands ARRAY<BIGINT>")
 
 
 def meetings(rows: DataFrame, key: str, shards: DataFrame, *columns: str) -> DataFrame:
@@ -201,10 +214,16 @@ def suspects(sets: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataF
     return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
 
 
-def confirmed(described_: DataFrame, groups: DataFrame, least: float = ALIKE) -> DataFrame:
-    """(a, b) links between sets of one group of suspects with a similarity of ``least`` or more."""
+def confirmed(docs: DataFrame, described_: DataFrame, groups: DataFrame, least: float = ALIKE) -> DataFrame:
+    """(a, b) links between sets of one group of suspects with a similarity of ``least`` or more.
+
+    One text of each suspected set is read again, with those that the map of digests takes for such; the join drops these.
+    """
     named = groups.withColumnRenamed("id", "rep")
-    held = described_.where("shingles IS NOT NULL").select("rep", "n", "shingles").join(named, "rep")
+    wanted = described_.select("rep", "digest").join(named, "rep").groupBy("rep").agg(F.min("digest").alias("digest"))
+    texts = docs.select(whole().alias("text")).withColumn("digest", F.xxhash64("text"))
+    sets = map_frames(likely_in(texts, wanted, "digest").select("text"), by_batch(_shingled), "rep STRING, n INT, shingles BINARY")
+    held = sets.join(named, "rep")
     once = stage(held.groupBy("component", "rep").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "suspects")
     shards = once.groupBy("component").agg(_shards((F.count("*"), SUSPECTS), (F.sum("n"), SUSPECT_SHINGLES)))
     met = meetings(once, "component", stage(shards, "suspect-shards"), "shingles")
@@ -224,9 +243,9 @@ def near_copies(docs: DataFrame, least: float = ALIKE) -> DataFrame:
 
 def _grouped(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     rows = stage(described(docs), "described")
-    full = rows.where("shingles IS NOT NULL").select("rep", "fp", "bands")
+    full = rows.where("fp IS NOT NULL").select("rep", "fp", "bands")
     sets = stage(full.groupBy("rep").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sets")
-    links = confirmed(rows, suspects(sets), least)
+    links = confirmed(docs, rows, suspects(sets), least)
     found = components(links, "confirmed-links").withColumnRenamed("id", "rep")
     groups = sets.select("rep").join(found, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
     return rows.select("doc_id", "digest", "rep"), stage(groups, "copy-groups")
@@ -242,8 +261,13 @@ def one_of_near_copies(docs: DataFrame, least: float = ALIKE) -> DataFrame:
     # Copies are folded before they meet their group.
     first = rows.where("doc_id IS NOT NULL").groupBy("rep").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
     named = first.join(groups, "rep").groupBy("component").agg(F.min("first").alias("kept"))
-    digest = free_name(docs, "digest")
-    named = named.select(F.col("kept.doc_id").alias("doc_id"), F.col("kept.digest").alias(digest))
-    told = docs.where("doc_id IS NOT NULL").withColumn(digest, F.xxhash64(whole()))
-    kept = told.join(stage(named, "kept-copies"), ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    digest, key, open_ = free_name(docs, "digest"), free_name(docs, "key"), free_name(docs, "open")
+    named = stage(named.select(F.col("kept.doc_id").alias("doc_id"), F.col("kept.digest").alias(digest)), "kept-copies")
+    # Only texts that may go, or may be repeated, are shuffled.
+    ids = rows.where("doc_id IS NOT NULL").groupBy("doc_id", F.col("digest").alias(digest)).agg(F.count("*").alias("n"))
+    unsure = ids.join(named.withColumn("kept", F.lit(True)), ["doc_id", digest], "left").where("kept IS NULL OR n > 1")
+    of_key = F.xxhash64(F.col("doc_id").cast("bigint"), digest)
+    told = docs.where("doc_id IS NOT NULL").withColumn(digest, F.xxhash64(whole())).withColumn(key, of_key)
+    told = likely(told, unsure.select(of_key.alias(key)), key, open_)
+    kept = told.where(open_).join(named, ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest])
+    return kept.select(*docs.columns).unionByName(told.where(~F.col(open_)).select(*docs.columns)).unionByName(docs.where("doc_id IS NULL"))

@@ -28,8 +28,10 @@ SEQUENCE = 2048
 ROUNDS = 600
 END_ID = 0
 
-PIECES = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, ids BINARY, part INT"
+PIECES = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, ids BINARY, part INT, nth BIGINT"
 PLACES = "sequence_id BIGINT, offset BIGINT"
+# Counts of pieces by length and part that are broadcast, 2,048 for each part of the input; more of them are joined.
+MOST_COUNTS = 2_000_000
 
 # One line of a plan: pieces of ``length`` ranked ``first`` and on go to sequences from ``sequence`` on, ``each`` to a
 # sequence, the first of them at ``offset``.
@@ -191,6 +193,7 @@ def _cut(tokenizer: str, room: int, end: int, keep_ids: bool, remembered: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
+        seen: Counter = Counter()
         for batch in batches:
             out = []
             for doc, ids in zip(batch["doc_id"].tolist(), encoder(tokenizer, remembered).encode(batch["text"])):
@@ -200,7 +203,8 @@ def _cut(tokenizer: str, room: int, end: int, keep_ids: bool, remembered: int):
                 at = 0
                 for piece, to in enumerate(range(first, n + 1, room)):
                     some = ids[4 * at : 4 * to]
-                    out.append((None if doc is pd.NA else doc, piece, at, to - at, zlib.crc32(some), some if keep_ids else None, part))
+                    out.append((None if doc is pd.NA else doc, piece, at, to - at, zlib.crc32(some), some if keep_ids else None, part, seen[to - at]))
+                    seen[to - at] += 1
                     at = to
             yield out
 
@@ -218,21 +222,20 @@ def cut_documents(
 
 
 def place(pieces: DataFrame, room: int = SEQUENCE, rounds: int = ROUNDS) -> DataFrame:
-    """Adds sequence_id and offset to a written table of pieces with ``part`` and ``length``.
+    """Adds sequence_id and offset to a written table of pieces with ``part``, ``length`` and ``nth``.
 
-    Pieces are numbered within their length: first those of one part, which one task has made and which one split of
-    the input bounds, then the parts are counted up. So no length, however frequent, meets in one task. Only the
+    Pieces are numbered within their length: those of one part by the task that made them, in ``nth``, then the parts are
+    counted up. So no length, however frequent, meets in one task, and pieces with their ids are not shuffled. Only the
     histogram, at most ``room`` rows, reaches the driver.
     """
-    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    counts = stage(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = pack_lengths(histogram, room, rounds)
     below = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("length", "part", F.coalesce(below, F.lit(0)).alias("_below"))
-    order = ["doc_id", "piece"]
-    inside = F.row_number().over(Window.partitionBy("length", "part").orderBy(*order)) - 1
-    ranked = pieces.withColumn("_inside", inside).join(starts, ["length", "part"])
-    return map_frames(ranked.withColumn("_rank", F.col("_below") + F.col("_inside")), _placed(runs, room), f"{PIECES}, {PLACES}")
+    few = counts.count() <= MOST_COUNTS
+    ranked = pieces.join(F.broadcast(starts) if few else starts, ["length", "part"])
+    return map_frames(ranked.withColumn("_rank", F.col("_below") + F.col("nth")), _placed(runs, room), f"{PIECES}, {PLACES}")
 
 
 def _placed(runs: list[Run], room: int):
@@ -246,7 +249,7 @@ def _placed(runs: list[Run], room: int):
         over = rank - line[:, 1]
         batch["sequence_id"] = line[:, 2] + over // line[:, 3]
         batch["offset"] = line[:, 4] + length * (over % line[:, 3])
-        return batch.drop(columns=["_inside", "_below", "_rank"])
+        return batch.drop(columns=["_below", "_rank"])
 
     def run(batches):
         # All documents are encoded by now; the words that the worker remembers are of no more use.
@@ -264,5 +267,5 @@ def pack_documents(docs: DataFrame, tokenizer: str = BYTE_BPE, room: int = SEQUE
     like any other. An empty table gives no rows. Other columns are not read.
     """
     pieces = stage(cut_documents(docs, tokenizer, room, keep_ids=keep_ids, remembered=remembered), "pieces")
-    placed = place(pieces, room).drop("part")
+    placed = place(pieces, room).drop("part", "nth")
     return placed if keep_ids else placed.drop("ids")

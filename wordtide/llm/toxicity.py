@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm.common import by_batch, give_back, map_frames, stage, whole
+from wordtide.llm.common import by_batch, give_back, likely_in, map_frames, stage, whole
 from wordtide.operators.word_vectors import one_thread
 
 BUCKETS = 1 << 15
@@ -42,9 +42,6 @@ AVERAGED = 1_024
 CLEAN_LOSS = 0.005
 REMEMBERED = 150_000
 
-# Bits of the map of labelled ids, of 4 MB: at five million ids one in seven others passes it.
-ID_BITS = 1 << 25
-
 _word = re.compile(r"[^\W\d_]+")
 
 
@@ -285,19 +282,6 @@ def set_aside(doc_id: Column) -> Column:
     return chosen(doc_id)
 
 
-def likely_in(texts: DataFrame, ids: DataFrame, key: str, bits: int = ID_BITS) -> DataFrame:
-    """The rows of ``texts`` whose ``key`` is among those of ``ids``, and a few others, by a broadcast map of hashed keys.
-
-    It spares a join the shuffle of rows that it would drop. Whatever the number of keys, the map has ``bits`` bits at most.
-    """
-    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
-    taken = ids.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
-    at = F.bitmap_bit_position(place)
-    octet = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    both = texts.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(taken), "_bucket")
-    return both.where(F.getbit(octet, (at % 8).cast("int")) == 1).select(*texts.columns)
-
-
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, toxic, text, lang, aside of every labelled document that may be learnt from, written out.
 
