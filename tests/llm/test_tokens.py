@@ -120,6 +120,17 @@ def test_packing_of_a_common_length(spark):
     assert n <= -(-sum(p["length"] for p in got) // 64) * 1.05 + 1
 
 
+def test_words_are_encoded_once_for_all_cases():
+    """Ids are the library's where capitals meet marks, special strings and letters that fold in odd ways."""
+    texts = ["Word WORD word wOrD", "T\u0308x H\u0331 J\u030c A\u030a I\u0307 \u0130 t\u0308", "<|STARTOFTEXT|> <|endoftext|> <|EndOfText|>", "<|A", "\u212a K \u03a3\u03a3 \u00c9 E\u0301", "A\0B I'LL I'll", "W\u030a.", ""]
+    known = WordEncoder(WORD_BPE)
+    for text in texts:
+        assert [np.frombuffer(x, "<u4").tolist() for x in known.encode([text])] == [list(x) for x in library(WORD_BPE, [text])]
+    fresh = WordEncoder(WORD_BPE)
+    list(fresh.encode(texts[:1]))
+    assert set(fresh.known) == {"word"}
+
+
 def test_packing_shuffles_no_ids(hard_docs, monkeypatch):
     """Pieces stay where they were written, and are joined by shuffle only if the counts are too many to broadcast."""
     from conftest import plan

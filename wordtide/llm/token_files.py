@@ -36,8 +36,8 @@ DOCS = "doc_id BIGINT, start BIGINT, n_tokens BIGINT, ids_crc32 BIGINT"
 def to_planes(ids: np.ndarray) -> list[bytes]:
     """Bit planes of 32-bit ids, lowest first, up to the highest bit in use."""
     width = int(ids.max()).bit_length() if len(ids) else 0
-    bits = np.unpackbits(ids.astype("<u4").view("u1").reshape(-1, 4), axis=1, bitorder="little", count=width)
-    return [np.packbits(plane, bitorder="little").tobytes() for plane in bits.T]
+    octets = ids.astype("<u4").view("u1").reshape(-1, 4).T.copy()
+    return [np.packbits(octets[b // 8] & (1 << b % 8), bitorder="little").tobytes() for b in range(width)]
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:

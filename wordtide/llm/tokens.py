@@ -9,14 +9,16 @@ a word is the same with and without a comma. The tokenizer files are named by ``
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 
 # Words that one worker remembers: up to half of them that were met lately, and those that were met lately before.
-REMEMBERED = 800_000
+REMEMBERED = 1_600_000
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -66,6 +68,9 @@ class WordEncoder:
         self.edge[at_edge] = True
         # Every word has one, as every byte does.
         self.has_edges = "Ġ" in tokens if self.keeps_space else sum(t.endswith("</w>") and len(t) == 5 for t in tokens) >= 256
+        # Whether A-Z may be lowered beforehand, so that a word is encoded once for all of its cases.
+        steps = (json.loads(self.library.to_str())["normalizer"] or {}).get("normalizers", [])
+        self.lowers = not self.keeps_space and [step["type"] for step in steps] == ["NFC", "Replace", "Lowercase"]
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -76,7 +81,17 @@ class WordEncoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
+    def lowered(self, text: str) -> str:
+        """The text with A-Z in lower case if its ids stay the same: no special token can arise, and small letters must not
+        combine with marks that stand alone after capitals."""
+        if "<|" in text:
+            return text
+        lower = text.encode().lower().decode()
+        return lower if unicodedata.is_normalized("NFC", lower) else text
+
     def parts(self, text: str) -> list[str]:
+        if self.lowers:
+            text = self.lowered(text)
         if "\0" not in text:
             marked = _before_mark.sub("\0\\g<0>", text)
             if self.keeps_space:
