@@ -122,6 +122,19 @@ def test_word2vec_vocabulary_check(stems, monkeypatch):
         features.check_word2vec_vocabulary(stems, "stemmed_tokens", 100, 5)
 
 
+def test_word2vec_tasks_follow_cores_and_words(spark, stems, monkeypatch):
+    assert features.word2vec_tasks(stems, "stemmed_tokens") == features.WORD2VEC_TASKS
+    assert features.word2vec_tasks(stems.where("false"), "stemmed_tokens") == features.WORD2VEC_TASKS
+    monkeypatch.setattr(features, "WORD2VEC_TASKS", 2)
+    assert features.word2vec_tasks(stems, "stemmed_tokens") == 2
+    monkeypatch.setattr(features, "WORD2VEC_TASK_WORDS", 1_000)
+    assert features.word2vec_tasks(stems, "stemmed_tokens") == spark.sparkContext.defaultParallelism
+    fitted = []
+    monkeypatch.setattr(features.Word2Vec, "setNumPartitions", lambda self, n: fitted.append(n) or self._set(numPartitions=n))
+    queries.featured(spark, "/root/testdata/sf0.001", lambda: [features.word2vec_stage()])
+    assert fitted[-1] > 2
+
+
 @pytest.mark.parametrize("name", ["Linear SVM", "Logistic Regression", "Naive Bayes", "Random Forest"])
 def test_models_learn_and_reload(spark, name, tmp_path):
     """Each model does at least as well as the majority class on posts whose words give the label away."""

@@ -22,8 +22,10 @@ from wordtide.functions.arrays import bigrams, explode_words, term_counts
 from wordtide.operators.joins import counted_join
 from wordtide.session import stage
 
-# Tasks that share the training of word vectors: more of them harm the vectors and move the model more often.
+# Tasks that share the training of word vectors: more of them harm the vectors and move the model more often. Where every
+# task still gets this many words, there are as many tasks as cores.
 WORD2VEC_TASKS = 8
+WORD2VEC_TASK_WORDS = 2_000_000
 
 # Spark keeps all word vectors in one float array on the driver.
 WORD2VEC_MAX_FLOATS = 2**31 - 1
@@ -63,6 +65,13 @@ def word2vec_stage(
     )
 
 
+def word2vec_tasks(docs: DataFrame, tokens: str) -> int:
+    """Tasks for training on ``docs``: ``WORD2VEC_TASKS``, or more if there are more cores and words enough for them."""
+    words = docs.agg(F.sum(F.size(tokens))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(WORD2VEC_TASKS, min(cores, int(words) // WORD2VEC_TASK_WORDS))
+
+
 def check_word2vec_vocabulary(docs: DataFrame, tokens: str, size: int, min_count: int) -> int:
     """Vocabulary size, counted on the cluster; an error when its vectors cannot be held in one model."""
     counts = explode_words(docs, F.col(tokens)).groupBy("word").agg(F.count("*").alias("n"))

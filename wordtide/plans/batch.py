@@ -28,7 +28,7 @@ def write_features(spark: SparkSession, out: str, **settings) -> tuple[DataFrame
     """Split the preprocessed table by id, fit the features on the training side, write both sides."""
     posts = spark.read.schema(PREPROCESSED).parquet(f"{out}/preprocessed")
     sides = {name: posts.where(split_name(F.col("id")) == name) for name in ("train", "test")}
-    model = features.feature_model(sides["train"], features.WORD2VEC_TASKS, **settings)
+    model = features.feature_model(sides["train"], features.word2vec_tasks(sides["train"], "stemmed_tokens"), **settings)
     written = []
     for name, side in sides.items():
         columns = model.transform(side).select(*features.FEATURE_COLUMNS)

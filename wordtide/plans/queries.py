@@ -658,7 +658,11 @@ def featured(spark: SparkSession, sf_dir: str, stages: Callable[[], list]) -> tu
     train = posts.where("split = 'train'")
     if any(isinstance(one, Word2Vec) for one in stages()):
         features.check_word2vec_vocabulary(train, "stemmed_tokens", WORD2VEC_SIZE, WORD2VEC_MIN_COUNT)
-    both = Pipeline(stages=stages()).fit(train).transform(posts)
+    chain = stages()
+    for one in chain:
+        if isinstance(one, Word2Vec):
+            one.setNumPartitions(features.word2vec_tasks(train, "stemmed_tokens"))
+    both = Pipeline(stages=chain).fit(train).transform(posts)
     return both.where("split = 'train'"), both.where("split = 'test'")
 
 
@@ -688,7 +692,8 @@ def q_word2vec(spark, sf_dir):
 @query
 def q_feature_table(spark, sf_dir):
     posts = training_posts(spark, sf_dir)
-    model = features.feature_model(posts.where("split = 'train'"), features.WORD2VEC_TASKS)
+    train = posts.where("split = 'train'")
+    model = features.feature_model(train, features.word2vec_tasks(train, "stemmed_tokens"))
     return model.transform(posts).select(
         "id",
         "label",
