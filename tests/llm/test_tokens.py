@@ -131,6 +131,14 @@ def test_words_are_encoded_once_for_all_cases():
     assert set(fresh.known) == {"word"}
 
 
+def test_pieces_are_numbered_by_id(spark):
+    docs = spark.createDataFrame([(i * 7 % 40, "same text") for i in range(40)] + [(None, "same text")], "doc_id long, text string").repartition(2)
+    pieces = cut_documents(docs, room=64).collect()
+    for part in {r["part"] for r in pieces}:
+        ids = [r["doc_id"] for r in sorted((r for r in pieces if r["part"] == part), key=lambda r: r["nth"])]
+        assert ids == sorted(ids, key=lambda i: (i is not None, i))
+
+
 def test_packing_shuffles_no_ids(hard_docs, monkeypatch):
     """Pieces stay where they were written, and are joined by shuffle only if the counts are too many to broadcast."""
     from conftest import plan

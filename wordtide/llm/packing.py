@@ -216,8 +216,9 @@ def cut_documents(
 ) -> DataFrame:
     """Pieces of the documents' ids, each document closed by ``end``. Only documents longer than ``room`` are cut, into
     pieces of ``room``, of which the first may be shorter. ``ids`` holds them as little-endian 32-bit numbers.
-    ``remembered`` bounds the words that a worker keeps; it changes the memory and the time, not the ids."""
-    texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
+    ``remembered`` bounds the words that a worker keeps; it changes the memory and the time, not the ids. A part's documents
+    are taken in the order of their ids, which ``nth`` follows; this needs no shuffle."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text")).sortWithinPartitions("doc_id")
     return map_frames(texts, _cut(tokenizer, room, end, keep_ids, remembered), PIECES)
 
 
