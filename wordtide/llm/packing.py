@@ -31,7 +31,7 @@ END_ID = 0
 PIECES = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, ids BINARY, part INT, nth BIGINT"
 PLACES = "sequence_id BIGINT, offset BIGINT"
 # Counts of pieces by length and part that are broadcast, 2,048 for each part of the input; more of them are joined.
-MOST_COUNTS = 2_000_000
+MOST_COUNTS = 1_000_000
 
 # One line of a plan: pieces of ``length`` ranked ``first`` and on go to sequences from ``sequence`` on, ``each`` to a
 # sequence, the first of them at ``offset``.
