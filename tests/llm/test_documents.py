@@ -451,6 +451,29 @@ def test_peeling_recovers_the_differences(spark, n, m):
         assert set(got.r.left) == set(a) - set(b) and set(got.r.right) == set(b) - set(a)
 
 
+@pytest.mark.parametrize("n, m, shared", [(3, 2, 5), (60, 50, 300), (400, 0, 10)])
+def test_the_first_sketch_tried_mostly_peels(spark, n, m, shared):
+    made = lambda name, size: [xxhash.xxh64_intdigest(f"{name}{k}") >> 1 for k in range(size)]
+    sets = [(made(f"a{i}_", n) + made(f"s{i}_", shared), made(f"b{i}_", m) + made(f"s{i}_", shared)) for i in range(40)]
+    df = spark.createDataFrame(sets, "a array<bigint>, b array<bigint>").select(paragraph_sketch.sketched(F.col("a")).alias("a"), paragraph_sketch.sketched(F.col("b")).alias("b"))
+    left = paragraph_sketch._subtracted(F.col("a.cells"), F.col("b.cells"))
+    levels = df.select("a", "b", paragraph_sketch._likely_level(left, F.size("a.keys"), F.size("b.keys")).alias("level"))
+    marked = F.concat(F.col("a.marks"), paragraph_sketch._minus(F.col("b.marks")))
+    got = levels.select("level", paragraph_sketch._subtract(marked, F.col("level")).alias("d")).collect()
+    peeled = [r for r in got if r.d]
+    assert all((r.d.a, r.d.b) == (n, m) for r in peeled) and len(peeled) > 20
+    # No more sketches than one for every four differences.
+    assert all(2**r.level <= max(1, (n + m) / 4) for r in got)
+
+
+def test_cuts_are_those_of_the_plain_pattern(spark):
+    texts = ["a. b.  c.\n\nd。e！ f。。g\nh", "。", "x。\n y", " a.", "a.  ", "é؟ b।  c", "no end", "", "a.\n b", "甲。乙。 丙｡", ". .  ."]
+    plain = r"\n+|(?<=[.!?؟۔։।॥።]) +|(?<=[。！？｡])(?![。！？｡ ])|(?<=[。！？｡]) +"
+    want = F.array_distinct(F.transform(F.filter(F.split("t", plain), lambda p: p != ""), lambda p: F.xxhash64(p)))
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(paragraph_sketch.digests(F.col("t")).alias("got"), want.alias("want")).collect()
+    assert all(r.got == r.want for r in got)
+
+
 def test_native_operators_have_no_python_nodes(spark, hard_docs):
     from conftest import plan
 
