@@ -141,6 +141,16 @@ def test_equal_passages_are_parsed_alike(spark):
     assert max(r.freq for r in dictionary) == 50
 
 
+def test_words_are_counted_by_the_parse(spark, monkeypatch):
+    docs = [("en", "One two. two,THREE"), (None, "two é"), ("en", None), ("de", ",; "), ("de", "one\tone")] + [(f"l{k}", f"w{k} of") for k in range(40)]
+    want = Counter((lang or "und", w) for lang, t in docs for w in re.split(r"[.,;\s]+", (t or "").translate(ASCII_LOWER)) if w)
+    for at_once in (1, 10**6):
+        monkeypatch.setattr(phrases, "AT_ONCE", at_once)
+        dictionary, words = phrases.parse_texts(spark.createDataFrame(docs, "lang string, text string").coalesce(1))
+        assert rows(words, "lang", "phrase", "f") == sorted(((*k, f) for k, f in want.items()), key=repr)
+        assert dictionary.where("owned < 1").count() == 0
+
+
 def test_phrases_of_hard_rows(spark, hard_docs, no_docs):
     docs = [tuple(r) for r in hard_docs.select("lang", "text").collect()]
     assert rows(collocations(hard_docs, 2), "lang", "rank", "phrase", "a", "l", "r", "n", "score") == plain_collocations(docs, 2, 2000)

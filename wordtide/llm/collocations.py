@@ -5,8 +5,8 @@ equal passages are cut alike wherever they stand. A chunk is followed by the nex
 the n-grams that begin before those, and so every n-gram of up to four words is owned by one chunk. The distinct chunks
 with their numbers are the dictionary. N-grams are counted inside distinct chunks only, weighted by these numbers.
 
-Words are counted first, then pairs of frequent words, then triples and fours of frequent pairs. What is frequent is
-told by a bit table of hashes that misses none; counts themselves are made from the words, never from hashes. The bit
+Words are counted first, by the parse itself, then pairs of frequent words, then triples and fours of frequent pairs.
+What is frequent is told by a bit table of hashes that misses none; counts themselves are made from the words, never from hashes. The bit
 table follows the number of frequent words or pairs, up to ``MOST_BITS``; when it gets full, more rare n-grams are
 counted for nothing, and the result is the same.
 """
@@ -48,6 +48,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+PARSED = ["lang", "chunk", "owned", "times"]
+
+
 class Words:
     """The words of a buffer: each one's code in the buffer's own list of distinct words, and the hash of that word."""
 
@@ -98,7 +101,10 @@ def joined(table: pa.Table, column: str) -> tuple[bytes, np.ndarray]:
 
 
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to chunks: lang, chunk (its words with spaces between), owned (the words whose n-grams it owns)."""
+    """Texts to chunks: lang, chunk (its words with spaces between), owned (the words whose n-grams it owns), times (1).
+
+    The different words of the texts follow, each as a chunk that owns nothing, with its times.
+    """
     for table in gathered(batches, "text"):
         data, begins = joined(table, "text")
         buffer = np.frombuffer(data.translate(LOWER), np.uint8)
@@ -118,10 +124,27 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, at = words.spaced()
         chunks = [text[a:b] for a, b in zip(at[first].tolist(), (at[until] - 1).tolist())]
         doc = np.searchsorted(begins, words.starts[first], "right") - 1
-        yield pa.RecordBatch.from_arrays(
-            [table.column("lang").combine_chunks().take(pa.array(doc)), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(last - first, pa.int32())],
-            ["lang", "chunk", "owned"],
-        )
+        langs = table.column("lang").combine_chunks()
+        ones = np.ones(len(first), np.int64)
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(doc)), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(last - first, pa.int32()), pa.array(ones)], PARSED)
+        coded = langs.dictionary_encode()
+        of_words = np.diff(np.searchsorted(words.starts, begins))
+        lang, word, times = numbers(np.repeat(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), of_words), words)
+        none = np.zeros(len(word), np.int32)
+        yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(lang)), words.distinct.take(pa.array(word)), pa.array(none), pa.array(times)], PARSED)
+
+
+def numbers(lang: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each language's different words: codes of language and word, and how often the word stands there."""
+    number, size = lang * len(words.distinct) + words.codes, (int(lang.max()) + 1) * len(words.distinct)
+    # Few languages: a place for every language and word takes no more room than the words themselves.
+    if size <= 2 * len(words):
+        times = np.bincount(number, minlength=size)
+        found = np.flatnonzero(times)
+        times = times[found]
+    else:
+        found, times = np.unique(number, return_counts=True)
+    return found // len(words.distinct), found % len(words.distinct), times
 
 
 class Parsed:
@@ -149,7 +172,7 @@ class Parsed:
         return (seeded >> np.uint64(64 - size)).astype(np.int64)
 
 
-def count_in(lengths: tuple[int, ...], part: int = 0, frequent: tuple[object, int] | None = None):
+def count_in(lengths: tuple[int, ...], part: int, frequent: tuple[object, int]):
     """N-grams of distinct chunks (with ``owned`` and ``freq``), whose parts of ``part`` words may all be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,12 +180,11 @@ def count_in(lengths: tuple[int, ...], part: int = 0, frequent: tuple[object, in
             parsed = Parsed(table, "chunk")
             owned = parsed.at < table.column("owned").to_numpy()[parsed.chunk]
             times = table.column("freq").to_numpy()[parsed.chunk]
-            if frequent:
-                bits, at = np.frombuffer(frequent[0].value, np.uint8), parsed.bits(part, frequent[1])
-                known = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            bits, at = np.frombuffer(frequent[0].value, np.uint8), parsed.bits(part, frequent[1])
+            known = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             for k in lengths:
                 fits = owned & (parsed.left >= k)
-                for j in range(k - part + 1 if frequent else 0):
+                for j in range(k - part + 1):
                     fits[: len(fits) - j] &= known[j:]
                 places = np.flatnonzero(fits)
                 if len(places):
@@ -220,21 +242,27 @@ def bit_table(phrases: DataFrame, k: int) -> tuple[object, int]:
     return spark.sparkContext.broadcast(bytes(table)), size
 
 
-def parse_dictionary(docs: DataFrame) -> DataFrame:
-    """The distinct chunks of all texts: lang, chunk, owned and freq, how often the chunk stands in the texts."""
+def parse_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct chunks of all texts: lang, chunk, owned and freq, how often the chunk stands in the texts. And the
+    words: lang, phrase, f. Both come of one parse and one shuffle."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole().alias("text"))
-    chunks = texts.mapInArrow(parse, "lang STRING, chunk STRING, owned INT")
-    return stage(chunks.groupBy("lang", "chunk", "owned").agg(F.count("*").alias("freq")), "parse-dictionary")
+    parsed = texts.mapInArrow(parse, "lang STRING, chunk STRING, owned INT, times BIGINT")
+    counted = stage(parsed.groupBy("lang", "chunk", "owned").agg(F.sum("times").alias("freq")), "parse-dictionary")
+    return counted.where("owned > 0"), counted.where("owned = 0").select("lang", F.col("chunk").alias("phrase"), F.col("freq").alias("f"))
+
+
+def parse_dictionary(docs: DataFrame) -> DataFrame:
+    return parse_texts(docs)[0]
 
 
-def frequent_phrases(dictionary: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def frequent_phrases(dictionary: DataFrame, all_words: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The words, the pairs, and the triples and fours that occur at least ``least`` times: lang, phrase, f."""
 
     def counted(counter, name: str) -> DataFrame:
         total = dictionary.mapInArrow(counter, "lang STRING, phrase STRING, f BIGINT").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
         return stage(total.where(F.col("f") >= least), name)
 
-    words = counted(count_in((1,)), "words")
+    words = stage(all_words.where(F.col("f") >= least), "words")
     pairs = counted(count_in((2,), 1, bit_table(words, 1)), "pairs")
     return words, pairs, counted(count_in((3, 4), 2, bit_table(pairs, 2)), "longer")
 
@@ -278,8 +306,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     A NULL lang is ``und``, a NULL text empty; texts without words and empty tables give nothing; equal rows count each.
     Other columns are not read. A task's memory depends on ``AT_ONCE`` and on the longest text.
     """
-    dictionary = parse_dictionary(docs)
-    words, pairs, longer = frequent_phrases(dictionary, least)
+    dictionary, all_words = parse_texts(docs)
+    words, pairs, longer = frequent_phrases(dictionary, all_words, least)
     candidates = pairs.unionByName(longer).withColumnRenamed("f", "a")
     scored = lowest_cut(candidates, words.unionByName(pairs).unionByName(longer))
     judged = scored.join(inside_longer(candidates), ["lang", "phrase"], "left")
