@@ -398,3 +398,15 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path):
     stream = stream_source(spark, "parquet", "id BIGINT, ts TIMESTAMP", f"{tmp_path}/in/*", maxFilesPerTrigger=1)
     once = stream_sinks.run_to_table(scoring.drop_repeats(stream, "id", "ts", "1 day"), str(tmp_path / "out"))
     assert sorted(r.id for r in once.collect()) == list(range(10))
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    from wordtide.session import stage
+
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    before, setting = held(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    assert stage(spark.range(1000).repartition(3, "id"), "kept").count() == 1000
+    assert held() <= before and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -64,5 +67,12 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     Unlike a cache, the written table survives the loss of executors and cuts the lineage.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    conf = df.sparkSession.conf
+    kept = conf.get(CLEANUP)
+    # What the writing shuffles is read by nothing else; Spark would keep it until the driver collects its garbage.
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.set(CLEANUP, kept)
     return df.sparkSession.read.schema(df.schema).parquet(path)
