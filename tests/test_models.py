@@ -213,3 +213,22 @@ def test_word_vectors_are_whole(spark, small):
     first, second = (rows(queries.QUERIES["word2vec"](spark, small)) for _ in range(2))
     assert [r[:2] for r in first] == [r[:2] for r in second]
     assert all(len(v) == 100 and None not in v for _, _, v in first)
+
+
+def test_word_vectors_of_features_stay_off_the_driver(spark, stems, tmp_path):
+    """The fitted stage holds a path and no vectors, gives each row its mean whatever its id, and can be saved."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    model = Pipeline(stages=[features.word2vec_stage(size=8)]).fit(stems)
+    assert not hasattr(model.stages[0], "_java_obj")
+    held = {r.word: r.vector for r in model.stages[0].getVectors().collect()}
+    assert len(held) == features.check_word2vec_vocabulary(stems, "stemmed_tokens", 8, 5)
+    some = list(held)[:2]
+    odd = spark.createDataFrame([("1", [some[0]]), ("1", [some[1], some[1], "unknown word"]), (None, some), ("2", [])], "id STRING, stemmed_tokens ARRAY<STRING>")
+    got = rows(model.transform(odd).select("id", "stemmed_tokens", vector_to_array("word2vec_features")))
+    means = [[0.0] * 8, held[some[0]], held[some[1]], [(a + b) / 2 for a, b in zip(held[some[0]], held[some[1]])]]
+    assert len(got) == 4 and all(any(max(abs(x - y) for x, y in zip(r[2], m)) < 1e-9 for r in got) for m in means)
+    model.write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(odd)
+    assert rows(again.select("id", "stemmed_tokens", vector_to_array("word2vec_features"))) == got

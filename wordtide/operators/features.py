@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, Tokenizer, Word2Vec
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,14 +20,15 @@ from wordtide.fixed_values import (
 )
 from wordtide.functions.arrays import bigrams, explode_words, term_counts
 from wordtide.operators.joins import counted_join
+from wordtide.operators.word2vec import Word2Vec
 from wordtide.session import stage
 
-# Tasks that share the training of word vectors: more of them harm the vectors and move the model more often. Where every
-# task still gets this many words, there are as many tasks as cores.
+# Tasks that copies of word vectors are made for in training: more of them harm the vectors and move them more often. Where
+# every task still gets this many words, there are as many tasks as cores.
 WORD2VEC_TASKS = 8
 WORD2VEC_TASK_WORDS = 2_000_000
 
-# Spark keeps all word vectors in one float array on the driver.
+# Spark ML keeps all word vectors in one float array on the driver. Ours are a table; the vocabulary is still held to this.
 WORD2VEC_MAX_FLOATS = 2**31 - 1
 
 
@@ -50,11 +51,8 @@ def word2vec_stage(
     min_count: int = WORD2VEC_MIN_COUNT,
     seed: int = SEED,
 ) -> Word2Vec:
-    """Word vectors. ``partitions`` is how many tasks share the training; the default of Spark is one.
-
-    The seed does not make the vectors repeatable to the last digit: Spark numbers equally frequent words, and takes
-    the sentences of a task, in the order in which shuffled blocks arrive.
-    """
+    """Word vectors, trained over blocks and kept in a table. ``partitions`` is how many tasks may share the training, where
+    there are fewer blocks. On the same data and settings the vectors are the same."""
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,

@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +33,7 @@ from wordtide.functions.sentiment import (
 )
 from wordtide.operators import evaluation, features, lexicon, models, reports, substring, word_vectors, wordstats
 from wordtide.operators.preprocess import preprocess, valid_posts, with_stems, with_tokens
+from wordtide.operators.word2vec import Word2Vec
 from wordtide.schemas import EVENT_PROPS, MODEL_METRICS, PREPROCESSED
 from wordtide.session import configure, fresh_path, stage
 from wordtide.sources import messages, posts_csv, sinks, tables

@@ -67,12 +67,19 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     Unlike a cache, the written table survives the loss of executors and cuts the lineage.
     """
     path = fresh_path(df.sparkSession, name)
+    write_once(df, path, *partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_once(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Write ``df`` to a new ``path``, and drop what writing it has shuffled.
+
+    Nothing else reads that; Spark would keep it until the driver collects its garbage.
+    """
     conf = df.sparkSession.conf
     kept = conf.get(CLEANUP)
-    # What the writing shuffles is read by nothing else; Spark would keep it until the driver collects its garbage.
     conf.set(CLEANUP, "true")
     try:
         df.write.partitionBy(*partition_by).parquet(path)
     finally:
         conf.set(CLEANUP, kept)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
