@@ -104,8 +104,9 @@ def feature_model(
     check_word2vec_vocabulary(train, "stemmed_tokens", size, min_count)
     stages = [
         *tfidf_stages(buckets=buckets, min_doc_freq=min_doc_freq),
-        word2vec_stage(partitions, size=size, min_count=min_count),
         *bigram_stages(vocabulary=vocabulary, min_docs=min_docs),
+        # Last, so that no means are made for the fitting of other stages.
+        word2vec_stage(partitions, size=size, min_count=min_count),
     ]
     return Pipeline(stages=stages).fit(train)
 
